@@ -54,40 +54,29 @@ def float_text(number: Column) -> Column:
 
     ``100.0`` gives ``100``, ``1000000.0`` gives ``1e+06``, ``1e21`` gives ``1e+21``.
     """
-    raw = F.abs(number).cast("string")
-    mantissa = F.substring_index(raw, "E", 1)
-    exponent = F.when(raw.contains("E"), F.substring_index(raw, "E", -1).try_cast("int")).otherwise(0)
-    whole = F.substring_index(mantissa, ".", 1)
-    packed = F.concat(whole, F.substring_index(mantissa, ".", -1))
-    unled = F.ltrim(packed, F.lit("0"))
-    digits = F.rtrim(unled, F.lit("0"))
-    count = F.length(digits)
-    # value = 0.<digits> * 10^point
-    point = F.length(whole) + exponent - (F.length(packed) - F.length(unled))
-    power = point - 1
-
-    tail = F.when(count > 1, F.concat(F.lit("."), F.substr(digits, F.lit(2)))).otherwise("")
-    scientific = F.concat(
-        F.substring(digits, 1, 1),
-        tail,
-        F.lit("e"),
-        F.when(power < 0, "-").otherwise("+"),
-        F.when(F.abs(power) < 10, "0").otherwise(""),
-        F.abs(power).cast("string"),
+    size = F.abs(number)
+    plain = number.cast("string")
+    rewritten = plain
+    for pattern, replacement in (
+        (r"^(-?)([0-9])[.]([0-9]+)E-4$", "$10.000$2$3"),  # Spark switches to E below 1e-3 ...
+        (r"^(-?[0-9])([0-9]{6})[.]([0-9]+)$", "$1.$2$3E6"),  # ... and only from 1e7 on
+        (r"([.][0-9]*?)0+(?=E|$)", "$1"),
+        (r"[.](?=E|$)", ""),
+        (r"E([0-9])$", "E0$1"),
+        (r"E-([0-9])$", "E-0$1"),
+        (r"E([0-9]+)$", "e+$1"),
+        (r"E-", "e-"),
+    ):
+        rewritten = F.regexp_replace(rewritten, pattern, replacement)
+    return (
+        F.when(F.isnan(number), "NaN")
+        .when(number == float("inf"), "+Inf")
+        .when(number == float("-inf"), "-Inf")
+        .when(number == 0.0, F.when(plain.startswith("-"), "-0").otherwise("0"))
+        .when((size < 1e6) & (F.floor(number) == number), number.try_cast("bigint").cast("string"))
+        .when((size < 1e6) & (size >= 1e-3), plain)
+        .otherwise(rewritten)
     )
-    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits)
-    integral = F.rpad(digits, point, F.lit("0"))
-    mixed = F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
-    plain = F.when(point <= 0, small).when(point >= count, integral).otherwise(mixed)
-    unsigned = (
-        F.when(F.abs(number) == float("inf"), "Inf")
-        .when(number == 0.0, "0")
-        .when((power < -4) | (power >= 6), scientific)
-        .otherwise(plain)
-    )
-    negative = (number < 0) | number.cast("string").startswith("-")
-    sign = F.when(negative, "-").when(number == float("inf"), "+").otherwise("")
-    return F.when(F.isnan(number), F.lit("NaN")).otherwise(F.concat(sign, unsigned))
 
 
 def bytes_text(data: Column) -> Column:

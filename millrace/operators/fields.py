@@ -151,20 +151,31 @@ def first_of(columns: Iterable[Column | None], dtype: str) -> Column:
     return present[0] if len(present) == 1 else F.coalesce(*present)
 
 
-def convert(field: Field, target: str) -> Field:
+def convert(field: Field, target: str, scope: Scope) -> Field:
     """Convert to ``auto, string, int64, float64, bool`` or ``bytes``; unset where impossible."""
     if target == "auto":
         return field
-    text, number, whole = field.text(), field.float(), field.int()
+    if target in ("string", "int64", "float64"):
+        held = {"txt": field.text()}
+        if {"float", "json"} & set(field.slots):
+            held["num"] = field.float()
+        columns = dict(zip(held, scope.hold(**held)))
+        text, number = columns["txt"], columns.get("num")
+    else:
+        text, number = field.text(), None
+    whole = field.get("int")
     if target == "string":
         parts = [
             text,
-            F.when(number.isNotNull(), numbers.float_text(number)),
-            whole.cast("string"),
-            field.bool().cast("string"),
-            numbers.bytes_text(field.bytes()) if "bytes" in field.slots else None,
-            F.when(field.is_nil(), F.lit("<nil>")),
+            None if number is None else F.when(number.isNotNull(), numbers.float_text(number)),
+            None if whole is None else whole.cast("string"),
         ]
+        if {"bool", "json"} & set(field.slots):
+            parts.append(field.bool().cast("string"))
+        if {"nil", "json"} & set(field.slots):
+            parts.append(F.when(field.is_nil(), F.lit("<nil>")))
+        if "bytes" in field.slots:
+            parts.append(numbers.bytes_text(field.bytes()))
         if "time" in field.slots:
             from ..functions.timestamps import ts_text
 
@@ -177,11 +188,11 @@ def convert(field: Field, target: str) -> Field:
                 parts.append(F.to_json(field.get(kind)))
         return Field({"text": Slot(first_of(parts, "string"))})
     if target == "int64":
-        value = F.coalesce(whole, numbers.float_to_int(number), numbers.parse_int(text))
-        return Field({"int": Slot(value)})
+        truncated = None if number is None else numbers.float_to_int(number)
+        return Field({"int": Slot(first_of([whole, truncated, numbers.parse_int(text)], "bigint"))})
     if target == "float64":
-        value = F.coalesce(number, whole.cast("double"), numbers.parse_float(text))
-        return Field({"float": Slot(value)})
+        widened = None if whole is None else whole.cast("double")
+        return Field({"float": Slot(first_of([number, widened, numbers.parse_float(text)], "double"))})
     if target == "bool":
         return Field({"bool": Slot(F.coalesce(field.bool(), numbers.parse_bool(text)))})
     if target == "bytes":
@@ -218,7 +229,7 @@ def variant_path(segments: list[str]) -> str:
 class Body:
     """A decoded payload: every key in it is a field."""
 
-    column: str
+    column: str | Column
     dtype: T.StructType | None  # None for JSON
     paths: dict[tuple[str, ...], Field]
 
@@ -231,7 +242,7 @@ class Body:
             )})
         if name not in self.dtype.fieldNames():
             return None
-        return Field(dict([slot_of(F.col(self.column)[name], self.dtype[name].dataType)]))
+        return Field(dict([slot_of(self.column.getField(name), self.dtype[name].dataType)]))
 
 
 @dataclass
@@ -255,7 +266,6 @@ class Scope:
         self.subject = subject
         self.layers: list[Body | Assignment] = []
         self.errors: list[tuple[str, str, bool]] = []  # (column, step, structural)
-        self.alive: Column = F.lit(True)
         self.upcoming: list[list[str]] = []  # paths later steps will read
         self._serial = 0
 
@@ -273,25 +283,25 @@ class Scope:
 
     # Fields
 
-    def add_body(self, value: Column, dtype: T.StructType | None) -> None:
+    def add_json(self, value: Column) -> None:
+        """Make every key of a decoded JSON object a field."""
         (held,) = self.hold(body=value)
-        name = self.df.columns[-1]
-        body = Body(name, dtype, {})
-        if dtype is None:
-            # Read every path the remaining steps ask for in one projection.
-            wanted = {}
-            for path in self.upcoming:
-                if tuple(path) not in wanted:
-                    wanted[tuple(path)] = self._name("v"), self._name("t")
-            columns: dict[str, Column] = {}
-            for path, (v, t) in wanted.items():
-                item = F.try_variant_get(held, variant_path(list(path)), "variant")
-                columns[v], columns[t] = item, F.schema_of_variant(item)
-                body.paths[path] = Field({"json": Slot(F.col(v), tag=F.col(t))})
-            if columns:
-                self.df = self.df.withColumns(columns)
+        body = Body(self.df.columns[-1], None, {})
+        # Read every path the remaining steps ask for in one projection.
+        columns: dict[str, Column] = {}
+        for path in dict.fromkeys(map(tuple, self.upcoming)):
+            v, t = self._name("v"), self._name("t")
+            item = F.try_variant_get(held, variant_path(list(path)), "variant")
+            columns[v], columns[t] = item, F.schema_of_variant(item)
+            body.paths[path] = Field({"json": Slot(F.col(v), tag=F.col(t))})
+        if columns:
+            self.df = self.df.withColumns(columns)
         self.layers.append(body)
 
+    def add_message(self, value: Column, dtype: T.StructType) -> None:
+        """Make every set field of a decoded message a field; ``value`` is a held column."""
+        self.layers.append(Body(value, dtype, {}))
+
     def lookup(self, path: str | list[str]) -> Field:
         """Resolve a dot path against the newest value of its first segment."""
         segments = field_path(path) if isinstance(path, str) else path
@@ -320,21 +330,77 @@ class Scope:
     # Errors
 
     def fail(self, step: str, message: Column, structural: bool = False) -> None:
-        """Record a step's error column (NULL where the step succeeded)."""
-        (held,) = self.hold(err=F.when(self.alive, message))
+        """Record a step's error column (NULL where the step succeeded).
+
+        Steps keep computing after a structural failure; errors they then report are
+        cut off when the pipeline collects the list.
+        """
+        self.hold(err=message)
         self.errors.append((self.df.columns[-1], step, structural))
-        if structural:
-            (self.alive,) = self.hold(alive=self.alive & held.isNull())
-
-    def store(self, target: str, step: str, field: Field, error: Column | None, structural=False) -> None:
-        """Hold a computed scalar field under ``target`` together with its error."""
-        kinds = list(field.slots)
-        held = self.hold(**{kind: field.slots[kind].value for kind in kinds})
-        slots = {k: replace(field.slots[k], value=c) for k, c in zip(kinds, held)}
-        stored = Field(slots)
+
+    def store(
+        self,
+        target: str,
+        step: str,
+        field: Field,
+        error: Callable[[Field], Column] | None = None,
+        structural: bool = False,
+    ) -> None:
+        """Hold a computed field under ``target``.
+
+        ``error`` gets the held field, so the value is computed once for both.
+        """
+        columns: dict[str, Column] = {}
+        for kind, slot in field.slots.items():
+            columns[kind] = slot.value
+            if slot.tag is not None:
+                columns["tag"] = slot.tag
+        held = dict(zip(columns, self.hold(**columns)))
+        stored = Field(
+            {
+                kind: replace(slot, value=held[kind], tag=held["tag"] if slot.tag is not None else None)
+                for kind, slot in field.slots.items()
+            }
+        )
         if error is not None:
-            self.fail(step, error, structural)
+            self.fail(step, error(stored), structural)
         self.assign(target, stored)
 
 
-Step = Callable[[Scope], None]
+@dataclass(frozen=True)
+class Step:
+    """A configured step: what it does to a scope and which fields it reads."""
+
+    name: str
+    apply: Callable[[Scope], None]
+    reads: tuple[tuple[str, ...], ...] = ()
+    target: str | None = None
+    structural: bool = False
+    options: dict | None = None
+
+
+def option(options: dict, key: str, step: str, default: object = None, kind: type = str):
+    """Read one option; a missing or mistyped one without default is an error."""
+    value = options.get(key)
+    if value is None and default is not None:
+        return default
+    if not isinstance(value, kind) or isinstance(value, bool) or value == "":
+        raise InvalidPipelineError(f"{step} needs a {kind.__name__} option {key!r}, got {value!r}")
+    return value
+
+
+def whole_option(options: dict, key: str, step: str, required: bool = True) -> int | None:
+    value = options.get(key)
+    if value is None and not required:
+        return None
+    if not isinstance(value, int) or isinstance(value, bool):
+        raise InvalidPipelineError(f"{step} option {key!r} must be an integer, got {value!r}")
+    return value
+
+
+def plain_target(options: dict, step: str, key: str = "target") -> str:
+    """A target name that is not one of the reserved ``$`` fields."""
+    target = option(options, key, step)
+    if target.startswith("$"):
+        raise InvalidPipelineError(f"{step} {key} {target!r} must not start with '$'")
+    return target
