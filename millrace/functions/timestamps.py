@@ -154,24 +154,26 @@ def _calendar_ns(text: Column, layout: Layout) -> Column:
         .when(F.length(zone) == 3, F.concat(zone, F.lit(":00")))
         .otherwise(zone)
     )
+    fraction = F.coalesce(F.nullif(part("fraction", ""), F.lit("")), F.lit("0"))
     iso = F.concat(
-        year, F.lit("-"), month, F.lit("-"), F.trim(part("day", "01")), F.lit(" "),
-        hour, F.lit(":"), part("minute", "00"), F.lit(":"), part("second", "00"), zone,
-    )
-    return _join_fraction(iso.try_cast("timestamp"), part("fraction", ""))
+        year, F.lit("-"), month, F.lit("-"), F.trim(part("day", "01")), F.lit(" "), hour,
+        F.lit(":"), part("minute", "00"), F.lit(":"), part("second", "00"),
+        F.lit("."), fraction, zone,
+    )
+    return _exact_ns(iso.try_cast("timestamp"), F.length(fraction) > 6, fraction, "^[0-9]{6}([0-9]{1,3})")
 
 
-def _join_fraction(moment: Column, fraction: Column) -> Column:
-    nanos = F.rpad(F.substring(fraction, 1, 9), 9, "0").try_cast("bigint")
-    return F.try_add(F.try_multiply(F.unix_seconds(moment), F.lit(1_000_000_000)), nanos)
+def _exact_ns(moment: Column, finer: Column, text: Column, digits: str) -> Column:
+    """Microseconds of the cast plus the digits below them, read only where there are any."""
+    below = F.rpad(F.regexp_extract(text, digits, 1), 3, "0").try_cast("bigint")
+    micros = F.try_multiply(F.unix_micros(moment), F.lit(1000))
+    return F.when(finer, F.try_add(micros, below)).otherwise(micros)
 
 
-def _iso_ns(text: Column, layout: Layout, suffix: str) -> Column:
+def _iso_ns(text: Column, suffix: str) -> Column:
     """Layouts already written the way Spark casts need no rebuilding."""
-    moment = F.concat(F.translate(text, ",", "."), F.lit(suffix)).try_cast("timestamp")
-    fraction = F.regexp_extract(text, layout.pattern, layout.groups["fraction"])
-    has_fraction = text.contains(".") | text.contains(",")
-    return _join_fraction(moment, F.when(has_fraction, fraction).otherwise(""))
+    moment = F.concat(F.replace(text, F.lit(","), F.lit(".")), F.lit(suffix)).try_cast("timestamp")
+    return _exact_ns(moment, F.length(text) > 26, text, "[.,][0-9]{6}([0-9]{1,3})")
 
 
 _ISO = re.compile(r"2006-01-02[T ]15:04:05(?:[.,](?:0+|9+))?(Z07:00|-07:00|Z)?$")
@@ -187,7 +189,7 @@ def ts_from_text(text: Column, fmt: str) -> Column:
     layout = compile_layout(fmt)
     iso = _ISO.match(NAMED_LAYOUTS.get(fmt, fmt))
     if iso:
-        value = _iso_ns(text, layout, "" if iso.group(1) else "Z")
+        value = _iso_ns(text, "" if iso.group(1) else "Z")
     else:
         value = _calendar_ns(text, layout)
     return F.when(text.rlike(layout.pattern), value)

@@ -43,7 +43,7 @@ def _concat(options: dict, target: str) -> Step:
                 columns.append(F.lit(literal))
                 continue
             field = scope.lookup(path)
-            value = field.text()
+            value = scope.read(field, "text")
             columns.append(value)
             name = ".".join(path)
             checks.append(
@@ -71,7 +71,7 @@ def _from_text(options: dict, target: str, compute: Callable[[Column], Column],
 
     def apply(scope: Scope) -> None:
         field = scope.lookup(path)
-        (value,) = scope.hold(txt=field.text())
+        value = scope.read(field, "text")
 
         def error(stored: Field) -> Column:
             return (
@@ -124,7 +124,7 @@ def _str(options: dict, target: str) -> Step:
 
     def apply(scope: Scope) -> None:
         field = scope.lookup(path)
-        (number,) = scope.hold(num=field.float())
+        number = scope.read(field, "float")
 
         def error(stored: Field) -> Column:
             return F.when(

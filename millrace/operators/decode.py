@@ -20,17 +20,21 @@ from .fields import (
 END_MARK = "~end of message~"
 
 
-def json_body(data: Column) -> Column:
+def wrap_json(data: Column) -> Column:
+    """VARIANT array of whatever the payload holds, followed by the end mark."""
+    return F.try_parse_json(F.concat(F.lit("["), data.cast("string"), F.lit(f',"{END_MARK}"]')))
+
+
+def json_body(data: Column, wrapped: Column) -> Column:
     """VARIANT of a payload whose text is exactly one JSON object (or null).
 
-    Malformed text, trailing text, other top-level values and empty payloads give NULL.
+    ``wrapped`` is the held result of ``wrap_json``. Malformed text, trailing text,
+    other top-level values and empty payloads give NULL.
     """
     text = data.cast("string")
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
-    alone = (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK) & F.try_variant_get(
-        wrapped, "$[2]", "variant"
-    ).isNull()
     is_object = text.startswith("{") | text.rlike(r"^[ \t\r\n]*[{n]")
+    ends = F.try_variant_get(wrapped, "$[1]", "string") == END_MARK
+    alone = ends & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
     return F.when(is_object & alone, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
@@ -41,9 +45,8 @@ def decompress_step(options: dict) -> Step:
 
     def apply(scope: Scope) -> None:
         source = F.col(scope.data)
-        (plain,) = scope.hold(data=codecs.gunzip(source))
-        name = scope.df.columns[-1]
-        broken = (F.octet_length(source) > 0) & plain.isNull()
+        name = scope.hold_as("data", codecs.gunzip(source))
+        broken = (F.octet_length(source) > 0) & F.col(name).isNull()
         scope.fail("decompress", F.when(broken, "payload is not valid gzip"), structural=True)
         scope.data = name
 
@@ -53,8 +56,8 @@ def decompress_step(options: dict) -> Step:
 def parse_json_step(options: dict) -> Step:
     def apply(scope: Scope) -> None:
         data = F.col(scope.data)
-        scope.add_json(json_body(data))
-        body = F.col(scope.layers[-1].column)
+        (wrapped,) = scope.hold(json=wrap_json(data))
+        body = scope.add_json(json_body(data, wrapped))
         empty = F.coalesce(F.octet_length(data), F.lit(0)) == 0
         message = F.when(empty, "payload is empty").when(
             body.isNull(), "payload is not a JSON object"
@@ -264,7 +267,8 @@ def decompress(df: DataFrame, column: str = "payload", algorithm: str = "gzip")
 
 def parse_json(df: DataFrame, column: str = "payload", target: str = "body") -> DataFrame:
     """Add the VARIANT of a JSON object payload (NULL when it is none)."""
-    return df.withColumn(target, json_body(F.col(column)))
+    df = df.withColumn("__json", wrap_json(F.col(column)))
+    return df.withColumn(target, json_body(F.col(column), F.col("__json"))).drop("__json")
 
 
 def parse_protobuf(

@@ -64,13 +64,13 @@ def safe_parse_number_step(options: dict) -> Step:
     return Step(step, apply, reads=(tuple(path),), target=target)
 
 
-def field_to_ts(field: Field, fmt: str) -> Column:
+def field_to_ts(scope: Scope, field: Field, fmt: str) -> Column:
     """Nanoseconds of a field in any of the types a timestamp may arrive in."""
     readers = [("text", ts_from_text), ("int", ts_from_int), ("float", ts_from_float)]
     parts = [field.time()] if "time" in field.slots else []
     for kind, read in readers:
         if kind in field.slots or ("json" in field.slots and kind != "int"):
-            parts.append(read(field.typed(kind), fmt))
+            parts.append(read(scope.read(field, kind), fmt))
     return F.coalesce(*parts) if parts else F.lit(None).cast("bigint")
 
 
@@ -85,7 +85,7 @@ def _timestamp_step(step: str, source: str, target: str, fmt: str) -> Step:
             reason = f"field {source!r} is not a timestamp in format {fmt!r}"
             return missing_or(field.exists(), source, stored.time().isNull(), reason)
 
-        scope.store(target, step, Field({"time": Slot(field_to_ts(field, fmt))}), error)
+        scope.store(target, step, Field({"time": Slot(field_to_ts(scope, field, fmt))}), error)
 
     return Step(step, apply, reads=((source,),), target=target)
 
@@ -141,7 +141,7 @@ def extract_table_step(options: dict) -> Step:
             found, name = F.lit(True), F.lit(value)
         else:
             field = scope.lookup_flat(source)
-            found, name = field.exists(), field.text()
+            found, name = field.exists(), scope.read(field, "text")
         usable = F.when(text.valid_table_name(name), name)
 
         def error(stored: Field) -> Column:

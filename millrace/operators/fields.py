@@ -7,8 +7,9 @@ most one of them non-NULL per row; which one is known to Catalyst as plain colum
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field as attribute, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -61,6 +62,7 @@ def json_slot(value: Column) -> Slot:
 @dataclass(frozen=True)
 class Field:
     slots: dict[str, Slot]
+    reads: dict[str, Column] = attribute(default_factory=dict, compare=False)  # typed, held
 
     def get(self, kind: str) -> Column | None:
         slot = self.slots.get(kind)
@@ -118,6 +120,10 @@ class Field:
         }
         return reads[kind]()
 
+    def is_held(self, kind: str) -> bool:
+        """True when a typed read is just a held column."""
+        return "json" not in self.slots and (kind in self.slots or kind == "int")
+
     def is_nil(self) -> Column:
         """True where the field is present but holds no value (JSON null)."""
         slot = self.slots.get("json")
@@ -155,14 +161,8 @@ def convert(field: Field, target: str, scope: Scope) -> Field:
     """Convert to ``auto, string, int64, float64, bool`` or ``bytes``; unset where impossible."""
     if target == "auto":
         return field
-    if target in ("string", "int64", "float64"):
-        held = {"txt": field.text()}
-        if {"float", "json"} & set(field.slots):
-            held["num"] = field.float()
-        columns = dict(zip(held, scope.hold(**held)))
-        text, number = columns["txt"], columns.get("num")
-    else:
-        text, number = field.text(), None
+    text = scope.read(field, "text")
+    number = scope.read(field, "float") if {"float", "json"} & set(field.slots) else None
     whole = field.get("int")
     if target == "string":
         parts = [
@@ -229,7 +229,7 @@ def variant_path(segments: list[str]) -> str:
 class Body:
     """A decoded payload: every key in it is a field."""
 
-    column: str | Column
+    column: Column
     dtype: T.StructType | None  # None for JSON
     paths: dict[tuple[str, ...], Field]
 
@@ -238,7 +238,7 @@ class Body:
             return self.paths[(name,)]
         if self.dtype is None:
             return Field({"json": json_slot(
-                F.try_variant_get(F.col(self.column), variant_path([name]), "variant")
+                F.try_variant_get(self.column, variant_path([name]), "variant")
             )})
         if name not in self.dtype.fieldNames():
             return None
@@ -261,42 +261,54 @@ class Scope:
 
     def __init__(self, df: DataFrame, data: str = "payload", subject: str = "subject"):
         self.inputs = df.columns
-        self.df = df
         self.data = data
         self.subject = subject
         self.layers: list[Body | Assignment] = []
         self.errors: list[tuple[str, str, bool]] = []  # (column, step, structural)
         self.upcoming: list[list[str]] = []  # paths later steps will read
-        self._serial = 0
+        self._source = df
+        self._lookups: dict[tuple, Field] = {}
+        self._levels: list[dict[str, Column]] = []
+        self._level_of: dict[str, int] = {}
 
     # Hidden columns
 
-    def _name(self, hint: str) -> str:
-        self._serial += 1
-        return f"__{hint}_{self._serial}"
-
     def hold(self, **columns: Column) -> list[Column]:
-        """Add hidden columns in one projection so later steps refer to them by name."""
-        named = {self._name(hint): column for hint, column in columns.items()}
-        self.df = self.df.withColumns(named)
-        return [F.col(name) for name in named]
+        """Name computed columns so later steps refer to them instead of repeating them."""
+        return [F.col(self.hold_as(hint, column)) for hint, column in columns.items()]
+
+    def hold_as(self, hint: str, column: Column) -> str:
+        """Like ``hold`` for one column, returning its name.
+
+        Columns are collected by depth, so that the plan gets one projection per
+        level of dependency instead of one per step.
+        """
+        name = f"__{hint}_{len(self._level_of) + 1}"
+        used = re.findall(r"__[a-z_]+_[0-9]+", str(column))
+        level = max((self._level_of[u] + 1 for u in used if u in self._level_of), default=0)
+        if level == len(self._levels):
+            self._levels.append({})
+        self._levels[level][name] = column
+        self._level_of[name] = level
+        return name
+
+    def frame(self) -> DataFrame:
+        """The input with every held column."""
+        return reduce(lambda df, level: df.withColumns(level), self._levels, self._source)
 
     # Fields
 
-    def add_json(self, value: Column) -> None:
+    def add_json(self, value: Column) -> Column:
         """Make every key of a decoded JSON object a field."""
-        (held,) = self.hold(body=value)
-        body = Body(self.df.columns[-1], None, {})
-        # Read every path the remaining steps ask for in one projection.
-        columns: dict[str, Column] = {}
+        name = self.hold_as("body", value)
+        body = Body(F.col(name), None, {})
+        # The paths the remaining steps ask for are read side by side.
         for path in dict.fromkeys(map(tuple, self.upcoming)):
-            v, t = self._name("v"), self._name("t")
-            item = F.try_variant_get(held, variant_path(list(path)), "variant")
-            columns[v], columns[t] = item, F.schema_of_variant(item)
-            body.paths[path] = Field({"json": Slot(F.col(v), tag=F.col(t))})
-        if columns:
-            self.df = self.df.withColumns(columns)
+            item = F.try_variant_get(F.col(name), variant_path(list(path)), "variant")
+            v, t = self.hold(v=item, t=F.schema_of_variant(item))
+            body.paths[path] = Field({"json": Slot(v, tag=t)})
         self.layers.append(body)
+        return F.col(name)
 
     def add_message(self, value: Column, dtype: T.StructType) -> None:
         """Make every set field of a decoded message a field; ``value`` is a held column."""
@@ -312,12 +324,23 @@ class Scope:
             return Field({})
         if len(found) == 1 and isinstance(found[0][0], Body) and tuple(segments) in found[0][0].paths:
             return found[0][0].paths[tuple(segments)]
-        field = found[0][1]
-        for _, older in found[1:]:
-            field = field.or_else(older)
-        for name in rest:
-            field = field.child(name)
-        return field
+        key = (tuple(segments), *[id(layer) for layer, _ in found])
+        if key not in self._lookups:
+            field = found[0][1]
+            for _, older in found[1:]:
+                field = field.or_else(older)
+            for name in rest:
+                field = field.child(name)
+            self._lookups[key] = field
+        return self._lookups[key]
+
+    def read(self, field: Field, kind: str) -> Column:
+        """Typed read of a field, computed once however often it is used."""
+        if field.is_held(kind):
+            return field.typed(kind)
+        if kind not in field.reads:
+            (field.reads[kind],) = self.hold(**{f"as_{kind}": field.typed(kind)})
+        return field.reads[kind]
 
     def lookup_flat(self, name: str) -> Field:
         """Resolve a name as written, dots included."""
@@ -335,8 +358,7 @@ class Scope:
         Steps keep computing after a structural failure; errors they then report are
         cut off when the pipeline collects the list.
         """
-        self.hold(err=message)
-        self.errors.append((self.df.columns[-1], step, structural))
+        self.errors.append((self.hold_as("err", message), step, structural))
 
     def store(
         self,

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import InvalidPipelineError
 from ..schema import INT64_MIN, OUTPUT_TYPES
-from .fields import Field
+from .fields import Field, Scope
 
 OK, PARTIAL, UNUSABLE = "ok", "partial", "unusable"
 
@@ -20,9 +20,9 @@ ACCEPTS = {
 }
 
 
-def output_column(field: Field, kind: str) -> Column:
+def output_column(scope: Scope, field: Field, kind: str) -> Column:
     """A declared column from the field of its name; NULL when missing or of another type."""
-    value = field.typed(ACCEPTS[kind])
+    value = scope.read(field, ACCEPTS[kind])
     if kind == "double":
         value = F.when(~F.isnan(value), value)
     return value.cast(OUTPUT_TYPES[kind])

@@ -141,13 +141,13 @@ class Pipeline:
         return self._finish(scope)
 
     def _finish(self, scope: Scope) -> DataFrame:
-        index = scope.lookup_flat(INDEX).time()
+        index = scope.read(scope.lookup_flat(INDEX), "time")
         if any(step.name == "extract_index" for step in self.steps):
             scope.fail("extract_index", F.when(index.isNull(), "message has no index"), structural=True)
         elif self.series is None:
             # No index configured: processing time, constant within a (micro-)batch.
             index = F.coalesce(index, timestamp_to_ns(F.current_timestamp()))
-        table = scope.lookup_flat(TABLE).text()
+        table = scope.read(scope.lookup_flat(TABLE), "text")
         unrouted = F.when(~valid_table_name(table), "message has no valid table name")
         scope.fail("extract_table", unrouted, structural=True)
 
@@ -162,7 +162,7 @@ class Pipeline:
             extra = {"series": values, "interval_ns": interval}
             count = F.size(values)
 
-        row = [output_column(scope.lookup_flat(n), k).alias(n) for n, k in declared.items()]
+        row = [output_column(scope, scope.lookup_flat(n), k).alias(n) for n, k in declared.items()]
         broken = any_set([name for name, _, structural in scope.errors if structural])
         flawed = any_set([name for name, _, structural in scope.errors if not structural])
         outcome = F.when(broken, UNUSABLE).when(flawed, PARTIAL).otherwise(OK)
@@ -170,7 +170,7 @@ class Pipeline:
         # defined. Filters on the outcome would otherwise move below every step and
         # each of their references would decode the payload again.
         outcome = F.when(F.monotonically_increasing_id() >= 0, outcome)
-        parsed = scope.df.select(
+        parsed = scope.frame().select(
             *[F.col(f"`{c}`") for c in scope.inputs],
             outcome.alias("outcome"),
             F.when(broken | flawed, error_list(scope.errors)).otherwise(no_errors()).alias("errors"),

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Generated methods beyond this size are never compiled by HotSpot; Spark then
+    # generates one projection per operator, split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Lets REBALANCE split a hot table and merge small ones before a write.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
