@@ -37,6 +37,7 @@ def local_session(cpus: int | str = "*", app: str = "millrace") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(cores))
         .getOrCreate()

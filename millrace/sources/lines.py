@@ -24,18 +24,12 @@ def is_json(text: Column) -> Column:
     )
 
 
-def is_blank(text: Column) -> Column:
-    return text.rlike(r"^\s*$")
-
-
 def json_lines(lines: DataFrame, column: str = "value") -> Lines:
-    """Split text lines into JSON payloads and rejects; blank lines are skipped."""
+    """Split text lines into JSON payloads and rejects; empty lines are skipped."""
     text = F.col(column)
-    full = lines.filter(~is_blank(text))
-    good = full.filter(is_json(text)).select(F.trim(text).cast("binary").alias("payload"))
-    bad = full.filter(~is_json(text)).select(
-        text.alias("line"), F.lit("line is not valid JSON").alias("reason")
-    )
+    checked = lines.filter(F.length(text) > 0).select(text.alias("line"), is_json(text).alias("valid"))
+    good = checked.filter("valid").select(F.col("line").cast("binary").alias("payload"))
+    bad = checked.filter("NOT valid").select("line", F.lit("line is not valid JSON").alias("reason"))
     return Lines(good, bad)
 
 
@@ -46,8 +40,8 @@ def base64_bytes(text: Column) -> Column:
 
 
 def base64_lines(lines: DataFrame, column: str = "value") -> Lines:
-    """Split text lines into decoded payloads and rejects; blank lines are skipped."""
-    full = lines.select(F.trim(F.col(column)).alias("line")).filter(F.col("line") != "")
+    """Split text lines into decoded payloads and rejects; empty lines are skipped."""
+    full = lines.select(F.col(column).alias("line")).filter(F.col("line") != "")
     decoded = full.withColumn("payload", base64_bytes(F.col("line")))
     good = decoded.filter(F.col("payload").isNotNull()).select("payload")
     bad = decoded.filter(F.col("payload").isNull()).select(

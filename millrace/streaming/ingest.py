@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from ..operators.rows import apply_policy
+from ..operators.rows import apply_policy, is_sent_back
 from ..operators.stats import counter_columns
 from ..plans.pipeline import Pipeline
-from .sinks import dedup, quarantine_rows, by_table
+from .sinks import by_table, dedup, quarantine_rows
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
@@ -28,11 +28,13 @@ def ingest_batch(pipeline: Pipeline, messages: DataFrame, sink: str, batch: str,
 
     The parsed messages are written once under ``sink/messages``; rows, quarantine and
     statistics read that table, so no decode runs twice and a lost executor costs only
-    its own tasks.
+    its own tasks. Payloads are stored only for messages that go back.
     """
     spark = messages.sparkSession
     parsed_path = os.path.join(sink, "messages", f"batch={batch}")
-    pipeline.parse(messages).write.mode("overwrite").parquet(parsed_path)
+    parsed = pipeline.parse(messages)
+    payload = F.when(is_sent_back(pipeline.action), F.col("payload"))
+    parsed.withColumn("payload", payload).write.mode("overwrite").parquet(parsed_path)
     parsed = spark.read.parquet(parsed_path)
     policy = apply_policy(parsed, pipeline.action)
 
@@ -115,8 +117,3 @@ class BatchObserver(StreamingQueryListener):
             self.callback(metrics)
         except Exception:  # observers must not break the batch
             pass
-
-
-def stamp(df: DataFrame) -> DataFrame:
-    """Add the processing time of the (micro-)batch."""
-    return df.withColumn("processed_at", F.current_timestamp())
