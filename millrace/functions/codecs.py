@@ -170,7 +170,8 @@ def encode_payload(
         raise InvalidPipelineError("the encode chain starts with 'json'")
     stages: dict[str, Callable[[Column], Column]] = {
         "gzip": lambda c: gzip(c.cast("binary"), level),
-        "base64": lambda c: F.base64(c.cast("binary")),
+        # Spark breaks base64 into lines; a payload is one line.
+        "base64": lambda c: F.replace(F.base64(c.cast("binary")), F.lit("\r\n"), F.lit("")),
     }
     value = F.to_json(F.struct(*columns))
     previous = "json"

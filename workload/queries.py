@@ -346,8 +346,8 @@ def flawed_pipeline(action: str = "drop", **filters) -> Pipeline:
 @query(
     "classify_messages",
     FLAWED + """ SELECT event_id AS sequence, outcome,
-         CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2
-           WHEN 'view' THEN 1 ELSE 0 END AS n_errors,
+         CAST(CASE event_type WHEN 'error' THEN 1 WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2
+           WHEN 'view' THEN 1 ELSE 0 END AS BIGINT) AS n_errors,
          CASE event_type WHEN 'error' THEN 'parse_json' WHEN 'signup' THEN 'message'
            WHEN 'purchase' THEN 'extract_index' WHEN 'view' THEN 'extract_field' END AS first_step,
          CASE WHEN outcome <> 'unusable' THEN 't.' || event_type END AS table_name
@@ -543,7 +543,9 @@ def unpack_integers(spark, sf_dir):
     packed = packed.select("l_orderkey", m.pack(F.col("n"), ">i2").alias("raw"))
     unpacked = packed.select("l_orderkey", codecs.unpack(F.col("raw"), "int16", "big").alias("n"))
     rows = unpacked.select("l_orderkey", F.posexplode("n").alias("place", "l_linenumber"))
-    return rows.withColumn("place", F.col("place").cast("bigint"))
+    return rows.withColumns(
+        {"place": F.col("place").cast("bigint"), "l_linenumber": F.col("l_linenumber").cast("int")}
+    )
 
 
 @query(
@@ -648,7 +650,7 @@ def jsonlines_split(spark, sf_dir):
 def base64_lines_split(spark, sf_dir):
     folder = m.work_folder(spark)
     events = m.table(spark, sf_dir, "events")
-    line = F.base64(F.col("props").cast("binary"))
+    line = F.base64(F.col("props").cast("binary"))  # short enough for one line
     line = F.when(F.col("event_type") == "view", F.concat(line, F.lit("*"))).otherwise(line)
     events.select(line.alias("value")).write.mode("overwrite").text(folder)
     split = lines.read_base64_lines(spark, folder)
@@ -756,7 +758,7 @@ def write_csv(spark, sf_dir):
 @query(
     "quarantine_reread",
     FLAWED + """ SELECT event_id AS sequence, 'events.' || event_type || '.' || user_id AS subject,
-         CASE event_type WHEN 'purchase' THEN 2 ELSE 1 END AS n_errors
+         CAST(CASE event_type WHEN 'purchase' THEN 2 ELSE 1 END AS BIGINT) AS n_errors
        FROM o WHERE outcome <> 'ok'""",
 )
 def quarantine_reread(spark, sf_dir):
@@ -976,7 +978,7 @@ def rolling_overflow(spark, sf_dir):
 )
 def window_report(spark, sf_dir):
     window = rolling.rolling_table_counts(user_tallies(spark, sf_dir), F.col("ts"), 3600)
-    return rolling.window_report(window)
+    return rolling.window_report(window).withColumn("place", F.col("place").cast("bigint"))
 
 
 # Comparison
@@ -996,8 +998,9 @@ def altered_orders(spark, sf_dir):
 
 @query(
     "compare_tables",
-    """SELECT 'value' AS issue, unnest(['o_orderstatus', 'o_totalprice']) AS column_name, count(*) AS n
-         FROM orders WHERE o_orderpriority = '5-LOW' GROUP BY ALL
+    """SELECT 'value' AS issue, c AS column_name, count(*) AS n
+         FROM orders, (SELECT unnest(['o_orderstatus', 'o_totalprice']) AS c)
+         WHERE o_orderpriority = '5-LOW' GROUP BY c
        UNION ALL SELECT 'missing', NULL, count(*) FROM orders WHERE o_orderpriority = '3-MEDIUM'
        UNION ALL SELECT 'extra', NULL, count(*) FROM orders WHERE o_orderpriority = '1-URGENT'
        UNION ALL SELECT 'duplicate', NULL, count(*) FROM orders WHERE o_orderpriority = '2-HIGH'""",
