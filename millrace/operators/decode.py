@@ -13,31 +13,10 @@ from ..errors import InvalidPipelineError
 from ..functions import codecs, protobuf
 from ..functions.numbers import parse_int
 from .fields import (
-    Field, Scope, Slot, Step, field_path, first_of, json_slot, option, plain_target, slot_of,
+    END_KEY, Field, Scope, Slot, Step, close_json, field_path, first_of, json_slot, option,
+    plain_target, slot_of,
 )
 
-# Appended after the payload so that text trailing the object is noticed.
-END_MARK = "~end of message~"
-
-
-def wrap_json(data: Column) -> Column:
-    """VARIANT array of whatever the payload holds, followed by the end mark."""
-    return F.try_parse_json(F.concat(F.lit("["), data.cast("string"), F.lit(f',"{END_MARK}"]')))
-
-
-def json_body(data: Column, wrapped: Column) -> Column:
-    """VARIANT of a payload whose text is exactly one JSON object (or null).
-
-    ``wrapped`` is the held result of ``wrap_json``. Malformed text, trailing text,
-    other top-level values and empty payloads give NULL.
-    """
-    text = data.cast("string")
-    is_object = text.startswith("{") | text.rlike(r"^[ \t\r\n]*[{n]")
-    ends = F.try_variant_get(wrapped, "$[1]", "string") == END_MARK
-    alone = ends & F.try_variant_get(wrapped, "$[2]", "variant").isNull()
-    return F.when(is_object & alone, F.try_variant_get(wrapped, "$[0]", "variant"))
-
-
 def decompress_step(options: dict) -> Step:
     algorithm = option(options, "algorithm", "decompress")
     if algorithm != "gzip":
@@ -56,12 +35,9 @@ def decompress_step(options: dict) -> Step:
 def parse_json_step(options: dict) -> Step:
     def apply(scope: Scope) -> None:
         data = F.col(scope.data)
-        (wrapped,) = scope.hold(json=wrap_json(data))
-        body = scope.add_json(json_body(data, wrapped))
+        complete = scope.add_json(data.cast("string"))
         empty = F.coalesce(F.octet_length(data), F.lit(0)) == 0
-        message = F.when(empty, "payload is empty").when(
-            body.isNull(), "payload is not a JSON object"
-        )
+        message = F.when(empty, "payload is empty").when(~complete, "payload is not a JSON object")
         scope.fail("parse_json", message, structural=True)
 
     return Step("parse_json", apply, structural=True)
@@ -265,10 +241,19 @@ def decompress(df: DataFrame, column: str = "payload", algorithm: str = "gzip")
     return df.withColumn(column, codecs.gunzip(F.col(column)))
 
 
+def json_value(text: Column) -> Column:
+    """VARIANT of a text that is exactly one JSON value, else NULL; ``text`` is a plain column."""
+    document = F.try_parse_json(close_json(text))
+    end = F.try_variant_get(document, f"$[1]['{END_KEY}']", "bigint")
+    alone = (end == 1) & F.try_variant_get(document, "$[2]", "variant").isNull()
+    return F.when(alone, F.try_variant_get(document, "$[0]", "variant"))
+
+
 def parse_json(df: DataFrame, column: str = "payload", target: str = "body") -> DataFrame:
     """Add the VARIANT of a JSON object payload (NULL when it is none)."""
-    df = df.withColumn("__json", wrap_json(F.col(column)))
-    return df.withColumn(target, json_body(F.col(column), F.col("__json"))).drop("__json")
+    text = F.col(column).cast("string")
+    is_object = text.startswith("{") | text.rlike(r"^[ \t\r\n]*[{n]")
+    return df.withColumn(target, F.when(is_object, json_value(text)))
 
 
 def parse_protobuf(

@@ -218,28 +218,78 @@ def variant_path(segments: list[str]) -> str:
     for segment in segments:
         if "[" not in segment and "'" not in segment:
             steps.append(f".{segment}" if segment.isidentifier() else f"['{segment}']")
-        elif '"' not in segment:
-            steps.append(f'["{segment}"]')
         else:
-            steps.append(f"['{segment}']")
+            steps.append(f'["{segment}"]')
     return "$" + "".join(steps)
 
 
+# Appended after a payload so that text trailing the object is noticed.
+END_KEY = "~end of message~"
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def close_json(text: Column) -> Column:
+    """The payload as the first of two array elements, the second being the end mark."""
+    return F.concat(F.lit("["), text, F.lit(f',{{"{END_KEY}":1}}]'))
+
+
+def json_paths(paths: list[list[str]]) -> list[tuple[str, ...]]:
+    """Distinct paths without those below another one."""
+    distinct = list(dict.fromkeys(map(tuple, paths)))
+    return [p for p in distinct if not any(p[:n] in distinct for n in range(1, len(p)))]
+
+
+def json_schema(paths: list[tuple[str, ...]]) -> T.ArrayType:
+    """Schema that reads the given paths as VARIANT and the end mark."""
+
+    def struct(below: list[tuple[str, ...]]) -> T.StructType:
+        fields = []
+        for name in dict.fromkeys(path[0] for path in below):
+            deeper = [path[1:] for path in below if path[0] == name and len(path) > 1]
+            fields.append(T.StructField(name, struct(deeper) if deeper else T.VariantType()))
+        return T.StructType(fields)
+
+    top = struct(paths)
+    return T.ArrayType(T.StructType([*top.fields, T.StructField(END_KEY, T.LongType())]))
+
+
+class Branch(Field):
+    """An object of which only some descendants are known."""
+
+    def __init__(self, below: dict[tuple[str, ...], Field]):
+        present = reduce(lambda a, b: a | b, [field.exists() for field in below.values()])
+        super().__init__({"object": Slot(F.when(present, F.lit(True)))})
+        object.__setattr__(self, "below", below)
+
+    def child(self, name: str) -> Field:
+        if (name,) in self.below:
+            return self.below[(name,)]
+        deeper = {path[1:]: field for path, field in self.below.items() if path[0] == name}
+        return Branch(deeper) if deeper else Field({})
+
+
 @dataclass
-class Body:
-    """A decoded payload: every key in it is a field."""
+class JsonBody:
+    """A decoded JSON object: the fields read from it, by path."""
 
-    column: Column
-    dtype: T.StructType | None  # None for JSON
     paths: dict[tuple[str, ...], Field]
 
     def find(self, name: str) -> Field | None:
         if (name,) in self.paths:
             return self.paths[(name,)]
-        if self.dtype is None:
-            return Field({"json": json_slot(
-                F.try_variant_get(self.column, variant_path([name]), "variant")
-            )})
+        # Only values below this name are read: a stand-in that descends to them.
+        below = {path[1:]: field for path, field in self.paths.items() if path[0] == name}
+        return Branch(below) if below else None
+
+
+@dataclass
+class MessageBody:
+    """A decoded protobuf message: every set field in it is a field."""
+
+    column: Column
+    dtype: T.StructType
+
+    def find(self, name: str) -> Field | None:
         if name not in self.dtype.fieldNames():
             return None
         return Field(dict([slot_of(self.column.getField(name), self.dtype[name].dataType)]))
@@ -263,7 +313,7 @@ class Scope:
         self.inputs = df.columns
         self.data = data
         self.subject = subject
-        self.layers: list[Body | Assignment] = []
+        self.layers: list[JsonBody | MessageBody | Assignment] = []
         self.errors: list[tuple[str, str, bool]] = []  # (column, step, structural)
         self.upcoming: list[list[str]] = []  # paths later steps will read
         self._source = df
@@ -298,21 +348,26 @@ class Scope:
 
     # Fields
 
-    def add_json(self, value: Column) -> Column:
-        """Make every key of a decoded JSON object a field."""
-        name = self.hold_as("body", value)
-        body = Body(F.col(name), None, {})
-        # The paths the remaining steps ask for are read side by side.
-        for path in dict.fromkeys(map(tuple, self.upcoming)):
-            item = F.try_variant_get(F.col(name), variant_path(list(path)), "variant")
+    def add_json(self, text: Column) -> Column:
+        """Make the keys of a JSON object fields; returns whether the text is one object.
+
+        One parse reads exactly the paths that steps ask for, each as a small VARIANT.
+        """
+        wanted = json_paths(self.upcoming)
+        (document,) = self.hold(json=F.from_json(close_json(text), json_schema(wanted), STRICT_JSON))
+        first = F.try_element_at(document, F.lit(1))
+        body = JsonBody({})
+        for path in wanted:
+            item = reduce(lambda column, name: column.getField(name), path, first)
             v, t = self.hold(v=item, t=F.schema_of_variant(item))
             body.paths[path] = Field({"json": Slot(v, tag=t)})
         self.layers.append(body)
-        return F.col(name)
+        ends = F.try_element_at(document, F.lit(2)).getField(END_KEY)
+        return F.coalesce((F.size(document) == 2) & (ends == 1), F.lit(False))
 
     def add_message(self, value: Column, dtype: T.StructType) -> None:
         """Make every set field of a decoded message a field; ``value`` is a held column."""
-        self.layers.append(Body(value, dtype, {}))
+        self.layers.append(MessageBody(value, dtype))
 
     def lookup(self, path: str | list[str]) -> Field:
         """Resolve a dot path against the newest value of its first segment."""
@@ -322,8 +377,10 @@ class Scope:
         found = [(layer, field) for layer, field in found if field is not None]
         if not found:
             return Field({})
-        if len(found) == 1 and isinstance(found[0][0], Body) and tuple(segments) in found[0][0].paths:
-            return found[0][0].paths[tuple(segments)]
+        if len(found) == 1 and isinstance(found[0][0], JsonBody):
+            exact = found[0][0].paths.get(tuple(segments))
+            if exact is not None:
+                return exact
         key = (tuple(segments), *[id(layer) for layer, _ in found])
         if key not in self._lookups:
             field = found[0][1]

@@ -136,7 +136,10 @@ class Pipeline:
             later = self.steps[position + 1 :]
             scope.upcoming = [list(p) for s in later for p in s.reads]
             scope.upcoming += [list(p) for p in (self.series.reads if self.series else ())]
-            scope.upcoming += [[name] for name, _ in self.columns if not _assigned(name, later)]
+            # A body key stays visible under its own name: as an output column, as table
+            # or index, and under the target of a step that fails.
+            scope.upcoming += [[name] for name, _ in self.columns] + [[INDEX], [TABLE]]
+            scope.upcoming += [[s.target] for s in later if s.target]
             step.apply(scope)
         return self._finish(scope)
 
@@ -237,10 +240,6 @@ def error_list(errors: list[tuple[str, str, bool]]) -> Column:
     return F.when(stop > 0, F.slice(found, 1, stop)).otherwise(found)
 
 
-def _assigned(name: str, steps: list[Step]) -> bool:
-    return any(step.target == name for step in steps)
-
-
 def validate_pipeline(spec: dict) -> None:
     """Raise ``InvalidPipelineError`` when the declaration cannot run."""
     Pipeline(spec)

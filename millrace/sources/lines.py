@@ -6,7 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.decode import END_MARK
+from ..operators.decode import json_value
 
 
 class Lines(NamedTuple):
@@ -16,12 +16,7 @@ class Lines(NamedTuple):
 
 def is_json(text: Column) -> Column:
     """Whether a text is exactly one JSON value."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
-    return F.coalesce(
-        (F.try_variant_get(wrapped, "$[1]", "string") == END_MARK)
-        & F.try_variant_get(wrapped, "$[2]", "variant").isNull(),
-        F.lit(False),
-    )
+    return json_value(text).isNotNull()
 
 
 def json_lines(lines: DataFrame, column: str = "value") -> Lines:
