@@ -57,7 +57,7 @@ def gunzip(data: Column) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def run(batch: pa.Array) -> pa.Array:
-        return pa.array([_inflate(item.as_py()) for item in batch], pa.binary())
+        return pa.array([_inflate(item) for item in batch.to_pylist()], pa.binary())
 
     return run(data)
 
@@ -73,7 +73,7 @@ def gzip(data: Column, level: int = 6) -> Column:
             stream = zlib.compressobj(level, zlib.DEFLATED, 31)
             return stream.compress(item) + stream.flush()
 
-        return pa.array([deflate(item.as_py()) for item in batch], pa.binary())
+        return pa.array([deflate(item) for item in batch.to_pylist()], pa.binary())
 
     return run(data)
 

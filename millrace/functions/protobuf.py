@@ -134,6 +134,6 @@ def decode_protobuf(data: Column, descriptor_set: bytes, message_type: str) -> C
             except (DecodeError, OverflowError, ValueError):
                 return None
 
-        return pa.array([read(item.as_py()) for item in batch], arrow_type)
+        return pa.array([read(item) for item in batch.to_pylist()], arrow_type)
 
     return run(data)

@@ -173,7 +173,9 @@ def _exact_ns(moment: Column, finer: Column, text: Column, digits: str) -> Colum
 def _iso_ns(text: Column, suffix: str) -> Column:
     """Layouts already written the way Spark casts need no rebuilding."""
     moment = F.concat(F.replace(text, F.lit(","), F.lit(".")), F.lit(suffix)).try_cast("timestamp")
-    return _exact_ns(moment, F.length(text) > 26, text, "[.,][0-9]{6}([0-9]{1,3})")
+    # Date, time and six digits take 26 characters, a Z in the text one more.
+    longest = 26 if suffix else 27
+    return _exact_ns(moment, F.length(text) > longest, text, "[.,][0-9]{6}([0-9]{1,3})")
 
 
 _ISO = re.compile(r"2006-01-02[T ]15:04:05(?:[.,](?:0+|9+))?(Z07:00|-07:00|Z)?$")

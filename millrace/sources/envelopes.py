@@ -23,6 +23,18 @@ def read_messages(
     return reader.parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every task slot when a batch has fewer input splits than the session has slots.
+
+    Decoding costs far more than moving a few small splits. Inputs with enough splits,
+    which is any large one, come back unchanged. ``key`` should be nearly unique.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, key)
+
+
 def with_sequence(df: DataFrame, sequence: str = "sequence") -> DataFrame:
     """Fill a missing sequence with a position unique within the batch."""
     position = F.monotonically_increasing_id()

@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from millrace.sources.envelopes import spread
+
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -59,7 +61,7 @@ def event_subject() -> Column:
 
 def event_messages(spark: SparkSession, sf_dir: str, payload: Column | None = None) -> DataFrame:
     """One JSON message per event."""
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"), "event_id")
     body = F.to_json(F.struct(*event_fields())) if payload is None else payload
     return envelope(events, event_subject(), F.col("event_id"), utc("ts"), body)
 

@@ -112,7 +112,7 @@ def ingest_event_rows(spark, sf_dir):
        FROM orders""",
 )
 def convert_types(spark, sf_dir):
-    orders = m.table(spark, sf_dir, "orders")
+    orders = envelopes.spread(m.table(spark, sf_dir, "orders"), "o_orderkey")
     body = F.to_json(F.struct(
         "o_totalprice", F.col("o_custkey").cast("string").alias("cust"), F.lit(True).alias("flag"),
         F.col("o_orderkey").alias("key"), F.struct("o_orderstatus").alias("nested"),
@@ -174,7 +174,7 @@ def number_text(spark, sf_dir):
        FROM events""",
 )
 def safe_parse_number(spark, sf_dir):
-    events = m.table(spark, sf_dir, "events")
+    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
     kind = F.col("event_type")
     reading = (
         F.when(kind == "error", "SENSOR_FAULT")
@@ -215,7 +215,7 @@ FORMATS = {
         FROM events""",
 )
 def timestamp_formats(spark, sf_dir):
-    events = m.table(spark, sf_dir, "events")
+    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
     parts = [F.date_format(m.utc("ts"), pattern).alias(n) for n, (_, pattern) in FORMATS.items()]
     parts.append(F.unix_micros(m.utc("ts")).alias("as_unix_us"))
     parts.append(F.unix_seconds(m.utc("ts")).cast("string").alias("as_unix_text"))
@@ -266,7 +266,7 @@ def subject_segments(spark, sf_dir):
        FROM customer""",
 )
 def compute_chain(spark, sf_dir):
-    customer = m.table(spark, sf_dir, "customer")
+    customer = envelopes.spread(m.table(spark, sf_dir, "customer"), "c_custkey")
     body = F.to_json(F.struct("c_name", "c_mktsegment"))
     messages = m.envelope(customer, F.lit("c"), F.col("c_custkey"), F.current_timestamp(), body)
     spec = {
@@ -295,7 +295,7 @@ def compute_chain(spark, sf_dir):
        FROM orders GROUP BY 1""",
 )
 def shard_route(spark, sf_dir):
-    orders = m.table(spark, sf_dir, "orders")
+    orders = envelopes.spread(m.table(spark, sf_dir, "orders"), "o_orderkey")
     routed = orders.select(
         text.shard_name(F.col("o_custkey").cast("string"), "shard/").alias("table_name")
     )
@@ -492,7 +492,7 @@ def waveform_spec(interval: dict) -> dict:
 
 
 def waveform_messages(spark, sf_dir):
-    df = m.table(spark, sf_dir, "embeddings")
+    df = envelopes.spread(m.table(spark, sf_dir, "embeddings"), "vec_id")
     samples = F.col("embedding").cast("array<double>")
     body = F.to_json(F.struct(
         F.lit("2024-01-01T00:00:00.5Z").alias("ts"),
@@ -565,7 +565,7 @@ def unpack_scaled(spark, sf_dir):
     """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
 )
 def gzip_base64_roundtrip(spark, sf_dir):
-    orders = m.table(spark, sf_dir, "orders")
+    orders = envelopes.spread(m.table(spark, sf_dir, "orders"), "o_orderkey")
     names = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
     armoured = orders.select(
         codecs.encode_payload([F.col(n) for n in names], ("json", "gzip", "base64")).alias("value")
@@ -583,7 +583,7 @@ def gzip_base64_roundtrip(spark, sf_dir):
        UNION ALL SELECT event_id, NULL, NULL, 'unusable' FROM events WHERE event_type = 'error'""",
 )
 def map_entry(spark, sf_dir):
-    events = m.table(spark, sf_dir, "events")
+    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
     entry = F.create_map(F.col("user_id").cast("string"), F.col("value"))
     # A key sorting after every digit, so that the number stays the smallest key.
     second = F.map_concat(entry, F.create_map(F.lit("z"), F.lit(0.0)))
