@@ -243,10 +243,16 @@ def top_tables(counts: DataFrame, n: int = 10) -> DataFrame:
     merged = counts.groupBy("table_name").agg(F.sum("rows").alias("rows"), F.sum("msgs").alias("msgs"))
     total = merged.agg(F.sum("rows")).scalar()
     distinct = merged.agg(F.count(F.when(F.col("table_name") != OVERFLOW, 1))).scalar()
-    top = merged.orderBy(F.desc("rows"), F.asc("table_name")).limit(n)
-    top = top.withColumns({"total_rows": total, "tables_distinct": distinct})
-    share = F.when(F.col("total_rows") > 0, F.col("rows") / F.col("total_rows") * 100).otherwise(0.0)
-    return top.select("table_name", "rows", "msgs", share.alias("share_pct"), "tables_distinct", "total_rows")
+    share = F.when(total > 0, F.col("rows") / total * 100).otherwise(0.0)
+    # One projection right above the limit keeps it a top-n without a full sort.
+    return merged.orderBy(F.desc("rows"), F.asc("table_name")).limit(n).select(
+        "table_name",
+        "rows",
+        "msgs",
+        share.alias("share_pct"),
+        distinct.alias("tables_distinct"),
+        total.alias("total_rows"),
+    )
 
 
 def reconcile_counts(actual: DataFrame, expected: DataFrame) -> DataFrame:

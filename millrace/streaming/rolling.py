@@ -23,7 +23,7 @@ def bucket_counts(tallies: DataFrame, time: Column, seconds: int = BUCKET_SECOND
     ``tallies`` has ``table_name, rows, msgs, sequence``. Partial sums combine before
     the shuffle, so a dominating table costs one row per task.
     """
-    work = tallies.withColumn("bucket", bucket_of(time, seconds))
+    work = tallies.withColumn("bucket", bucket_of(time, seconds)).filter(F.col("bucket").isNotNull())
     return work.groupBy("bucket", "table_name").agg(
         F.sum("rows").alias("rows"), F.sum("msgs").alias("msgs"), F.min("sequence").alias("first_seen")
     )
@@ -34,17 +34,22 @@ def fold_overflow(counts: DataFrame, max_distinct: int = MAX_DISTINCT) -> DataFr
 
     Names rank by their first sequence, then by name. The rank filter lets Spark cut
     every task's share to ``max_distinct`` names before the shuffle; all counts are kept.
+    Both branches ask for the same columns of ``counts``, so its shuffle is shared.
     """
     arrival = Window.partitionBy("bucket").orderBy("first_seen", "table_name")
     named = (
         counts.withColumn("__rank", F.row_number().over(arrival))
         .filter(F.col("__rank") <= max_distinct)
-        .select("bucket", "table_name", F.lit(True).alias("__named"))
+        .select("bucket", "table_name", (F.col("rows") + F.col("msgs")).alias("__kept"))
     )
     marked = counts.join(named, ["bucket", "table_name"], "left")
-    label = F.when(F.col("__named"), F.col("table_name")).otherwise(F.lit(OVERFLOW))
-    return marked.groupBy("bucket", label.alias("table_name")).agg(
-        F.sum("rows").alias("rows"), F.sum("msgs").alias("msgs")
+    label = F.when(F.col("__kept").isNotNull(), F.col("table_name")).otherwise(F.lit(OVERFLOW))
+    return sum_counts(marked, "bucket", label.alias("table_name"))
+
+
+def sum_counts(counts: DataFrame, *keys) -> DataFrame:
+    return counts.groupBy(*keys).agg(
+        F.sum("rows").alias("rows"), F.sum("msgs").alias("msgs"), F.min("first_seen").alias("first_seen")
     )
 
 
@@ -65,10 +70,8 @@ def rolling_table_counts(
     if max_distinct is not None:
         counts = fold_overflow(counts, max_distinct)
     ends = F.explode(F.sequence(F.col("bucket"), F.col("bucket") + buckets - 1))
-    spread = counts.select(ends.alias("window_bucket"), "table_name", "rows", "msgs")
-    return spread.groupBy("window_bucket", "table_name").agg(
-        F.sum("rows").alias("rows"), F.sum("msgs").alias("msgs")
-    )
+    spread = counts.select(ends.alias("window_bucket"), "table_name", "rows", "msgs", "first_seen")
+    return sum_counts(spread, "window_bucket", "table_name")
 
 
 def window_report(window: DataFrame, n: int = 10) -> DataFrame:

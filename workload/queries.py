@@ -570,7 +570,9 @@ def gzip_base64_roundtrip(spark, sf_dir):
     armoured = orders.select(
         codecs.encode_payload([F.col(n) for n in names], ("json", "gzip", "base64")).alias("value")
     )
-    payloads = lines.base64_lines(armoured).messages
+    folder = m.work_folder(spark)
+    armoured.write.mode("overwrite").text(folder)
+    payloads = lines.read_base64_lines(spark, folder).messages
     plain = decode.parse_json(decode.decompress(payloads))
     types = dict(zip(names, ["bigint", "string", "double", "string"]))
     return plain.select(*[F.try_variant_get("body", f"$.{n}", t).alias(n) for n, t in types.items()])
@@ -946,14 +948,15 @@ ROLLING = """WITH c AS (SELECT epoch_us(ts) // {width}000000 AS bucket, event_ty
       count(*) AS rows, min(event_id) AS first_seen FROM events GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY first_seen, table_name) AS place FROM c),
     f AS (SELECT bucket, CASE WHEN place <= {cap} THEN table_name ELSE 'other' END AS table_name,
-      sum(rows) AS rows FROM r GROUP BY 1, 2),
-    w AS (SELECT bucket + s AS window_bucket, table_name, CAST(sum(rows) AS BIGINT) AS rows
+      sum(rows) AS rows, min(first_seen) AS first_seen FROM r GROUP BY 1, 2),
+    w AS (SELECT bucket + s AS window_bucket, table_name, CAST(sum(rows) AS BIGINT) AS rows,
+        min(first_seen) AS first_seen
       FROM f, (SELECT unnest([0, 1, 2, 3, 4]) AS s) GROUP BY 1, 2)"""
 
 
 @query(
     "rolling_table_counts",
-    ROLLING.format(width=60, cap=10_000) + " SELECT window_bucket, table_name, rows, rows AS msgs FROM w",
+    ROLLING.format(width=60, cap=10_000) + " SELECT window_bucket, table_name, rows, rows AS msgs, first_seen FROM w",
 )
 def rolling_table_counts(spark, sf_dir):
     return rolling.rolling_table_counts(user_tallies(spark, sf_dir), F.col("ts"))
@@ -961,7 +964,7 @@ def rolling_table_counts(spark, sf_dir):
 
 @query(
     "rolling_overflow",
-    ROLLING.format(width=3600, cap=3) + " SELECT window_bucket, table_name, rows, rows AS msgs FROM w",
+    ROLLING.format(width=3600, cap=3) + " SELECT window_bucket, table_name, rows, rows AS msgs, first_seen FROM w",
 )
 def rolling_overflow(spark, sf_dir):
     return rolling.rolling_table_counts(user_tallies(spark, sf_dir), F.col("ts"), 3600, max_distinct=3)
