@@ -53,4 +53,5 @@ def highest_bound(counts: Column, bounds: Column) -> Column:
     """Upper bound of the last non-empty bucket, the tail counting as the last bound."""
     used = F.filter(F.sequence(F.lit(1), F.size(counts)), lambda i: F.element_at(counts, i) > 0)
     top = F.array_max(used)
-    return F.coalesce(F.try_element_at(bounds, F.least(top, F.size(bounds))), F.lit(0.0))
+    bound = F.try_element_at(bounds, F.least(top, F.size(bounds)))
+    return F.when(top.isNull(), F.lit(0.0)).otherwise(bound)
