@@ -77,12 +77,12 @@ def state_counts(df: DataFrame, state: str = "state") -> DataFrame:
 def histogram(df: DataFrame, value: Column, bounds: list[float], by: list[str] | None = None) -> DataFrame:
     """Cumulative histogram in one pass: one row per bound plus the infinite one.
 
-    Negative values count as 0. ``le`` is infinity on the last row, whose
+    Negative values count as 0, NULLs not at all. ``le`` is infinity on the last row, whose
     ``cumulative`` is the number of values; ``total`` is their sum.
     """
     keys = by or []
-    clamped = df.select(*keys, F.greatest(value.cast("double"), F.lit(0.0)).alias("__v"))
-    clamped = clamped.filter(F.col("__v").isNotNull())
+    observed = df.select(*keys, value.cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    clamped = observed.withColumn("__v", F.greatest("__v", F.lit(0.0)))
     counts = [F.count(F.when(F.col("__v") <= b, 1)) for b in bounds] + [F.count(F.lit(1))]
     summary = clamped.groupBy(*keys).agg(
         F.array(*counts).alias("cumulative"), F.coalesce(F.sum("__v"), F.lit(0.0)).alias("total")

@@ -34,13 +34,13 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path in paths:
             uri = path if "://" in path else path.replace(":/", ":///", 1)
             system, name = fs.FileSystem.from_uri(uri)
-            with system.open_input_stream(name) as stream:
+            with system.open_input_stream(name, compression=None) as stream:
                 heads.append(stream.read(HEAD_BYTES))
         yield pa.record_batch([pa.array(paths), pa.array(heads, pa.binary())], names=["path", "head"])
 
 
 def detect_format(spark: SparkSession, directory: str) -> DataFrame:
-    """``path``, ``format`` and ``error`` of every file; only the first bytes are read."""
+    """``path``, ``format`` and ``error`` of every non-empty file; only the first bytes are read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
     heads = listing.select("path").mapInArrow(_heads, "path string, head binary")
     kind = format_of(F.col("head"))
