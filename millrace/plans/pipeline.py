@@ -169,10 +169,10 @@ class Pipeline:
         broken = any_set([name for name, _, structural in scope.errors if structural])
         flawed = any_set([name for name, _, structural in scope.errors if not structural])
         outcome = F.when(broken, UNUSABLE).when(flawed, PARTIAL).otherwise(OK)
-        # The condition always holds. Its random operand makes Catalyst evaluate the
-        # outcome where it is defined; filters on it would otherwise move below every
+        # The condition always holds. As it depends on the partition, Catalyst evaluates
+        # the outcome where it is defined; filters on it would otherwise move below every
         # step, and each of their references would decode the payload again.
-        outcome = F.when(F.rand(seed=0) >= 0.0, outcome)
+        outcome = F.when(F.spark_partition_id() >= 0, outcome)
         parsed = scope.frame().select(
             *[F.col(f"`{c}`") for c in scope.inputs],
             outcome.alias("outcome"),

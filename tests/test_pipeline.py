@@ -404,6 +404,12 @@ def test_registered_step(run):
 
 def test_outcome_filter_does_not_repeat_the_decoding(messages):
     """A filter on the outcome must stay above the steps: one JSON parse in the plan."""
-    pipeline = Pipeline(spec([JSON, field("a", "v", "float64"), TABLE]))
+    filters = {"mode": "whitelist", "match": [{"column": "i", "value": n} for n in (1, 2, 3)]}
+    steps = [JSON, field("a", "v", "float64"), field("b", "i", "int64"), compute("concat", "to", fields=["c", "d"])]
+    pipeline = Pipeline(spec([*steps, ("extract_table", {"source": "to"})], filters=filters))
     plan = pipeline.transform(messages(["{}"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and len(plan) < 100_000
+    # An array function's filter must not pull the decoding below itself either.
+    wave = Pipeline(spec([JSON, AT, TABLE, explode(target="v", ordinal="i")]))
+    plan = wave.transform(messages(["{}"]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
