@@ -33,6 +33,7 @@ HEADLINE = {
     "unpack_integers": "lineitem",
     "unpack_scaled": "embeddings",
     "map_entry": "events",
+    "protobuf_decode": "events",
     "write_routed": "events",
     "dedup_drop": "events",
     "dedup_upsert": "events",

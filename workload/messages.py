@@ -101,3 +101,42 @@ def pack(values: Column, code: str) -> Column:
         )
 
     return run(values)
+
+
+def event_descriptor() -> bytes:
+    """Descriptor set of a small event message, built without a compiler."""
+    from google.protobuf import descriptor_pb2
+
+    kinds = descriptor_pb2.FieldDescriptorProto
+    file = descriptor_pb2.FileDescriptorProto(name="event.proto", package="feed", syntax="proto3")
+    message = file.message_type.add(name="Event")
+    simple = [("id", kinds.TYPE_UINT64), ("kind", kinds.TYPE_STRING), ("value", kinds.TYPE_DOUBLE), ("ts_us", kinds.TYPE_INT64)]
+    for number, (name, kind) in enumerate(simple, 1):
+        message.field.add(name=name, number=number, type=kind, label=1)
+    entry = message.nested_type.add(name="BlobsEntry")
+    entry.options.map_entry = True
+    entry.field.add(name="key", number=1, type=kinds.TYPE_INT64, label=1)
+    entry.field.add(name="value", number=2, type=kinds.TYPE_STRING, label=1)
+    message.field.add(name="blobs", number=5, type=kinds.TYPE_MESSAGE, label=3, type_name=".feed.Event.BlobsEntry")
+    return descriptor_pb2.FileDescriptorSet(file=[file]).SerializeToString()
+
+
+def event_protobuf(descriptor_set: bytes, ts_us: Column) -> Column:
+    """Events as protobuf bytes, to have messages to decode."""
+
+    @F.arrow_udf(T.BinaryType())
+    def run(ids: pa.Array, kinds: pa.Array, values: pa.Array, times: pa.Array, users: pa.Array) -> pa.Array:
+        from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
+
+        pool = descriptor_pool.DescriptorPool()
+        for file in descriptor_pb2.FileDescriptorSet.FromString(descriptor_set).file:
+            pool.Add(file)
+        event = message_factory.GetMessageClass(pool.FindMessageTypeByName("feed.Event"))
+        out = []
+        for i, kind, value, at, user in zip(*[c.to_pylist() for c in (ids, kinds, values, times, users)]):
+            message = event(id=i, kind=kind, value=value, ts_us=at)
+            message.blobs[user] = kind
+            out.append(message.SerializeToString())
+        return pa.array(out, pa.binary())
+
+    return run(F.col("event_id"), F.col("event_type"), F.col("value"), ts_us, F.col("user_id"))

@@ -606,6 +606,30 @@ def map_entry(spark, sf_dir):
     return Pipeline(spec).parse(messages).select("sequence", "row.*", "outcome")
 
 
+@query(
+    "protobuf_decode",
+    f"""SELECT event_id AS sequence, 'pb.' || event_type AS table_name, {NS.format('ts')} AS ts_ns, event_id AS id,
+          event_type AS kind, value, user_id AS "user", event_type AS blob FROM events""",
+)
+def protobuf_decode(spark, sf_dir):
+    descriptor_set = m.event_descriptor()
+    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
+    payload = m.event_protobuf(descriptor_set, F.unix_micros(m.utc("ts")))
+    messages = m.envelope(events, F.lit("pb"), F.col("event_id"), m.utc("ts"), payload)
+    spec = {
+        "output": columns(id="int64", kind="string", value="double", user="int64", blob="string"),
+        "transformations": [
+            step("parse_protobuf", descriptor_set=descriptor_set, message_type="feed.Event"),
+            step("extract_map_entry", source="blobs", key_target="user", value_target="blob"),
+            compute("concat", "to", fields=['"pb."', "kind"]),
+            step("extract_table", source="to"),
+            step("extract_index", source="ts_us", format="unix_us"),
+        ],
+    }
+    # A field at its zero value is not on the wire: event 0 has no id.
+    return Pipeline(spec).transform(messages).withColumn("id", F.coalesce("id", F.lit(0).cast("bigint")))
+
+
 # Sources
 
 
