@@ -239,17 +239,17 @@ def json_paths(paths: list[list[str]]) -> list[tuple[str, ...]]:
     return [p for p in distinct if not any(p[:n] in distinct for n in range(1, len(p)))]
 
 
-def json_schema(paths: list[tuple[str, ...]]) -> T.ArrayType:
-    """Schema that reads the given paths as VARIANT and the end mark."""
+def json_schema(types: dict[tuple[str, ...], T.DataType]) -> T.ArrayType:
+    """Schema that reads the given paths and the end mark."""
 
-    def struct(below: list[tuple[str, ...]]) -> T.StructType:
+    def struct(below: dict[tuple[str, ...], T.DataType]) -> T.StructType:
         fields = []
         for name in dict.fromkeys(path[0] for path in below):
-            deeper = [path[1:] for path in below if path[0] == name and len(path) > 1]
-            fields.append(T.StructField(name, struct(deeper) if deeper else T.VariantType()))
+            deeper = {path[1:]: t for path, t in below.items() if path[0] == name and len(path) > 1}
+            fields.append(T.StructField(name, struct(deeper) if deeper else below[(name,)]))
         return T.StructType(fields)
 
-    top = struct(paths)
+    top = struct(types)
     return T.ArrayType(T.StructType([*top.fields, T.StructField(END_KEY, T.LongType())]))
 
 
@@ -316,6 +316,7 @@ class Scope:
         self.layers: list[JsonBody | MessageBody | Assignment] = []
         self.errors: list[tuple[str, str, bool]] = []  # (column, step, structural)
         self.upcoming: list[list[str]] = []  # paths later steps will read
+        self.samples: set[tuple[str, ...]] = set()  # paths read as arrays of doubles only
         self._source = df
         self._lookups: dict[tuple, Field] = {}
         self._levels: list[dict[str, Column]] = []
@@ -353,14 +354,25 @@ class Scope:
 
         One parse reads exactly the paths that steps ask for, each as a small VARIANT.
         """
-        wanted = json_paths(self.upcoming)
-        (document,) = self.hold(json=F.from_json(close_json(text), json_schema(wanted), STRICT_JSON))
+        types: dict[tuple[str, ...], T.DataType] = {
+            path: T.VariantType() for path in json_paths(self.upcoming)
+        }
+        for path in self.samples:
+            # A sample array nothing else reads skips VARIANT; the JSON reader is as strict.
+            related = [p for p in self.upcoming if tuple(p[: len(path)]) == path]
+            if path in types and len(related) == 1:
+                types[path] = T.ArrayType(T.DoubleType())
+        (document,) = self.hold(json=F.from_json(close_json(text), json_schema(types), STRICT_JSON))
         first = F.try_element_at(document, F.lit(1))
         body = JsonBody({})
-        for path in wanted:
+        for path, dtype in types.items():
             item = reduce(lambda column, name: column.getField(name), path, first)
-            v, t = self.hold(v=item, t=F.schema_of_variant(item))
-            body.paths[path] = Field({"json": Slot(v, tag=t)})
+            if isinstance(dtype, T.VariantType):
+                v, t = self.hold(v=item, t=F.schema_of_variant(item))
+                body.paths[path] = Field({"json": Slot(v, tag=t)})
+            else:
+                (values,) = self.hold(floats=item)
+                body.paths[path] = Field({"floats": Slot(values)})
         self.layers.append(body)
         ends = F.try_element_at(document, F.lit(2)).getField(END_KEY)
         return F.coalesce((F.size(document) == 2) & (ends == 1), F.lit(False))

@@ -104,10 +104,12 @@ def series_array(field: Field, kind: str) -> Column:
         pattern = r"^ARRAY<(DOUBLE|BIGINT|DECIMAL\([0-9,]+\)|VOID)>$"
         values = F.when(slot.tag.rlike(pattern), F.try_variant_get(slot.value, "$", "array<double>"))
         if kind == "floats":
-            parts.append(F.when(~F.array_contains(F.transform(values, F.isnull), True), values))
+            parts.append(values)
         else:
             parts.append(F.when(F.size(values) == 0, F.array().cast(dtype)))
-    return first_of(parts, dtype)
+    found = first_of(parts, dtype)
+    # An element of another type is NULL by now.
+    return F.when(F.forall(found, lambda x: x.isNotNull()), found)
 
 
 def sourced_interval(whole: Column, number: Column, unit_ns: int) -> Column:
@@ -144,10 +146,7 @@ def resolve_series(scope: Scope, series: Series) -> tuple[Column, Column, Column
     (interval,) = scope.hold(interval=F.when(last.isNotNull() | start.isNull(), interval.cast("bigint")))
     error = (
         F.when(
-            values.isNull(),
-            F.when(field.exists(), f"field {name!r} is no array of {series.kind}").otherwise(
-                f"field {name!r} not found"
-            ),
+            values.isNull(), f"field {name!r} is missing or no array of {series.kind}"
         )
         .when(count == 0, F.lit(None))
         .when(

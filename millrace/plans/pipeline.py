@@ -130,6 +130,8 @@ class Pipeline:
         if taken:
             messages = messages.drop(*taken)
         scope = Scope(messages, payload, subject)
+        if self.series is not None and self.series.kind == "floats":
+            scope.samples = {tuple(self.series.source)}
         empty = F.coalesce(F.octet_length(F.col(payload)), F.lit(0)) == 0
         scope.fail("message", F.when(empty, "message is empty"), structural=True)
         for position, step in enumerate(self.steps):
