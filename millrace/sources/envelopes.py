@@ -36,7 +36,7 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def with_sequence(df: DataFrame, sequence: str = "sequence") -> DataFrame:
-    """Fill a missing sequence with a position unique within the batch."""
+    """Fill a missing sequence with a position unique within the batch (not for streams)."""
     position = F.monotonically_increasing_id()
     value = F.coalesce(F.col(sequence), position) if sequence in df.columns else position
     return df.withColumn(sequence, value)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ def work_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         return tempfile.mkdtemp(prefix="millrace-")
-    return f"{root.rstrip('/')}/millrace-{next(tempfile._get_candidate_names())}"
+    return f"{root.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
 def utc(column: str) -> Column:
