@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tools.check import plain
-from workload.queries import TABLE_NAMES
+from workload.queries import QUERIES, TABLE_NAMES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="fixture tables are not here")
@@ -21,7 +21,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
     df = queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
