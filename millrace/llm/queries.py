@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import trie_bpe
+from . import jaccard_join, trie_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,3 +33,8 @@ def vocabulary(name: str) -> str:
 def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = trie_bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return coded.select("doc_id", F.col("n_tokens"), "ids_sha256", "decoded_sha256")
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=3, threshold="0.9")
