@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard_join, trie_bpe
+from . import compression, jaccard_join, trie_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +38,8 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=3, threshold="0.9")
+
+
+@query
+def op6_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression.judge_texts(table(spark, sf_dir, "documents"))
