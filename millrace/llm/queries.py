@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, trie_bpe
+from . import compression, jaccard_join, language, secret_scan, trie_bpe
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +43,15 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression.judge_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return secret_scan.scan_texts(documents, secret_scan.train(documents))
