@@ -203,6 +203,7 @@ class TextCoder:
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         self.names = {i: t for t, i in (self.vocab | self.special).items()}
         self.ids: dict[str, str] = {}
+        self.decoded: dict[str, str] = {}
 
     def words(self, chunk: str) -> list[str]:
         """Byte-character words of a chunk. Latin letters are composed already and cut here;
@@ -236,20 +237,29 @@ class TextCoder:
         }
         for chunk, words in cut.items():
             ids[chunk] = known[words[0]] if len(words) == 1 else " ".join(map(known.__getitem__, words))
+        if len(self.decoded) > REMEMBERED:
+            self.decoded.clear()
 
-    def encode(self, text: str) -> str:
-        """Decimal ids joined by spaces, of a text whose words are known."""
+    def encode(self, text: str) -> list[str]:
+        """The ids of each word of a text that was learnt, as decimals joined by spaces."""
         found = []
         for i, part in enumerate(self.parts(text)):
             if i % 2:
                 found.append(str(self.special[part]))
             else:
                 found.extend(map(self.ids.__getitem__, self.chunks(part)))
-        return " ".join(found)
+        return found
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: str) -> str:
         """Token strings joined by spaces: the vocabulary names no decoder."""
-        return " ".join(map(self.names.__getitem__, ids))
+        return " ".join([self.names[int(i)] for i in ids.split(" ")])
+
+    def decode_words(self, words: list[str]) -> str:
+        """The same for the ids of many words, each distinct one decoded once."""
+        decoded = self.decoded
+        for ids in {w for w in words if w not in decoded}:
+            decoded[ids] = self.decode(ids)
+        return " ".join(map(decoded.__getitem__, words))
 
 
 def encode_texts(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,16 +273,14 @@ def encode_texts(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = TextCoder(path)
-        name: dict[str, str] = {str(i): t for i, t in coder.names.items()}
         for batch in batches:
             out: list[list] = [[], [], [], []]
             texts = [text or "" for text in batch.column(1).to_pylist()]
             coder.learn(texts)
             for text in texts:
-                ids = coder.encode(text)
-                each = ids.split(" ") if ids else []
-                decoded = " ".join(map(name.__getitem__, each))
-                out[0].append(len(each))
+                words = coder.encode(text)
+                ids, decoded = " ".join(words), coder.decode_words(words)
+                out[0].append(ids.count(" ") + 1 if ids else 0)
                 out[1].append(sha256(ids.encode()).hexdigest())
                 out[2].append(sha256(decoded.encode()).hexdigest())
                 out[3].append(ids)
