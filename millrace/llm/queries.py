@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, secret_scan, trie_bpe
+from . import compression, jaccard_join, language, secret_scan, trie_bpe, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,18 @@ def op4_nearest_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return secret_scan.scan_texts(documents, secret_scan.train(documents))
+
+
+# Host, path, whether the rule blocks.
+URL_RULES = [
+    ("org", "/", False),
+    ("example.org", "/es/", True),
+    ("example.org", "/en/1", True),
+    ("com", "/fr/", False),
+    ("com", "/de/", True),
+]
+
+
+@query
+def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
