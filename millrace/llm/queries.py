@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, secret_scan, trie_bpe, url_templates
+from . import compression, jaccard_join, language, mixing, secret_scan, trie_bpe, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,43 @@ URL_RULES = [
 @query
 def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+MIX_SEED = 7
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), seed=MIX_SEED)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op7_mixing"] = rf"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
+    FROM documents
+), sums AS (
+    SELECT source, sum(size)::BIGINT AS s, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+    FROM sized GROUP BY source
+), filled AS (
+    -- Words and weights left when the sources with a smaller limit by weight are full.
+    SELECT *, (SELECT sum(s) FROM sums)
+            - coalesce(sum(3 * s) OVER (ORDER BY 3 * s / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+        sum(w) OVER (ORDER BY 3 * s / w DESC, source DESC) AS weight
+    FROM sums
+), level AS (
+    SELECT rest, weight FROM filled WHERE 3 * s * weight > rest * w ORDER BY 3 * s / w, source LIMIT 1
+), goals AS (
+    SELECT source, s, CASE WHEN 3 * s * f.weight <= f.rest * w THEN (3 * s)::DOUBLE
+        ELSE ((SELECT rest FROM level) * w)::DOUBLE / (SELECT weight FROM level)::DOUBLE END AS target
+    FROM filled f
+), ordered AS (
+    SELECT doc_id, size, s, target, floor(target + 0.5)::BIGINT AS quota,
+        coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY md5('{MIX_SEED}:' || doc_id || ':' || size)
+            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+    FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+)
+SELECT doc_id, size, s AS source_size, target,
+    (size * (quota // s + CASE WHEN before * 2 + size <= quota % s * 2 THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ordered
+"""
