@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, mixing, secret_scan, trie_bpe, url_templates
+from . import compression, jaccard_join, language, mixing, posting_lists, secret_scan, trie_bpe, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,8 @@ SELECT doc_id, size, s AS source_size, target,
     (size * (quota // s + CASE WHEN before * 2 + size <= quota % s * 2 THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM ordered
 """
+
+
+@query
+def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
