@@ -38,12 +38,12 @@ class Settings:
     copies: int = 4
     border: float = 1.12
     # Lists a query reads: within the ratio, between these numbers.
-    ratio: float = 1.35
-    least: int = 12
-    most: int = 48
+    ratio: float = 1.4
+    least: int = 16
+    most: int = 96
     # The centroid graph: neighbours of each node, width of the search.
     links: int = 16
-    width: int = 96
+    width: int = 128
     # Entries or queries of a list in one task.
     block: int = 4096
     seed: int = 3

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, mixing, posting_lists, secret_scan, trie_bpe, url_templates
+from . import compression, jaccard_join, language, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,32 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# Key of the training order, and the id that pads sequences: the vocabulary's end of text.
+ORDER_KEY, END_OF_TEXT = 20_240_613, 50_256
+
+
+@query
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    documents = table(spark, sf_dir, "documents")
+    manifest, _ = training_order.training_order(
+        documents, path, public_tokenizers.PATTERN, ORDER_KEY, pad=END_OF_TEXT
+    )
+    return manifest
+
+
+@query
+def op2_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    scored = unigram_counts.zipf_vocabulary(pieces)
+    return unigram_counts.count_tokens(table(spark, sf_dir, "documents"), scored, model.unk_id())
+
+
 @query
 def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = trie_bpe.encode_texts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
