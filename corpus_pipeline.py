@@ -7,7 +7,7 @@ of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.llm import jaccard_join, language, mixing, secret_scan, trie_bpe
 from millrace.llm.queries import MIX_SEED, vocabulary
@@ -23,12 +23,17 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id, with the smallest
-    text if rows repeat the id. Documents without an id stay."""
-    found = jaccard_join.jaccard_components(docs.select(*COLUMNS), words=3, threshold="0.9")
+    """One document of each group of linked ones: that with the smallest id. A row that repeats
+    another's id and text goes; documents without an id stay."""
+    docs = docs.select(*COLUMNS)
+    found = jaccard_join.jaccard_components(docs, words=3, threshold="0.9")
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").select(*COLUMNS).join(kept, "doc_id", "left_semi")
-    return named.unionByName(docs.where("doc_id is null").select(*COLUMNS)).select(*COLUMNS)
+    # The join has dealt the rows by id already, so the window shuffles nothing.
+    copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    before = F.lag("text").over(Window.partitionBy("doc_id").orderBy("text"))
+    named = docs.join(kept, "doc_id", "left_semi").select("*", copy.alias("_copy"), before.alias("_before"))
+    named = named.where((F.col("_copy") == 1) | ~F.col("text").eqNullSafe(F.col("_before")))
+    return named.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
