@@ -104,12 +104,8 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: Fraction) ->
     """Number of rare fingerprints, and what the set is indexed by."""
     n = len(tokens)
     missing = int((1 - threshold) * n)
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-        common = frequent[at] == tokens
-        rare, common = tokens[~common], tokens[common]
-    else:
-        rare, common = tokens, tokens[:0]
+    common = among(tokens, frequent)
+    rare, common = tokens[~common], tokens[common]
     singles = rare[: missing + 1] | np.int64(1)
     if len(rare) > missing or len(common) < RUN:
         return len(rare), singles
@@ -121,26 +117,60 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: Fraction) ->
     return len(rare), np.concatenate([singles, mixed.view(np.int64) & np.int64(-2)])
 
 
-def frequent_tokens(texts: DataFrame, doc_id: str, text: str, words: int) -> np.ndarray:
-    """The sorted fingerprints of the frequent class, at most FREQUENT_LIMIT."""
+def head(tokens: np.ndarray) -> int:
+    """How many of a document's smallest fingerprints are counted in any case."""
+    return int(COUNTED * len(tokens)) + 2
+
+
+def among(tokens: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Which tokens are in a sorted array."""
+    if not len(chosen):
+        return np.zeros(len(tokens), bool)
+    return chosen[np.minimum(np.searchsorted(chosen, tokens), len(chosen) - 1)] == tokens
+
+
+def frequent_tokens(texts: DataFrame, text: str, words: int) -> np.ndarray:
+    """The sorted fingerprints of the frequent class, at most FREQUENT_LIMIT.
+
+    The smallest fingerprints of every document are counted. Where most of these are
+    frequent, as in large groups of near copies, the document's others are counted too, so
+    that what is rare in it are its own changes.
+    """
+    spark = texts.sparkSession
+    first = frequent_of(counts_of(texts, text, words, None))
+    rest = frequent_of(counts_of(texts, text, words, spark.sparkContext.broadcast(first)))
+    return np.union1d(first, rest)
+
+
+def counts_of(texts: DataFrame, text: str, words: int, frequent) -> DataFrame:
+    """``(token, n)`` of the heads, or, given their frequent tokens, of the rest of those
+    documents whose heads mostly hold such."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(words)
         for batch in batches:
-            heads = []
+            parts = [np.empty(0, np.int64)]
             for value in batch.column(0).to_pylist():
                 tokens = shingle(value)
-                heads.append(tokens[: int(COUNTED * len(tokens)) + 2])
-            tokens, counts = np.unique(np.concatenate(heads or [np.empty(0, np.int64)]), return_counts=True)
+                size = head(tokens)
+                if frequent is None:
+                    parts.append(tokens[:size])
+                elif 2 * among(tokens[:size], frequent.value).sum() > size:
+                    parts.append(tokens[size:])
+            tokens, counts = np.unique(np.concatenate(parts), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts)], ["token", "n"])
 
-    counted = by_text(texts, "token bigint, n bigint", rows, F.col(text))
-    often = stored(counted.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") > RARE), "frequent")
+    return by_text(texts, "token bigint, n bigint", rows, F.col(text)).groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def frequent_of(counts: DataFrame) -> np.ndarray:
+    """The tokens counted more than RARE times, the most frequent ones if they are too many."""
+    often = stored(counts.where(F.col("n") > RARE), "frequent")
     steps = often.groupBy(F.floor(F.log2("n") * 8).alias("step")).count().orderBy(F.desc("step")).collect()
     total, least = 0, None
     for step, count in steps:
         total += count
-        if total > FREQUENT_LIMIT:
+        if 2 * total > FREQUENT_LIMIT:
             break
         least = step
     if least is None:
@@ -272,7 +302,7 @@ def jaccard_components(
     """
     spark, limit = df.sparkSession, Fraction(str(threshold))
     texts = df.select(doc_id, text)
-    frequent = spark.sparkContext.broadcast(frequent_tokens(texts, doc_id, text, words))
+    frequent = spark.sparkContext.broadcast(frequent_tokens(texts, text, words))
     docs = stored(described(texts, doc_id, text, words, limit, frequent), "shingled")
     linkable = docs.where("c is not null and id is not null")
     facts = F.struct("n", "rare", "sketch", "signs")
