@@ -160,22 +160,20 @@ def _calendar_ns(text: Column, layout: Layout) -> Column:
         F.lit(":"), part("minute", "00"), F.lit(":"), part("second", "00"),
         F.lit("."), fraction, zone,
     )
-    return _exact_ns(iso.try_cast("timestamp"), F.length(fraction) > 6, fraction, "^[0-9]{6}([0-9]{1,3})")
+    return _exact_ns(iso.try_cast("timestamp"), fraction, "^[0-9]{6}([0-9]{1,3})")
 
 
-def _exact_ns(moment: Column, finer: Column, text: Column, digits: str) -> Column:
-    """Microseconds of the cast plus the digits below them, read only where there are any."""
+def _exact_ns(moment: Column, text: Column, digits: str) -> Column:
+    """Microseconds of the cast plus the digits below them that the text has."""
     below = F.rpad(F.regexp_extract(text, digits, 1), 3, "0").try_cast("bigint")
     micros = F.try_multiply(F.unix_micros(moment), F.lit(1000))
-    return F.when(finer, F.try_add(micros, below)).otherwise(micros)
+    return F.try_add(micros, below)
 
 
 def _iso_ns(text: Column, suffix: str) -> Column:
     """Layouts already written the way Spark casts need no rebuilding."""
     moment = F.concat(F.replace(text, F.lit(","), F.lit(".")), F.lit(suffix)).try_cast("timestamp")
-    # Date, time and six digits take 26 characters, a Z in the text one more.
-    longest = 26 if suffix else 27
-    return _exact_ns(moment, F.length(text) > longest, text, "[.,][0-9]{6}([0-9]{1,3})")
+    return _exact_ns(moment, text, "[.,][0-9]{6}([0-9]{1,3})")
 
 
 _ISO = re.compile(r"2006-01-02[T ]15:04:05(?:[.,](?:0+|9+))?(Z07:00|-07:00|Z)?$")

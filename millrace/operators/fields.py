@@ -8,6 +8,7 @@ most one of them non-NULL per row; which one is known to Catalyst as plain colum
 from __future__ import annotations
 
 import re
+import secrets
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field as attribute, replace
 from functools import reduce
@@ -223,8 +224,9 @@ def variant_path(segments: list[str]) -> str:
     return "$" + "".join(steps)
 
 
-# Appended after a payload so that text trailing the object is noticed.
-END_KEY = "~end of message~"
+# Appended after a payload so that text trailing the object is noticed. Drawn anew by every
+# driver, so that no sender can write it.
+END_KEY = f"~{secrets.token_hex(16)}~"
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
@@ -239,20 +241,37 @@ def json_paths(paths: list[list[str]]) -> list[tuple[str, ...]]:
     return [p for p in distinct if not any(p[:n] in distinct for n in range(1, len(p)))]
 
 
-def json_schema(types: dict[tuple[str, ...], T.DataType]) -> T.ArrayType:
-    """Schema that reads the given paths and the end mark."""
+def json_schema(types: dict[tuple[str, ...], T.DataType], apart: bool = False) -> T.ArrayType:
+    """Schema that reads the given paths and the end mark; ``apart`` uses ``names_apart``."""
 
     def struct(below: dict[tuple[str, ...], T.DataType]) -> T.StructType:
         fields = []
-        for name in dict.fromkeys(path[0] for path in below):
+        names = names_apart([path[0] for path in below])
+        for name, alias in names.items():
             deeper = {path[1:]: t for path, t in below.items() if path[0] == name and len(path) > 1}
-            fields.append(T.StructField(name, struct(deeper) if deeper else below[(name,)]))
+            fields.append(T.StructField(alias if apart else name, struct(deeper) if deeper else below[(name,)]))
         return T.StructType(fields)
 
     top = struct(types)
     return T.ArrayType(T.StructType([*top.fields, T.StructField(END_KEY, T.LongType())]))
 
 
+def names_apart(names: list[str]) -> dict[str, str]:
+    """Names as Spark can tell them apart: those that differ only by case get a number."""
+    distinct = list(dict.fromkeys(names))
+    lower = [n.lower() for n in distinct]
+    return {n: n if lower.count(n.lower()) == 1 else f"{n}~{i}" for i, n in enumerate(distinct)}
+
+
+def path_apart(path: tuple[str, ...], paths: list[tuple[str, ...]]) -> list[str]:
+    """The path in a schema made with ``apart``."""
+    found = []
+    for depth, name in enumerate(path):
+        siblings = [p[depth] for p in paths if p[:depth] == path[:depth] and len(p) > depth]
+        found.append(names_apart(siblings)[name])
+    return found
+
+
 class Branch(Field):
     """An object of which only some descendants are known."""
 
@@ -362,11 +381,14 @@ class Scope:
             related = [p for p in self.upcoming if tuple(p[: len(path)]) == path]
             if path in types and len(related) == 1:
                 types[path] = T.ArrayType(T.DoubleType())
-        (document,) = self.hold(json=F.from_json(close_json(text), json_schema(types), STRICT_JSON))
+        read, apart = json_schema(types), json_schema(types, apart=True)
+        parsed = F.from_json(close_json(text), read, STRICT_JSON)
+        # Structs are cast by position, which gives keys that differ by case their own names.
+        (document,) = self.hold(json=parsed if read == apart else parsed.cast(apart))
         first = F.try_element_at(document, F.lit(1))
         body = JsonBody({})
         for path, dtype in types.items():
-            item = reduce(lambda column, name: column.getField(name), path, first)
+            item = reduce(lambda column, name: column.getField(name), path_apart(path, list(types)), first)
             if isinstance(dtype, T.VariantType):
                 v, t = self.hold(v=item, t=F.schema_of_variant(item))
                 body.paths[path] = Field({"json": Slot(v, tag=t)})

@@ -50,13 +50,14 @@ def check_output_columns(columns: list[dict]) -> list[tuple[str, str]]:
         name, kind = column.get("name"), column.get("type")
         if not name:
             raise InvalidPipelineError("output column name is empty")
-        if name in seen:
+        if name.lower() in seen:
+            # Tables on Spark do not tell names apart by case.
             raise InvalidPipelineError(f"output column {name!r} is declared twice")
-        if name in ROW_META:
+        if name.lower() in ROW_META:
             raise InvalidPipelineError(f"output column {name!r} shadows a reserved column")
         if kind not in OUTPUT_TYPES:
             raise InvalidPipelineError(f"output column {name!r} has unknown type {kind!r}")
-        seen.add(name)
+        seen.add(name.lower())
         pairs.append((name, kind))
     return pairs
 

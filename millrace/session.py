@@ -18,9 +18,6 @@ SETTINGS = {
     # Generated methods beyond this size are never compiled by HotSpot; Spark then
     # generates one projection per operator, split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
-    # Rank filters up to this size are applied in every map task before the shuffle; the
-    # rolling window's cap on names is above Spark's default of 1000.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Lets REBALANCE split a hot table and merge small ones before a write.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }

@@ -23,21 +23,13 @@ def read_messages(
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every task slot when a batch has fewer input splits than the session has slots.
+def with_sequence(df: DataFrame, sequence: str = "sequence") -> DataFrame:
+    """Fill a missing sequence from the message's content (not for streams).
 
-    Decoding costs far more than moving a few small splits. Inputs with enough splits,
-    which is any large one, come back unchanged. ``key`` should be nearly unique.
+    The number is a hash of the other columns, so a task that is repeated gives the same
+    one; messages equal in every column share it, as a message delivered again does.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, key)
-
-
-def with_sequence(df: DataFrame, sequence: str = "sequence") -> DataFrame:
-    """Fill a missing sequence with a position unique within the batch (not for streams)."""
-    position = F.monotonically_increasing_id()
+    position = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c != sequence])
     value = F.coalesce(F.col(sequence), position) if sequence in df.columns else position
     return df.withColumn(sequence, value)
 

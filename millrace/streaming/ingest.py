@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from ..operators.rows import apply_policy, is_sent_back
 from ..operators.stats import counter_columns
 from ..plans.pipeline import Pipeline
-from .sinks import by_table, dedup, quarantine_rows
+from .sinks import by_table, dedup, quarantine_rows, read_routed, write_schema
 
 
 def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
@@ -23,64 +24,99 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     return root
 
 
-def ingest_batch(pipeline: Pipeline, messages: DataFrame, sink: str, batch: str, dedup_mode: str) -> None:
-    """Write one batch so that a repeat of it replaces its own output.
+def ingest_batch(pipeline: Pipeline, messages: DataFrame, sink: str, batch: str, dedup_mode: str = "drop") -> None:
+    """Write one batch of messages so that a repeat of it replaces its own output."""
+    write_parsed(pipeline, stripped(pipeline, pipeline.parse(messages)), sink, batch, dedup_mode)
 
-    The parsed messages are written once under ``sink/messages``; rows, quarantine and
-    statistics read that table, so no decode runs twice and a lost executor costs only
-    its own tasks. Payloads are stored only for messages that go back.
+
+def stripped(pipeline: Pipeline, parsed: DataFrame) -> DataFrame:
+    """Parsed messages with payloads only where they go back."""
+    return parsed.withColumn("payload", F.when(is_sent_back(pipeline.action), F.col("payload")))
+
+
+def write_parsed(pipeline: Pipeline, parsed: DataFrame, sink: str, batch: str, dedup_mode: str) -> None:
+    """Write a batch of parsed messages.
+
+    They are written once under ``sink/messages``; rows, quarantine and statistics read
+    that table, so no decode runs twice and a lost executor costs only its own tasks.
     """
-    spark = messages.sparkSession
+    spark = parsed.sparkSession
     parsed_path = os.path.join(sink, "messages", f"batch={batch}")
-    parsed = pipeline.parse(messages)
-    payload = F.when(is_sent_back(pipeline.action), F.col("payload"))
-    parsed.withColumn("payload", payload).write.mode("overwrite").parquet(parsed_path)
-    parsed = spark.read.parquet(parsed_path)
+    schema = parsed.schema
+    parsed.write.mode("overwrite").parquet(parsed_path)
+    parsed = spark.read.schema(schema).parquet(parsed_path)
     policy = apply_policy(parsed, pipeline.action)
-
-    rows = dedup(pipeline.rows(policy.kept), dedup_mode)
+    kept = policy.kept
+    if dedup_mode == "drop":
+        kept = undelivered(kept, spark.read.schema(schema.add("batch", "string")).parquet(os.path.join(sink, "messages")),
+                           batch, pipeline.action)
+    rows = dedup(pipeline.rows(kept), dedup_mode)
     rows_path = os.path.join(sink, "tables", f"batch={batch}")
     by_table(rows).write.mode("overwrite").partitionBy("table_name").parquet(rows_path)
+    write_schema(rows, sink)
     quarantine_path = os.path.join(sink, "quarantine", f"batch={batch}")
     quarantine_rows(policy.sent_back).write.mode("overwrite").parquet(quarantine_path)
 
 
+def undelivered(kept: DataFrame, ledger: DataFrame, batch: str, action: str) -> DataFrame:
+    """Messages that no earlier batch has kept, by table, time and sequence.
+
+    The ledger of all batches is the memory, so a message delivered again is found however
+    late it comes. Only its part in the batch's span of time is read, and of that the keys.
+    """
+    low, high = kept.agg(F.min("ts_ns"), F.max("ts_ns")).first()
+    if low is None:
+        return kept
+    earlier = apply_policy(ledger.filter(F.col("batch") != batch), action).kept
+    earlier = earlier.filter(F.col("ts_ns").between(low, high))
+    names = ("table_name", "ts_ns", "sequence")
+    seen = earlier.select(*[F.col(c).alias(f"__{c}") for c in names])
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in names]
+    return kept.join(seen, reduce(lambda a, b: a & b, same), "left_anti")
+
+
 def ingest_stream(
     pipeline: Pipeline,
     messages: DataFrame,
     sink: str,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    dedup_mode: str = "disabled",
+    dedup_mode: str = "drop",
 ) -> StreamingQuery:
     """Run a pipeline over a stream of envelopes.
 
     Offsets are committed after the batch is written, so delivery is at least once; a
-    repeated batch overwrites its own folder. ``trigger`` defaults to ``availableNow``.
+    repeated batch overwrites its own folder. With ``drop``, a message that is delivered
+    again in any later batch adds no rows. ``trigger`` defaults to ``availableNow``. The
+    pipeline's plan is built once, for the stream.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(pipeline, batch, sink, str(batch_id), dedup_mode)
+        write_parsed(pipeline, batch, sink, str(batch_id), dedup_mode)
 
     location = os.path.join(checkpoint or checkpoint_root(messages.sparkSession), "ingest")
-    writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", location)
+    parsed = stripped(pipeline, pipeline.parse(messages))
+    writer = parsed.writeStream.foreachBatch(write).option("checkpointLocation", location)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def read_tables(spark: SparkSession, sink: str) -> DataFrame:
     """Every routed row of a sink; filters on ``table_name`` prune whole folders."""
-    return spark.read.parquet(os.path.join(sink, "tables"))
+    return read_routed(spark, sink, "tables", batch="long")
 
 
 def dedup_stream(
-    rows: DataFrame, delay: str = "10 minutes", time: str = "ts", keys: list[str] | None = None
+    rows: DataFrame, delay: str | None = None, time: str = "ts", keys: list[str] | None = None
 ) -> DataFrame:
-    """Drop redelivered rows of a stream within the watermark.
+    """Drop redelivered rows of a stream, however late they come.
 
-    Works on a batch too, where every repeat is dropped.
+    The state holds the keys seen. With ``delay`` it forgets keys older than the watermark,
+    and rows later than that are lost, repeated or not; give one only if none can be that
+    late. ``ingest_stream`` needs no such state: it looks into what it has written. Works on
+    a batch too.
     """
     names = keys or ["table_name", "ts_ns", "sequence"]
-    if not rows.isStreaming:
+    if not rows.isStreaming or delay is None:
         return rows.dropDuplicates(names)
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(names)
 

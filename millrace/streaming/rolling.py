@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import os
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.stats import OVERFLOW
 
-# One-minute buckets, five of them live, distinct names kept per bucket.
+# One-minute buckets, five of them live.
 BUCKET_SECONDS = 60
 LIVE_BUCKETS = 5
-MAX_DISTINCT = 10_000
 
 
 def bucket_of(time: Column, seconds: int) -> Column:
     """Number of the bucket a timestamp falls in, counted from the epoch."""
-    return F.call_function("div", F.unix_seconds(time), F.lit(seconds))
+    at, width = F.unix_seconds(time), F.lit(seconds)
+    # Rounded down, also before the epoch.
+    return F.call_function("div", at - F.pmod(at, width), width)
 
 
 def bucket_counts(tallies: DataFrame, time: Column, seconds: int = BUCKET_SECONDS) -> DataFrame:
@@ -29,7 +33,7 @@ def bucket_counts(tallies: DataFrame, time: Column, seconds: int = BUCKET_SECOND
     )
 
 
-def fold_overflow(counts: DataFrame, max_distinct: int = MAX_DISTINCT) -> DataFrame:
+def fold_overflow(counts: DataFrame, max_distinct: int) -> DataFrame:
     """Merge the tables of a bucket beyond the first ``max_distinct`` into ``other``.
 
     Names rank by their first sequence, then by name. The rank filter lets Spark cut
@@ -58,29 +62,27 @@ def rolling_table_counts(
     time: Column,
     bucket_seconds: int = BUCKET_SECONDS,
     buckets: int = LIVE_BUCKETS,
-    max_distinct: int | None = MAX_DISTINCT,
+    max_distinct: int | None = None,
 ) -> DataFrame:
     """Counts per table in every live window: a bucket and the ``buckets - 1`` before it.
 
     ``window_bucket`` is the number of the window's last bucket. Windows appear from the
     first bucket with data on, as long as they contain any. Rows are aggregated to
     buckets first; only those small sums are repeated for the windows they belong to.
+    With ``max_distinct`` a bucket keeps that many names and merges the others.
     """
-    counts = bucket_counts(tallies, time, bucket_seconds)
-    if max_distinct is not None:
-        counts = fold_overflow(counts, max_distinct)
-    ends = F.explode(F.sequence(F.col("bucket"), F.col("bucket") + buckets - 1))
-    spread = counts.select(ends.alias("window_bucket"), "table_name", "rows", "msgs", "first_seen")
-    return sum_counts(spread, "window_bucket", "table_name")
+    return rolling_from_buckets(bucket_counts(tallies, time, bucket_seconds), buckets, max_distinct)
 
 
 def window_report(window: DataFrame, n: int = 10) -> DataFrame:
     """Top tables of every window with their share of the window's rows.
 
-    The rank filter limits what each task sends per window to ``n`` tables.
+    The rank filter limits what each task sends per window to ``n`` tables. Both branches
+    ask for the same columns of ``window``, so its aggregation runs once.
     """
     totals = window.groupBy("window_bucket").agg(
         F.sum("rows").alias("total_rows"),
+        F.sum("msgs").alias("total_msgs"),
         F.count(F.when(F.col("table_name") != OVERFLOW, 1)).alias("tables_distinct"),
     )
     order = Window.partitionBy("window_bucket").orderBy(F.desc("rows"), F.asc("table_name"))
@@ -93,15 +95,41 @@ def window_report(window: DataFrame, n: int = 10) -> DataFrame:
 
 
 def stream_bucket_counts(
-    tallies: DataFrame, time: str = "stored_at", seconds: int = BUCKET_SECONDS, delay: str = "1 minute"
-) -> DataFrame:
-    """Streaming form of ``bucket_counts``: closed buckets, appended once final.
-
-    Write it to a table; ``fold_overflow`` and the window reports run on that table.
+    tallies: DataFrame,
+    sink: str,
+    checkpoint: str,
+    time: str = "stored_at",
+    seconds: int = BUCKET_SECONDS,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Streaming form of ``bucket_counts``: every micro-batch adds its share of the buckets.
+
+    Sums of a bucket combine when they are read, so no bucket waits to be closed, late
+    tallies count like any other and no state is kept. A repeated batch replaces its own
+    folder. ``read_bucket_counts`` and the window reports follow the stream as it grows.
     """
-    timed = tallies.withWatermark(time, delay)
-    grouped = timed.groupBy(F.window(time, f"{seconds} seconds"), "table_name").agg(
-        F.sum("rows").alias("rows"), F.sum("msgs").alias("msgs"), F.min("sequence").alias("first_seen")
-    )
-    bucket = bucket_of(F.col("window.start"), seconds).alias("bucket")
-    return grouped.select(bucket, "table_name", "rows", "msgs", "first_seen")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = bucket_counts(batch, F.col(time), seconds)
+        counts.write.mode("overwrite").parquet(os.path.join(sink, f"batch={batch_id}"))
+
+    writer = tallies.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+BUCKETS = "bucket bigint, table_name string, rows bigint, msgs bigint, first_seen bigint, batch string"
+
+
+def read_bucket_counts(spark: SparkSession, sink: str) -> DataFrame:
+    """The bucket counts of every batch so far, summed."""
+    shares = spark.read.schema(BUCKETS).parquet(sink)
+    return sum_counts(shares, "bucket", "table_name")
+
+
+def rolling_from_buckets(counts: DataFrame, buckets: int = LIVE_BUCKETS, max_distinct: int | None = None) -> DataFrame:
+    """``rolling_table_counts`` from bucket counts, of a batch or of a stream so far."""
+    if max_distinct is not None:
+        counts = fold_overflow(counts, max_distinct)
+    ends = F.explode(F.sequence(F.col("bucket"), F.col("bucket") + buckets - 1))
+    spread = counts.select(ends.alias("window_bucket"), "table_name", "rows", "msgs", "first_seen")
+    return sum_counts(spread, "window_bucket", "table_name")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..errors import InvalidPipelineError
 
@@ -18,9 +18,32 @@ def by_table(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", F.col("table_name"))
 
 
+SCHEMA = "_schema"
+
+
 def write_routed(rows: DataFrame, path: str, mode: str = "append") -> None:
-    """Write rows to one partition directory per table name."""
+    """Write rows to one partition directory per table name; ``read_routed`` reads them back."""
     by_table(rows).write.mode(mode).partitionBy("table_name").parquet(path)
+    write_schema(rows, path)
+
+
+def write_schema(rows: DataFrame, path: str) -> None:
+    """Keep the rows' schema beside them, as a file without rows that readers pass over."""
+    empty = rows.sparkSession.createDataFrame([], rows.schema)
+    empty.coalesce(1).write.mode("ignore").parquet(f"{path}/{SCHEMA}")
+
+
+def read_routed(spark: SparkSession, path: str, data: str = "", **partitions: str) -> DataFrame:
+    """Routed rows with the columns they were written with.
+
+    Table names stay text, also those of digits only, and a sink without rows reads as an
+    empty table. ``data`` is the folder of the rows below ``path``, ``partitions`` are
+    further partition columns above the table name, by type.
+    """
+    schema = spark.read.parquet(f"{path}/{SCHEMA}").schema
+    for name, kind in partitions.items():
+        schema = schema.add(name, kind)
+    return spark.read.schema(schema).parquet(f"{path}/{data}" if data else path)
 
 
 def dedup(rows: DataFrame, mode: str = "drop", keys: list[str] | None = None) -> DataFrame:
@@ -47,7 +70,9 @@ def dedup(rows: DataFrame, mode: str = "drop", keys: list[str] | None = None) ->
 def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write one CSV directory per table, rows in index order across its files.
 
-    The range partitioning includes the time, so a large table spans several files.
+    The range partitioning includes the time, so a large table spans several files. Finding
+    the ranges reads the rows once more: pass rows that are stored, such as
+    ``read_routed``'s, or every message is decoded twice.
     """
     order = ["table_name", "ts_ns"] + (["sequence"] if "sequence" in rows.columns else [])
     flat = rows.select(*[

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import struct
 
@@ -74,16 +75,25 @@ def test_parts(one):
     assert one(text.part_at(F.lit("a,"), ",", 1)) == ""
 
 
+@pytest.mark.parametrize("identifier", ["Customer#000000001", "order 17", "", "gréen", "a:b:c:9"])
+def test_shards(one, identifier):
+    digest = hashlib.sha1(identifier.encode()).hexdigest()
+    assert one(text.shard_name(F.lit(identifier), "s/")) == "s/" + digest[:4]
+
+
 @pytest.mark.parametrize(
-    "identifier, shard",
+    "value, fraction",
     [
-        ("sensor1234", "4c93"), ("Brunswick_724_1038", "7e14"), ("Monticello_1_2", "2f6b"),
-        ("Cedar_Springs_10_20", "6d55"), ("test", "a94a"),
-        ("skf-cxrn:tenant1:ion-stream:ABC123:1", "b831"), ("skf-cxrn:tenant1:ion-stream:ABC123:2", "b4a9"),
+        ("2024-01-01T1:00:00.1234567Z", 123456700), ("2024-01-01T01:00:00.123456789Z", 123456789),
+        ("2024-01-01T1:00:00.000000009Z", 9), ("2024-01-01T01:00:00.12345678+00:00", 123456780),
     ],
 )
-def test_shards(one, identifier, shard):
-    assert one(text.shard_name(F.lit(identifier), "s/")) == "s/" + shard
+def test_digits_below_a_microsecond(one, value, fraction):
+    hour = BASE - 11 * 3600 * 10**9
+    assert one(timestamps.to_ts_ns(F.lit(value), "rfc3339")) == hour + fraction
+    if value.endswith("Z"):
+        plain = value[:-1].replace("T", " ")
+        assert one(timestamps.to_ts_ns(F.lit(plain), "2006-01-02 15:04:05")) == hour + fraction
 
 
 @pytest.mark.parametrize(

@@ -102,9 +102,11 @@ def test_subject_prefix_reaches_the_scan(spark, tmp_path):
 
 
 def test_sequence_fallback(spark):
-    df = spark.createDataFrame([(7,), (None,), (None,)], "sequence bigint")
+    df = spark.createDataFrame([(7, "a"), (None, "b"), (None, "c"), (None, "b")], "sequence bigint, subject string")
     values = [r.sequence for r in envelopes.with_sequence(df).collect()]
-    assert values[0] == 7 and len(set(values)) == 3 and None not in values
+    assert values[0] == 7 and len(set(values)) == 3 and None not in values and values[1] == values[3]
+    again = [r.sequence for r in envelopes.with_sequence(df.repartition(3)).collect()]
+    assert sorted(again) == sorted(values)
 
 
 def test_routed_write_and_csv(spark, tmp_path):
@@ -216,26 +218,48 @@ def test_dedup_stream(spark, tmp_path):
     assert ingest.dedup_stream(rows).count() == 10
 
 
+def test_late_distinct_rows_stay(spark, tmp_path):
+    # Later files hold earlier times, far behind any watermark.
+    for at in (2_000_000, 1_000_000, 0):
+        rows = spark.range(6).select(
+            F.lit("t").alias("table_name"), (F.col("id") + at).alias("ts_ns"), F.col("id").alias("sequence"),
+            F.timestamp_seconds(F.col("id") + at).alias("ts"),
+        )
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (
+        ingest.dedup_stream(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 18
+
+
 def test_streamed_buckets_equal_batch(spark, tmp_path):
     tallies = spark.range(600).select(
         F.concat(F.lit("t"), F.col("id") % 7).alias("table_name"), F.lit(1).cast("bigint").alias("rows"),
         F.lit(1).cast("bigint").alias("msgs"), F.col("id").alias("sequence"),
-        F.timestamp_seconds(F.col("id")).alias("stored_at"),
+        F.timestamp_seconds(F.col("id") - 300).alias("stored_at"),
     )
-    # A late marker far ahead closes every earlier bucket.
-    closing = tallies.limit(1).withColumn("stored_at", F.timestamp_seconds(F.lit(10_000)))
-    tallies.coalesce(1).write.parquet(str(tmp_path / "in"))
-    closing.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    tallies.repartition(4, F.xxhash64("sequence")).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(tallies.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    query = (
-        rolling.stream_bucket_counts(stream).writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    got = {(r.bucket, r.table_name): (r.rows, r.msgs, r.first_seen) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    want = {(r.bucket, r.table_name): (r.rows, r.msgs, r.first_seen)
-            for r in rolling.bucket_counts(tallies, F.col("stored_at")).collect()}
-    assert got == want and len(want) == 70
+    sink = str(tmp_path / "out")
+    rolling.stream_bucket_counts(stream, sink, str(tmp_path / "cp")).awaitTermination()
+    key = lambda df: sorted(tuple(r) for r in df.select("bucket", "table_name", "rows", "msgs", "first_seen").collect())
+    want = key(rolling.bucket_counts(tallies, F.col("stored_at")))
+    assert key(rolling.read_bucket_counts(spark, sink)) == want and len(want) == 70
+    streamed = rolling.rolling_from_buckets(rolling.read_bucket_counts(spark, sink))
+    whole = rolling.rolling_table_counts(tallies, F.col("stored_at"))
+    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_digit_tables_and_empty_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("007", 1, 2.0), ("2024", 2, 3.0)], "table_name string, ts_ns bigint, value double")
+    sinks.write_routed(rows, str(tmp_path / "a"))
+    back = sinks.read_routed(spark, str(tmp_path / "a"))
+    assert sorted(r.table_name for r in back.collect()) == ["007", "2024"]
+    sinks.write_routed(rows.limit(0), str(tmp_path / "b"))
+    assert sinks.read_routed(spark, str(tmp_path / "b")).collect() == []
 
 
 def test_tallies_count_messages_and_rows(spark):

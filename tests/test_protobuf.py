@@ -3,115 +3,107 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("google.protobuf")
 
-from tests import envelope  # noqa: E402
+from tests import freight  # noqa: E402
 
 from millrace.errors import InvalidPipelineError  # noqa: E402
 from millrace.functions.protobuf import decode_protobuf  # noqa: E402
 
-SET = envelope.descriptor_set()
+SET = freight.descriptor_set()
 
 
-def build(**values) -> bytes:
-    blobs, inner, at = values.pop("blobs", {}), values.pop("inner", None), values.pop("at", None)
-    message = envelope.message_class("sample.Envelope")(**values)
-    for key, value in blobs.items():
-        message.blobs[key] = value
-    if inner:
-        message.inner.reading, message.inner.unit = inner
-    if at:
-        message.created_at.seconds, message.created_at.nanos = at
+def line(papers=None, port=None, shipped=None, **values):
+    message = freight.message_class("freight.Line")(**values)
+    for key, value in (papers or {}).items():
+        message.papers[key] = value
+    if port:
+        message.port.country, message.port.distance = port
+    if shipped:
+        message.shipped.seconds, message.shipped.nanos = shipped
     return message.SerializeToString()
 
 
-def decode(spark, *payloads):
-    df = spark.createDataFrame([(i, bytearray(p)) for i, p in enumerate(payloads)], "i int, b binary")
-    rows = df.select("i", decode_protobuf(F.col("b"), SET, "sample.Envelope").alias("m")).orderBy("i").collect()
-    return [r.m for r in rows]
+def decoded(spark, *payloads):
+    df = spark.createDataFrame(list(enumerate(map(bytearray, payloads))), "place int, body binary")
+    found = df.select("place", decode_protobuf(F.col("body"), SET, "freight.Line").alias("line"))
+    return [r.line for r in found.orderBy("place").collect()]
 
 
-def test_every_kind(spark):
-    full = build(
-        name="n", count=-5, ratio=0.5, enabled=True, raw=b"\x00\xff", small=4294967295, big=(1 << 64) - 1,
-        weight=0.1, delta=-7, mode=2, tags=["a", "b"], nums=[1, -2], inner=(2.5, "C"),
-        blobs={3: b"x", 10: b"y"}, at=(1704110400, 5),
-    )
-    (m,) = decode(spark, full)
-    assert (m.name, m["count"], m.ratio, m.enabled, m.raw) == ("n", -5, 0.5, True, b"\x00\xff")
-    assert (m.small, m.big, m.delta, m.mode) == (4294967295, -1, -7, 2)
-    assert m.weight == pytest.approx(0.1, abs=1e-8) and m.weight != 0.1  # widened from 32 bits
-    assert (m.tags, m.nums, tuple(m.inner)) == (["a", "b"], [1, -2], (2.5, "C"))
-    assert m.blobs == {"3": b"x", "10": b"y"}
-    assert m.created_at == "2024-01-01T12:00:00.000000005Z"
+def test_scalars_lists_and_messages(spark):
+    (found,) = decoded(spark, line(
+        order_key=-(1 << 40), line_number=(1 << 32) - 1, price=901.25, tax=0.3, returned=True, seal=bytes(range(4)),
+        days_late=-12, fingerprint=(1 << 64) - 2, note="gréen", carrier=3, stamps=["x", "", "y"], loads=[7, -8],
+        port=("PERU", 12.5), papers={20: b"inv", 5: b"bill"}, shipped=(86_400, 7),
+    ))
+    values = found.asDict(recursive=True)
+    assert values.pop("tax") == pytest.approx(0.3, abs=1e-7)
+    assert values == {
+        "order_key": -(1 << 40), "line_number": (1 << 32) - 1, "price": 901.25, "returned": True, "seal": bytes(range(4)),
+        "days_late": -12, "fingerprint": -2, "note": "gréen", "carrier": 3, "stamps": ["x", "", "y"], "loads": [7, -8],
+        "port": {"country": "PERU", "distance": 12.5}, "papers": {"20": b"inv", "5": b"bill"},
+        "shipped": "1970-01-02T00:00:00.000000007Z",
+    }
 
 
 def test_absent_and_malformed(spark):
-    bare, broken, empty = decode(spark, build(count=1), b"\xff\xff", b"")
-    assert bare["count"] == 1 and all(bare[n] is None for n in ("name", "ratio", "tags", "blobs", "inner"))
-    assert broken is None and empty is None
-
-
-def test_configuration():
+    only_key, cut_off, nothing = decoded(spark, line(order_key=9), line(note="long enough")[:-3], b"")
+    assert only_key.order_key == 9
+    assert {v for k, v in only_key.asDict().items() if k != "order_key"} == {None}
+    assert cut_off is None and nothing is None
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"message_type": "freight.Nothing"}, {"message_type": "freight.Crate"}, {"target": "x.y"}, {"source": "x..y"},
+        {"descriptor_set": b"\x07"}, {"descriptor_set": None}, {"message_type": None},
+        {"descriptor_set": None, "descriptor_file": "/no/such/file"}, {"descriptor_set": None, "proto_file": "freight.proto"},
+    ],
+)
+def test_configuration(change):
     from millrace.operators.decode import parse_protobuf_step
 
-    good = {"descriptor_set": SET, "message_type": "sample.Envelope"}
+    good = {"descriptor_set": SET, "message_type": "freight.Line"}
     parse_protobuf_step(good)
-    for bad in (
-        {}, good | {"message_type": "sample.None"}, good | {"target": "a.b"}, good | {"source": "a..b"},
-        good | {"descriptor_set": b"\x07"}, {"message_type": "x", "descriptor_file": "/nowhere"},
-        {"message_type": "x", "proto_file": "x.proto"}, good | {"message_type": "sample.Loop"},
-    ):
-        with pytest.raises(InvalidPipelineError):
-            parse_protobuf_step(bad)
-
-
-STEPS = [
-    ("parse_protobuf", {"descriptor_set": SET, "message_type": "sample.Envelope"}),
-    ("extract_map_entry", {"source": "blobs", "key_target": "capability", "value_target": "raw_value",
-                           "on_multiple": "first", "allowed_keys": ["3"]}),
-    ("parse_protobuf", {"descriptor_set": SET, "message_type": "sample.Inner", "source": "raw_value", "target": "attr"}),
-    ("extract_subject", {"target": "token", "segment": -2, "trim": "="}),
-    ("compute_field", {"operation": "split", "source": "name", "separator": ":", "index": -1, "target": "rev"}),
-    ("extract_field", {"source": "rev", "target": "revision", "type": "int64"}),
-    ("extract_field", {"source": "attr.reading", "target": "value", "type": "float64"}),
-    ("extract_index", {"source": "created_at", "format": "rfc3339nano"}),
-    ("compute_field", {"operation": "hash", "source": "name", "algorithm": "sha1", "target": "digest"}),
-    ("compute_field", {"operation": "slice", "source": "digest", "start": 0, "end": 4, "target": "shard"}),
-    ("compute_field", {"operation": "concat", "fields": ['"skf/"', "shard"], "target": "to"}),
-    ("extract_table", {"source": "to"}),
-]
-
-
-def test_composed_pipeline(run):
-    inner = envelope.message_class("sample.Inner")
-    reading = inner(reading=21.5, unit="C").SerializeToString()
-    blank = inner(unit="C").SerializeToString()
-    name = "skf-cxrn:tenant1:ion-stream:ABC123:2"
-    at = (1704110400, 123456789)
+    with pytest.raises(InvalidPipelineError):
+        parse_protobuf_step({k: v for k, v in (good | change).items() if v is not None})
+
+
+def test_pipeline_over_nested_messages(run):
+    """The harbour's papers, a map entry holding a message of its own, route the line."""
+    port = freight.message_class("freight.Port")
+    lima = port(country="PERU", distance=40.5).SerializeToString()
+    steps = [
+        ("parse_protobuf", {"descriptor_set": SET, "message_type": "freight.Line"}),
+        ("extract_index", {"source": "shipped", "format": "rfc3339nano"}),
+        ("extract_map_entry", {"source": "papers", "value_target": "paper", "key_target": "desk", "on_multiple": "first"}),
+        ("parse_protobuf", {"descriptor_set": SET, "message_type": "freight.Port", "source": "paper", "target": "harbour"}),
+        ("extract_field", {"source": "harbour.distance", "target": "miles", "type": "float64"}),
+        ("extract_field", {"source": "harbour.country", "target": "where", "type": "string"}),
+        ("extract_table", {"source": "where"}),
+    ]
+    when = (1_000_000, 250)
     payloads = [
-        build(name=name, blobs={3: reading}, at=at),
-        build(name=name, blobs={3: blank}, at=at),  # no reading: partial
-        build(name=name, blobs={4: reading}, at=at),  # key not allowed
-        build(name=name, blobs={3: reading, 10: reading}, at=at),  # "10" sorts first, not allowed
-        build(name=name, blobs={3: b"\xff"}, at=at),  # inner malformed
-        b"\xff\xff",
-        build(name=name, blobs={3: reading}),  # no time
+        line(order_key=1, papers={4: lima}, shipped=when),
+        line(order_key=2, papers={40: lima, 5: b"\xff\xff"}, shipped=when),  # "40" comes before "5"
+        line(order_key=3, papers={4: port(country="CHINA").SerializeToString()}, shipped=when),  # no distance
+        line(order_key=4, papers={4: b"\xff\xff"}, shipped=when),
+        line(order_key=5, shipped=when),
+        line(order_key=6, papers={4: lima}),  # never shipped
     ]
-    columns = {"token": "symbol", "value": "double", "capability": "int64", "revision": "int64", "name": "string"}
-    rows = run(payloads, STEPS, columns, table=False, subject="it.proto.ABC=.value")
-    assert [r.outcome for r in rows] == ["ok", "partial"] + ["unusable"] * 5
-    assert [list(r.row) for r in rows[:2]] == [["ABC", 21.5, 3, 2, name], ["ABC", None, 3, 2, name]]
-    assert rows[0].table_name == "skf/b4a9" and rows[0].ts_ns == 1704110400123456789
+    rows = run(payloads, steps, {"order_key": "int64", "desk": "int64", "miles": "double"}, table=False)
+    assert [r.outcome for r in rows] == ["ok", "ok", "partial", "unusable", "unusable", "unusable"]
+    assert [tuple(r.row) for r in rows[:3]] == [(1, 4, 40.5), (2, 40, 40.5), (3, 4, None)]
+    assert [r.table_name for r in rows[:3]] == ["PERU", "PERU", "CHINA"] and rows[0].ts_ns == 1_000_000 * 10**9 + 250
 
 
-def test_repeated_integers_feed_an_integer_series(run):
+def test_loads_become_a_series(run):
     steps = [
-        STEPS[0],
-        ("extract_timestamp", {"source": "created_at", "target": "at"}),
-        ("explode", {"source": "nums", "target": "v",
-                     "index": {"start": {"source": "at"}, "interval": {"source": "count", "unit": "us"}}}),
+        ("parse_protobuf", {"descriptor_set": SET, "message_type": "freight.Line"}),
+        ("extract_timestamp", {"source": "shipped", "target": "left"}),
+        ("explode", {"source": "loads", "target": "load", "index": {
+            "start": {"source": "left"}, "interval": {"source": "line_number", "unit": "ms"}}}),
     ]
-    payloads = [build(nums=[5, 6], count=10, at=(1704110400, 0)), build(nums=[5], count=-1, at=(1, 0))]
-    rows = run(payloads, steps, {"v": "int64"})
+    rows = run([line(loads=[3, 1, 2], line_number=4, shipped=(50, 0)), line(loads=[1, 2], shipped=(50, 0))], steps, {"load": "int64"})
     assert [r.outcome for r in rows] == ["ok", "unusable"]
-    out = run.pipeline.rows(run.parsed).orderBy("ts_ns").collect()
-    assert [(r.ts_ns - 1704110400000000000, r.v) for r in out] == [(0, 5), (10_000, 6)]
+    series = run.pipeline.rows(run.parsed).orderBy("ts_ns").collect()
+    assert [(r.ts_ns, r.load) for r in series] == [(50 * 10**9 + i * 4_000_000, v) for i, v in enumerate((3, 1, 2))]

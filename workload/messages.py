@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -11,7 +12,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from millrace.sources.envelopes import spread
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -21,10 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared one; local only where none is set."""
+    """A new folder below the one in ``spark.checkpoint.dir``, which all executors share.
+
+    Only a session of a single process may go without one: it gets a folder of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        return tempfile.mkdtemp(prefix="millrace-")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = os.path.join(tempfile.gettempdir(), f"millrace-{spark.sparkContext.applicationId}")
     return f"{root.rstrip('/')}/millrace-{uuid.uuid4().hex}"
 
 
@@ -62,7 +67,7 @@ def event_subject() -> Column:
 
 def event_messages(spark: SparkSession, sf_dir: str, payload: Column | None = None) -> DataFrame:
     """One JSON message per event."""
-    events = spread(table(spark, sf_dir, "events"), "event_id")
+    events = table(spark, sf_dir, "events")
     body = F.to_json(F.struct(*event_fields())) if payload is None else payload
     return envelope(events, event_subject(), F.col("event_id"), utc("ts"), body)
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions import codecs, text, timestamps
-from millrace.functions.buckets import LAG_BUCKETS, exp_buckets
+from millrace.functions.buckets import exp_buckets
 from millrace.operators import decode, stats
 from millrace.operators.compare import compare_tables, comparison_summary
 from millrace.operators.rows import apply_policy
@@ -112,7 +112,7 @@ def ingest_event_rows(spark, sf_dir):
        FROM orders""",
 )
 def convert_types(spark, sf_dir):
-    orders = envelopes.spread(m.table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = m.table(spark, sf_dir, "orders")
     body = F.to_json(F.struct(
         "o_totalprice", F.col("o_custkey").cast("string").alias("cust"), F.lit(True).alias("flag"),
         F.col("o_orderkey").alias("key"), F.struct("o_orderstatus").alias("nested"),
@@ -174,7 +174,7 @@ def number_text(spark, sf_dir):
        FROM events""",
 )
 def safe_parse_number(spark, sf_dir):
-    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
+    events = m.table(spark, sf_dir, "events")
     kind = F.col("event_type")
     reading = (
         F.when(kind == "error", "SENSOR_FAULT")
@@ -215,7 +215,7 @@ FORMATS = {
         FROM events""",
 )
 def timestamp_formats(spark, sf_dir):
-    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
+    events = m.table(spark, sf_dir, "events")
     parts = [F.date_format(m.utc("ts"), pattern).alias(n) for n, (_, pattern) in FORMATS.items()]
     parts.append(F.unix_micros(m.utc("ts")).alias("as_unix_us"))
     parts.append(F.unix_seconds(m.utc("ts")).cast("string").alias("as_unix_text"))
@@ -266,7 +266,7 @@ def subject_segments(spark, sf_dir):
        FROM customer""",
 )
 def compute_chain(spark, sf_dir):
-    customer = envelopes.spread(m.table(spark, sf_dir, "customer"), "c_custkey")
+    customer = m.table(spark, sf_dir, "customer")
     body = F.to_json(F.struct("c_name", "c_mktsegment"))
     messages = m.envelope(customer, F.lit("c"), F.col("c_custkey"), F.current_timestamp(), body)
     spec = {
@@ -295,7 +295,7 @@ def compute_chain(spark, sf_dir):
        FROM orders GROUP BY 1""",
 )
 def shard_route(spark, sf_dir):
-    orders = envelopes.spread(m.table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = m.table(spark, sf_dir, "orders")
     routed = orders.select(
         text.shard_name(F.col("o_custkey").cast("string"), "shard/").alias("table_name")
     )
@@ -478,52 +478,62 @@ def explode_by_length(spark, sf_dir):
     return explode_series(df, "samples", "value", "start_ns", step_ns, "sample_index").drop("start_ns")
 
 
-def waveform_spec(interval: dict) -> dict:
-    return {
-        "output": columns(value="double", sample_index="int64", stream_id="string", site="symbol"),
+def series_pipeline(interval: dict) -> Pipeline:
+    """Embeddings as series, one table for each label."""
+    return Pipeline({
+        "output": columns(vector="string", place="int64", level="double"),
         "transformations": [
             step("parse_json"),
-            step("extract_timestamp", source="ts", target="started"),
-            step("extract_table", value="waveform"),
-            step("explode", source="samples", target="value", ordinal="sample_index",
-                 index={"start": {"source": "started"}, "interval": interval}),
+            compute("concat", "to", fields=['"label."', "label"]),
+            step("extract_table", source="to"),
+            step("extract_timestamp", source="seen", target="first", format="unix_ms"),
+            step("explode", source="parts", target="level", ordinal="place", index={"start": {"source": "first"}, "interval": interval}),
         ],
-    }
+    })
 
 
-def waveform_messages(spark, sf_dir):
-    df = envelopes.spread(m.table(spark, sf_dir, "embeddings"), "vec_id")
-    samples = F.col("embedding").cast("array<double>")
+def series_messages(spark, sf_dir):
+    vectors = m.table(spark, sf_dir, "embeddings")
+    key, label = F.col("vec_id"), F.col("label")
     body = F.to_json(F.struct(
-        F.lit("2024-01-01T00:00:00.5Z").alias("ts"),
-        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("stream_id"),
-        F.col("label").cast("string").alias("site"),
-        samples.alias("samples"),
-        (F.col("label") + 0.5).alias("period"),
+        F.col("embedding").cast("array<double>").alias("parts"),
+        F.concat(F.lit("v"), key.cast("string")).alias("vector"),
+        label.cast("string").alias("label"),
+        (label + 0.5).alias("every"),
+        (key * 1000 + 1_700_000_000_500).alias("seen"),
     ))
-    return m.envelope(df, F.lit("waves"), F.col("vec_id"), F.current_timestamp(), body)
+    return m.envelope(vectors, F.lit("vectors"), key, F.current_timestamp(), body)
 
 
 @query(
     "waveform_pipeline",
-    """SELECT 'waveform' AS table_name, 1704067200500000000 + (i - 1) * CAST((label + 0.5) * 1000000 AS BIGINT) AS ts_ns,
-         vec_id AS sequence, CAST(embedding[i] AS DOUBLE) AS value, i - 1 AS sample_index,
-         'v' || vec_id AS stream_id, CAST(label AS VARCHAR) AS site
+    """SELECT 'label.' || label AS table_name,
+         (vec_id * 1000 + 1700000000500) * 1000000 + (i - 1) * CAST((label + 0.5) * 1000000 AS BIGINT) AS ts_ns,
+         vec_id AS sequence, 'v' || vec_id AS vector, i - 1 AS place, CAST(embedding[i] AS DOUBLE) AS level
        FROM embeddings, LATERAL (SELECT unnest(generate_series(1, len(embedding))) AS i)""",
 )
 def waveform_pipeline(spark, sf_dir):
-    pipeline = Pipeline(waveform_spec({"source": "period", "unit": "ms"}))
-    return pipeline.transform(waveform_messages(spark, sf_dir))
+    return series_pipeline({"source": "every", "unit": "ms"}).transform(series_messages(spark, sf_dir))
 
 
 @query(
     "waveform_tallies",
-    """SELECT 'waveform' AS table_name, CAST(sum(len(embedding)) AS BIGINT) AS rows, count(*) AS msgs
-       FROM embeddings""",
+    """SELECT 'label.' || label AS table_name, CAST(sum(len(embedding)) AS BIGINT) AS rows, count(*) AS msgs
+       FROM embeddings GROUP BY 1""",
 )
 def waveform_tallies(spark, sf_dir):
-    pipeline = Pipeline(waveform_spec({"value": "200us"}))
-    return stats.table_tallies(pipeline.parse(waveform_messages(spark, sf_dir)))
+    return stats.table_tallies(series_pipeline({"value": "200us"}).parse(series_messages(spark, sf_dir)))
+
+
+@query(
+    "waveform_by_length",
+    """SELECT 'label.' || label AS table_name, (vec_id * 1000 + 1700000000500) * 1000000 + (i - 1) * 333333 AS ts_ns,
+         vec_id AS sequence, 'v' || vec_id AS vector, i - 1 AS place, CAST(embedding[i] AS DOUBLE) AS level
+       FROM embeddings, LATERAL (SELECT unnest(generate_series(1, len(embedding))) AS i)""",
+)
+def waveform_by_length(spark, sf_dir):
+    lengths = {"by_length": {32: "1ms", 64: "333333ns"}}
+    return series_pipeline(lengths).transform(series_messages(spark, sf_dir))
 
 
 # Packed arrays and codecs
@@ -565,7 +575,7 @@ def unpack_scaled(spark, sf_dir):
     """SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
 )
 def gzip_base64_roundtrip(spark, sf_dir):
-    orders = envelopes.spread(m.table(spark, sf_dir, "orders"), "o_orderkey")
+    orders = m.table(spark, sf_dir, "orders")
     names = ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
     armoured = orders.select(
         codecs.encode_payload([F.col(n) for n in names], ("json", "gzip", "base64")).alias("value")
@@ -585,7 +595,7 @@ def gzip_base64_roundtrip(spark, sf_dir):
        UNION ALL SELECT event_id, NULL, NULL, 'unusable' FROM events WHERE event_type = 'error'""",
 )
 def map_entry(spark, sf_dir):
-    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
+    events = m.table(spark, sf_dir, "events")
     entry = F.create_map(F.col("user_id").cast("string"), F.col("value"))
     # A key sorting after every digit, so that the number stays the smallest key.
     second = F.map_concat(entry, F.create_map(F.lit("z"), F.lit(0.0)))
@@ -613,7 +623,7 @@ def map_entry(spark, sf_dir):
 )
 def protobuf_decode(spark, sf_dir):
     descriptor_set = m.event_descriptor()
-    events = envelopes.spread(m.table(spark, sf_dir, "events"), "event_id")
+    events = m.table(spark, sf_dir, "events")
     payload = m.event_protobuf(descriptor_set, F.unix_micros(m.utc("ts")))
     messages = m.envelope(events, F.lit("pb"), F.col("event_id"), m.utc("ts"), payload)
     spec = {
@@ -722,11 +732,47 @@ def write_routed(spark, sf_dir):
     rows = Pipeline(event_spec()).transform(m.event_messages(spark, sf_dir))
     sinks.write_routed(rows, folder, "overwrite")
     seconds = F.call_function("div", F.col("ts_ns"), F.lit(1_000_000_000))
-    return spark.read.parquet(folder).groupBy("table_name").agg(
+    return sinks.read_routed(spark, folder).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("rows"), F.sum(seconds).alias("seconds")
     )
 
 
+@query(
+    "write_routed_numbers",
+    """SELECT lpad(CAST(o_custkey % 50 AS VARCHAR), 3, '0') AS table_name, count(*) AS rows,
+         count(*) FILTER (WHERE o_orderkey % 2 = 0) AS both_set, CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders GROUP BY 1""",
+)
+def write_routed_numbers(spark, sf_dir):
+    """Tables named by digits, from bodies whose keys differ only by case."""
+    folder = m.work_folder(spark)
+    orders = m.table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    body = F.to_json(
+        F.struct(
+            key.alias("value"), F.when(key % 2 == 0, F.col("o_orderstatus")).alias("status"),
+            F.lpad((F.col("o_custkey") % 50).cast("string"), 3, "0").alias("table"), m.iso("o_orderdate").alias("ts"),
+        )
+    )
+    # Another key of the same letters, which a body may hold beside the first.
+    body = F.regexp_replace(body, "^[{]", '{"Value":"upper",')
+    messages = m.envelope(orders, F.lit("orders.all"), key, m.utc("o_orderdate"), body)
+    spec = {
+        "output": columns(number="int64", label="string", status="string"),
+        "transformations": [
+            step("parse_json"),
+            field("value", "number", "int64"),
+            field("Value", "label", "string"),
+            step("extract_table", source="table"),
+            step("extract_index", source="ts"),
+        ],
+    }
+    sinks.write_routed(Pipeline(spec).transform(messages), folder, "overwrite")
+    back = sinks.read_routed(spark, folder).filter("label = 'upper'")
+    return back.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("status").alias("both_set"), F.sum("number").alias("keys")
+    )
+
+
 def resent(spark, sf_dir):
     """Routed event rows, clicks delivered twice."""
     rows = m.table(spark, sf_dir, "events").select(
@@ -773,7 +819,10 @@ def dedup_upsert(spark, sf_dir):
 def write_csv(spark, sf_dir):
     folder = m.work_folder(spark)
     rows = Pipeline(event_spec()).transform(m.event_messages(spark, sf_dir))
-    sinks.write_csv(rows, folder)
+    stored = os.path.join(folder, "rows")
+    sinks.write_routed(rows, stored, "overwrite")
+    folder = os.path.join(folder, "csv")
+    sinks.write_csv(sinks.read_routed(spark, stored), folder)
     layout = "ts_ns bigint, sequence bigint, kind string, k bigint, value double, user string, tag string, table_name string"
     back = spark.read.schema(layout).csv(folder, header=True)
     return back.groupBy("table_name").agg(
@@ -980,7 +1029,7 @@ ROLLING = """WITH c AS (SELECT epoch_us(ts) // {width}000000 AS bucket, event_ty
 
 @query(
     "rolling_table_counts",
-    ROLLING.format(width=60, cap=10_000) + " SELECT window_bucket, table_name, rows, rows AS msgs, first_seen FROM w",
+    ROLLING.format(width=60, cap=10**15) + " SELECT window_bucket, table_name, rows, rows AS msgs, first_seen FROM w",
 )
 def rolling_table_counts(spark, sf_dir):
     return rolling.rolling_table_counts(user_tallies(spark, sf_dir), F.col("ts"))
@@ -994,9 +1043,25 @@ def rolling_overflow(spark, sf_dir):
     return rolling.rolling_table_counts(user_tallies(spark, sf_dir), F.col("ts"), 3600, max_distinct=3)
 
 
+@query(
+    "stream_bucket_counts",
+    """SELECT epoch_us(ts) // 3600000000 AS bucket, event_type || '.' || user_id AS table_name,
+         count(*) AS rows, count(*) AS msgs, min(event_id) AS first_seen FROM events GROUP BY 1, 2""",
+)
+def stream_bucket_counts(spark, sf_dir):
+    """Tallies in an order that has nothing to do with time, many of them late."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "sink")
+    tallies = user_tallies(spark, sf_dir)
+    tallies.repartition(4, F.xxhash64("sequence")).write.mode("overwrite").parquet(inbox)
+    stream = spark.readStream.schema(tallies.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    rolling.stream_bucket_counts(stream, sink, os.path.join(folder, "checkpoint"), "ts", 3600).awaitTermination()
+    return rolling.read_bucket_counts(spark, sink)
+
+
 @query(
     "window_report",
-    ROLLING.format(width=3600, cap=10_000)
+    ROLLING.format(width=3600, cap=10**15)
     + """, p AS (SELECT *, row_number() OVER (PARTITION BY window_bucket ORDER BY rows DESC, table_name) AS place,
           sum(rows) OVER (PARTITION BY window_bucket) AS total, count(*) OVER (PARTITION BY window_bucket) AS tables
         FROM w)
@@ -1053,11 +1118,35 @@ def ingest_stream(spark, sf_dir):
     messages = envelopes.read_messages(spark, inbox, streaming=True)
     query = ingest.ingest_stream(flawed_pipeline(), messages, sink, os.path.join(folder, "checkpoint"))
     query.awaitTermination()
+    # Every message is delivered once more, in a later batch.
+    m.flawed_event_messages(spark, sf_dir).write.mode("append").parquet(inbox)
+    again = ingest.ingest_stream(flawed_pipeline(), messages, sink, os.path.join(folder, "checkpoint"))
+    again.awaitTermination()
     return ingest.read_tables(spark, sink).groupBy("table_name").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.coalesce(F.sum("amount"), F.lit(0.0)), 2).alias("total")
     )
 
 
+@query(
+    "ingest_stream_fail",
+    FLAWED + """ SELECT 'table' AS side, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM o WHERE outcome = 'ok'
+       UNION ALL SELECT 'quarantine', 2 * count(*), CAST(2 * sum(event_id) AS BIGINT) FROM o WHERE outcome <> 'ok'""",
+)
+def ingest_stream_fail(spark, sf_dir):
+    """Two deliveries under ``fail``: good messages count once, the others are sent back twice."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "sink")
+    for mode in ("overwrite", "append"):
+        m.flawed_event_messages(spark, sf_dir).write.mode(mode).parquet(inbox)
+        messages = envelopes.read_messages(spark, inbox, streaming=True)
+        query = ingest.ingest_stream(flawed_pipeline("fail"), messages, sink, os.path.join(folder, "checkpoint"))
+        query.awaitTermination()
+    good = ingest.read_tables(spark, sink).select(F.lit("table").alias("side"), "sequence")
+    back = envelopes.read_messages(spark, os.path.join(sink, "quarantine"))
+    bad = back.select(F.lit("quarantine").alias("side"), "sequence")
+    return good.unionByName(bad).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("sequence").alias("ids"))
+
+
 @query(
     "dedup_stream",
     "SELECT 'events.' || event_type AS table_name, count(*) AS rows FROM events GROUP BY 1",
@@ -1068,7 +1157,7 @@ def dedup_stream(spark, sf_dir):
     rows = resent(spark, sf_dir).withColumn("ts", timestamps.ns_to_timestamp(F.col("ts_ns")))
     rows.write.mode("overwrite").parquet(inbox)
     stream = spark.readStream.schema(rows.schema).parquet(inbox)
-    unique = ingest.dedup_stream(stream, "40 days")
+    unique = ingest.dedup_stream(stream)
     writer = unique.writeStream.format("parquet").option("path", out)
     writer = writer.option("checkpointLocation", os.path.join(folder, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
