@@ -32,6 +32,21 @@ PACKED_TYPES: dict[str, tuple[str, int]] = {
     "float64": ("f8", 8),
 }
 BYTE_ORDERS = {"little": "<", "big": ">"}
+# Arrow's list and binary columns count their content with 32 bits.
+OFFSET_LIMIT = 2**31 - 1
+
+
+def check_offsets(total: int) -> None:
+    """Fail instead of letting the offsets of an output batch wrap around."""
+    if total > OFFSET_LIMIT:
+        raise OverflowError(
+            f"an Arrow batch grows to {total} values or bytes; lower spark.sql.execution.arrow.maxRecordsPerBatch"
+        )
+
+
+def binary_array(items: list[bytes | None]) -> pa.Array:
+    check_offsets(sum(len(item) for item in items if item is not None))
+    return pa.array(items, pa.binary())
 
 
 def _inflate(data: bytes | None) -> bytes | None:
@@ -57,7 +72,7 @@ def gunzip(data: Column) -> Column:
 
     @F.arrow_udf(T.BinaryType())
     def run(batch: pa.Array) -> pa.Array:
-        return pa.array([_inflate(item) for item in batch.to_pylist()], pa.binary())
+        return binary_array([_inflate(item) for item in batch.to_pylist()])
 
     return run(data)
 
@@ -73,7 +88,7 @@ def gzip(data: Column, level: int = 6) -> Column:
             stream = zlib.compressobj(level, zlib.DEFLATED, 31)
             return stream.compress(item) + stream.flush()
 
-        return pa.array([deflate(item) for item in batch.to_pylist()], pa.binary())
+        return binary_array([deflate(item) for item in batch.to_pylist()])
 
     return run(data)
 
@@ -100,6 +115,7 @@ def _decode(raw: pa.Array, usable: np.ndarray, dtype: str, out: str, scale) -> p
     values = np.frombuffer(data, dtype=dtype).astype(out)
     if scale is not None:
         values = values * (np.repeat(scale, counts) if isinstance(scale, np.ndarray) else scale)
+    check_offsets(int(counts.sum()))
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(

@@ -1,8 +1,8 @@
 """Structural steps: a message that fails one of them is unusable.
 
 Gzip, packed arrays and protobuf run as Arrow functions, everything else as
-column expressions. The ``*_step`` builders serve pipelines; ``decompress``,
-``parse_json``, ``unpack_column`` and friends work on any DataFrame.
+column expressions. The ``*_step`` builders serve pipelines; ``decompress`` and
+``parse_json`` work on any DataFrame.
 """
 
 from __future__ import annotations
@@ -254,20 +254,3 @@ def parse_json(df: DataFrame, column: str = "payload", target: str = "body") ->
     text = F.col(column).cast("string")
     is_object = text.startswith("{") | text.rlike(r"^[ \t\r\n]*[{n]")
     return df.withColumn(target, F.when(is_object, json_value(text)))
-
-
-def parse_protobuf(
-    df: DataFrame, descriptor_set: bytes, message_type: str, column: str = "payload", target: str = "body"
-) -> DataFrame:
-    """Add the struct of a protobuf payload (NULL when malformed)."""
-    return df.withColumn(target, protobuf.decode_protobuf(F.col(column), descriptor_set, message_type))
-
-
-def map_entry(
-    df: DataFrame, source: str, key_target: str, value_target: str, on_multiple: str = "fail"
-) -> DataFrame:
-    """Lift the single (or, with ``first``, smallest-keyed) entry of a string-keyed map column."""
-    keys = F.map_keys(F.col(source))
-    usable = F.size(keys) == 1 if on_multiple == "fail" else F.size(keys) > 0
-    df = df.withColumn(key_target, F.when(usable, F.array_min(keys)))
-    return df.withColumn(value_target, F.try_element_at(F.col(source), F.col(key_target)))

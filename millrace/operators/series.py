@@ -183,7 +183,8 @@ def explode_series(
                      F.posexplode(source).alias("__at", "__value"))
     place = F.col("__at").cast("bigint")
     columns = [F.col(f"`{c}`") for c in kept]
-    columns.append((F.col("__start") + place * F.col("__interval")).alias(ts))
+    # A time beyond the BIGINT range is NULL instead of the end of the job.
+    columns.append(F.try_add(F.col("__start"), F.try_multiply(place, F.col("__interval"))).alias(ts))
     if ordinal:
         columns.append(place.alias(ordinal))
     columns.append(F.col("__value").alias(target))

@@ -186,10 +186,15 @@ def lag_summary(
 
 
 def bucket_quantile(
-    histogram_rows: DataFrame, q: float, keys: list[str] | None = None
+    histogram_rows: DataFrame, q: float, keys: list[str]
 ) -> DataFrame:
-    """Quantile of cumulative histogram rows (``le``, ``cumulative``), one row per key."""
-    keys = keys or []
+    """Quantile of cumulative histogram rows (``le``, ``cumulative``), one row per key.
+
+    ``keys`` must tell histograms apart: the rows of a key are one per bound and meet in
+    one place.
+    """
+    if not keys:
+        raise ValueError("bucket_quantile needs the keys of a histogram")
     pairs = F.array_sort(F.collect_list(F.struct("le", "cumulative")))
     grouped = histogram_rows.groupBy(*keys).agg(pairs.alias("pairs"))
     bounds = F.transform(F.filter("pairs", lambda p: p["le"] < float("inf")), lambda p: p["le"])

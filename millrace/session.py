@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A repeated JSON key keeps its last value instead of failing the message.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Batches of the codecs: bounded by bytes, as payloads may be large, and by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

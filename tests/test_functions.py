@@ -2,6 +2,8 @@ import hashlib
 import math
 import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -285,3 +287,14 @@ def test_quantile_matches_definition(spark):
             assert values == sorted(values)
 
     check()
+
+
+def test_offsets_fail_instead_of_wrapping(spark, monkeypatch):
+    monkeypatch.setattr(codecs, "OFFSET_LIMIT", 100)
+    values = pa.array([b"\x01" * 60, b"\x02" * 60])
+    with pytest.raises(OverflowError):
+        codecs._decode(values, np.array([True, True]), "u1", "i8", None)
+    assert len(codecs._decode(values[:1], np.array([True]), "u1", "i8", None)[0]) == 60
+    with pytest.raises(OverflowError):
+        codecs.binary_array([b"x" * 101, None])
+    assert codecs.binary_array([b"x" * 100, None]).null_count == 1

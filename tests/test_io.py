@@ -63,8 +63,12 @@ def test_detect_and_read(spark, tmp_path):
     (tmp_path / "e").write_bytes(b"")
     found = {os.path.basename(r.path): (r.format, r.error) for r in detect.detect_format(spark, str(tmp_path)).collect()}
     kinds = {n: f for n, (f, _) in found.items() if not n.endswith(".parquet")}
-    assert kinds == {"a.txt": "jsonl", "b.gz": "json.gz", "c.bin": "json.gz", "d.csv": None}
-    assert found["d.csv"][1] == "unknown file format"
+    assert kinds == {"a.txt": "jsonl", "b.gz": "json.gz", "c.bin": "json.gz", "d.csv": None, "e": None}
+    assert found["d.csv"][1] == "unknown file format" and found["e"][1] == "empty file"
+    for name in ("d.csv", "e"):
+        with pytest.raises(ValueError, match=name):
+            detect.read_detected(spark, str(tmp_path))
+        os.remove(tmp_path / name)
     read = detect.read_detected(spark, str(tmp_path))
     assert read["parquet"].count() == 3
     assert read["jsonl"].messages.count() == 2 and read["jsonl"].rejects.count() == 1

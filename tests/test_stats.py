@@ -154,7 +154,7 @@ def test_overflow_cut_happens_before_the_shuffle(spark):
         F.lit("t").alias("table_name"), F.lit(1).alias("rows"), F.lit(1).alias("msgs"),
         F.col("id").alias("sequence"), F.timestamp_seconds("id").alias("at"),
     )
-    plan = rolling.rolling_table_counts(df, F.col("at"))._jdf.queryExecution().executedPlan().toString()
+    plan = rolling.rolling_table_counts(df, F.col("at"), max_distinct=100)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
 
 
@@ -175,3 +175,15 @@ def test_compare(spark):
     summary = comparison_summary(compare_tables(actual, golden, ["k"]))
     assert {(r.issue, r.column_name): r.n for r in summary.collect()}[("value", "v")] == 2
     assert compare_tables(golden, golden, ["k"]).count() == 0
+
+
+def test_compare_repeated_keys_columns_and_text(spark):
+    shape = "k int, v double, s string"
+    golden = spark.createDataFrame([(1, 1.0, "2.0"), (2, 1.0, "a"), (2, 2.0, "b"), (3, 1.0, "x"), (3, 1.0, "x")], shape)
+    actual = spark.createDataFrame([(1, 1.0, "2.0004"), (2, 2.0, "b"), (2, 9.0, "a"), (3, 1.0, "x"), (3, 1.0, "x")], shape)
+    found = {tuple(r) for r in compare_tables(actual, golden, ["k"]).collect()}
+    assert found == {(2, "rows", None, "1", "1")}
+    sides = compare_tables(actual.drop("v").withColumn("w", F.lit(1)), golden, ["k"])
+    assert {tuple(r) for r in sides.collect()} == {(None, "column", "v", None, "present"), (None, "column", "w", "present", None)}
+    texts = compare_tables(actual.withColumn("s", F.lit("word")), golden, ["k"]).filter("k = 1")
+    assert [tuple(r) for r in texts.collect()] == [(1, "value", "s", "word", "2.0")]

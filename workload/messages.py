@@ -12,6 +12,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from millrace.functions.codecs import check_offsets
+
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -100,6 +102,7 @@ def pack(values: Column, code: str) -> Column:
         width = np.dtype(code).itemsize
         counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
         data = pc.list_flatten(batch).to_numpy(zero_copy_only=False).astype(code).tobytes()
+        check_offsets(int(counts.sum()) * width)
         offsets = np.zeros(len(batch) + 1, dtype=np.int32)
         np.cumsum(counts * width, out=offsets[1:])
         return pa.Array.from_buffers(

@@ -661,12 +661,12 @@ def subject_filter(spark, sf_dir):
 
 
 @query(
-    "jsonlines_split",
+    "jsonlineitemsplit",
     """SELECT CASE WHEN event_type = 'error' THEN 'reject' ELSE 'message' END AS side, count(*) AS n,
          CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE event_id END) AS BIGINT) AS ids
        FROM events WHERE event_type <> 'signup' GROUP BY 1""",
 )
-def jsonlines_split(spark, sf_dir):
+def jsonlineitemsplit(spark, sf_dir):
     folder = m.work_folder(spark)
     flawed = m.flawed_event_messages(spark, sf_dir)
     flawed.select(F.col("payload").cast("string").alias("value")).write.mode("overwrite").text(folder)
@@ -678,12 +678,12 @@ def jsonlines_split(spark, sf_dir):
 
 
 @query(
-    "base64_lines_split",
+    "base64_lineitemsplit",
     """SELECT CASE WHEN event_type = 'view' THEN 'reject' ELSE 'message' END AS side, count(*) AS n,
          CAST(sum(CASE WHEN event_type = 'view' THEN 0 ELSE octet_length(encode(props)) END) AS BIGINT) AS n_bytes
        FROM events GROUP BY 1""",
 )
-def base64_lines_split(spark, sf_dir):
+def base64_lineitemsplit(spark, sf_dir):
     folder = m.work_folder(spark)
     events = m.table(spark, sf_dir, "events")
     line = F.base64(F.col("props").cast("binary"))  # short enough for one line
@@ -703,11 +703,32 @@ TABLE_NAMES = (
 
 @query(
     "detect_formats",
-    "SELECT unnest(['" + "', '".join(TABLE_NAMES) + "']) AS name, 'parquet' AS format",
+    """SELECT CASE event_type WHEN 'click' THEN 'parquet' WHEN 'view' THEN 'jsonl' WHEN 'purchase' THEN 'json.gz' END AS format,
+         CASE WHEN event_type IN ('signup', 'error') THEN 'unknown file format' END AS error,
+         CASE WHEN event_type IN ('click', 'view', 'purchase') THEN count(*) ELSE 0 END AS rows
+       FROM events GROUP BY event_type UNION ALL SELECT NULL, 'empty file', 0""",
 )
 def detect_formats(spark, sf_dir):
-    found = detect.detect_format(spark, sf_dir)
-    return found.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("name"), "format")
+    """A file of each kind of event in a format of its own, and one without any."""
+    folder = m.work_folder(spark)
+    events = m.table(spark, sf_dir, "events")
+    kind = lambda name: events.filter(F.col("event_type") == name).coalesce(1)
+    text = lambda name: kind(name).select(F.to_json(F.struct("event_id", "value")).alias("value"))
+    kind("click").write.parquet(f"{folder}/good/a")
+    text("view").write.text(f"{folder}/good/b")
+    text("purchase").write.text(f"{folder}/good/c", compression="gzip")
+    for name in ("signup", "error"):
+        kind(name).select(F.concat(F.lit("id "), "event_id").alias("value")).write.text(f"{folder}/bad/{name}")
+    events.limit(0).select("event_type").coalesce(1).write.text(f"{folder}/bad/none")
+    read = detect.read_detected(spark, f"{folder}/good")
+    counts = [
+        (read[f] if f == "parquet" else read[f].messages).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f).alias("format"), "rows")
+        for f in ("parquet", "jsonl", "json.gz")
+    ]
+    counts = counts[0].unionByName(counts[1]).unionByName(counts[2])
+    good = detect.detect_format(spark, f"{folder}/good").join(counts, "format").select("format", "error", "rows")
+    bad = detect.detect_format(spark, f"{folder}/bad").select("format", "error", F.lit(0).cast("bigint").alias("rows"))
+    return good.unionByName(bad)
 
 
 @query("read_messages_back", "SELECT event_type AS kind, count(*) AS n FROM events GROUP BY 1")
@@ -885,9 +906,9 @@ def lag_histogram(spark, sf_dir):
         FROM b, q WHERE up > below AND up >= q * total GROUP BY q""",
 )
 def lag_quantiles(spark, sf_dir):
-    h = stats.histogram(ship_lags(spark, sf_dir), F.col("lag"), BOUNDS)
+    h = stats.histogram(ship_lags(spark, sf_dir), F.col("lag"), BOUNDS).withColumn("of", F.lit("all"))
     found = [
-        stats.bucket_quantile(h, q).select(F.lit(q).alias("q"), F.round("quantile", 6).alias("quantile"))
+        stats.bucket_quantile(h, q, ["of"]).select(F.lit(q).alias("q"), F.round("quantile", 6).alias("quantile"))
         for q in (0.5, 0.9, 0.99)
     ]
     return found[0].unionByName(found[1]).unionByName(found[2])
@@ -1102,6 +1123,23 @@ def compare_orders(spark, sf_dir):
     return comparison_summary(compare_tables(actual, golden, ["o_orderkey"]))
 
 
+@query(
+    "compare_repeated",
+    """WITH o AS (SELECT l_orderkey, count(*) AS n, bool_or(l_linenumber = 1) AS one FROM lineitem GROUP BY 1)
+       SELECT 'rows' AS issue, NULL AS column_name, count(*) AS n FROM o WHERE n > 1 AND one
+       UNION ALL SELECT 'value', 'l_quantity', count(*) FROM o WHERE n = 1 AND one
+       UNION ALL SELECT 'column', 'note', 1 UNION ALL SELECT 'column', 'l_tax', 1""",
+)
+def compare_repeated(spark, sf_dir):
+    """Lines by order, so keys repeat: first lines change, quantities are text, a column goes and one comes."""
+    lineitem = m.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("l_quantity"), "l_tax"
+    )
+    changed = F.when(F.col("l_linenumber") == 1, (F.col("l_quantity").cast("double") + 1000).cast("string"))
+    actual = lineitem.drop("l_tax").withColumns({"l_quantity": F.coalesce(changed, "l_quantity"), "note": F.lit("x")})
+    return comparison_summary(compare_tables(actual, lineitem, ["l_orderkey"]))
+
+
 # Streams
 
 
