@@ -20,8 +20,10 @@ from .shared import WORD, stored
 PASS_COSTS = (0, 1, 3)
 # Patterns the driver takes: one small row each. More are an error, not a cut.
 PATTERN_LIMIT = 100_000
-# Hexadecimal digits of the seeded order that are summed before single rows are ordered.
-DIGITS = 4
+# Hexadecimal digits of the seeded order that are summed before single rows are ordered, in
+# steps: a step looks at the next digits inside the range that the one before has found, so
+# no more than 256 sums of a pattern meet.
+STEPS = (2, 4, 6)
 
 
 def targets(sizes: Sequence[int], weights: Sequence[int], repeats: int) -> list[float]:
@@ -141,10 +143,9 @@ def taken(counted: DataFrame, keep: list[str], doc_id: str, weights: Sequence[in
     spark = counted.sparkSession
     # Order by a seeded hash of id and size, and its first digits for the sums.
     mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("size")))
-    counted = counted.select("*", mark.alias("_mark")).withColumn("_head", F.substring("_mark", 1, DIGITS))
-    small = stored(counted.select("_members", "_mark", "_head", "size"), "sizes")
-    heads = small.groupBy("_members", "_head").agg(F.sum("size").alias("size"))
-    held = heads.groupBy("_members").agg(F.sum("size").alias("size")).limit(PATTERN_LIMIT + 1).collect()
+    counted = counted.select("*", mark.alias("_mark"))
+    small = stored(counted.select("_members", "_mark", "size"), "sizes")
+    held = small.groupBy("_members").agg(F.sum("size").alias("size")).limit(PATTERN_LIMIT + 1).collect()
     if len(held) > PATTERN_LIMIT:
         raise ValueError(f"more than {PATTERN_LIMIT} membership patterns")
     patterns = {tuple(r._members): r.size for r in held}
@@ -163,23 +164,30 @@ def taken(counted: DataFrame, keep: list[str], doc_id: str, weights: Sequence[in
     shape = "_members array<string>, source_size bigint, target double, passes bigint, rest bigint"
     plan = spark.createDataFrame(plan, shape).withColumn("_key", F.to_json("_members", {"ignoreNullFields": "false"}))
 
-    # Where in the seeded order each pattern's rest ends: first by head, then by row.
-    order = Window.partitionBy("_members").orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
-    before = heads.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0)))
+    # Where in the seeded order each pattern's rest ends: by leading digits, then by row.
+    # One row for every pattern, of which there are PATTERN_LIMIT at most.
     key = F.to_json("_members", {"ignoreNullFields": "false"})
-    edge = (
-        before.withColumn("_key", key).join(F.broadcast(plan.select("_key", "rest")), "_key")
-        .where("before < rest and before + size >= rest").select("_key", F.col("_head").alias("edge"), "before", "rest")
-    )
-    inside = small.withColumn("_key", key).join(F.broadcast(edge), "_key").where(F.col("_head") == F.col("edge"))
+    small = small.withColumn("_key", key)
+    edge = plan.select("_key", F.lit("").alias("edge"), F.lit(0).cast("long").alias("before"), "rest")
+    for digits in STEPS:
+        inside = small.join(F.broadcast(edge), "_key").where(F.col("_mark").startswith(F.col("edge")))
+        heads = inside.groupBy("_key", F.substring("_mark", 1, digits).alias("head")).agg(
+            F.sum("size").alias("size"), F.first("before").alias("before"), F.first("rest").alias("rest")
+        )
+        order = Window.partitionBy("_key").orderBy("head").rowsBetween(Window.unboundedPreceding, -1)
+        heads = heads.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+        heads = heads.where("before < rest and before + size >= rest")
+        edge = stored(heads.select("_key", F.col("head").alias("edge"), "before", "rest"), "edge")
+    inside = small.join(F.broadcast(edge), "_key").where(F.col("_mark").startswith(F.col("edge")))
     row = Window.partitionBy("_key").orderBy("_mark").rowsBetween(Window.unboundedPreceding, -1)
     cut = inside.withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(row), F.lit(0)))
     # The row across the end counts if more than half of it lies before the end.
     last = cut.where(F.col("sum") * 2 + F.col("size") <= F.col("rest") * 2).groupBy("_key").agg(F.max("_mark").alias("last"))
-    # One row for every pattern, of which there are PATTERN_LIMIT at most.
     ends = stored(plan.join(edge.select("_key", "edge"), "_key", "left").join(last, "_key", "left").drop("_members"), "ends")
     rows = counted.withColumn("_key", key).join(F.broadcast(ends), "_key")
-    extra = (F.col("_head") < F.col("edge")) | ((F.col("_head") == F.col("edge")) & (F.col("_mark") <= F.col("last")))
+    extra = (F.substring("_mark", 1, STEPS[-1]) < F.col("edge")) | F.coalesce(
+        F.col("_mark").startswith(F.col("edge")) & (F.col("_mark") <= F.col("last")), F.lit(False)
+    )
     times = F.when(F.col("size") > 0, F.col("passes") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0)
     rows = rows.withColumn("times", times)
     return rows.select(
