@@ -54,6 +54,11 @@ def register_step(name: str, builder: Builder) -> None:
     _BUILDERS[name] = builder
 
 
+def registered_steps() -> list[str]:
+    """Names of the steps a pipeline may use."""
+    return [*_BUILDERS, EXPLODE]
+
+
 def load_spec(path: str) -> dict:
     """Read a pipeline declaration from a YAML or JSON file."""
     with open(path, encoding="utf-8") as file:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.functions import codecs, text, timestamps
 from millrace.functions.buckets import exp_buckets
@@ -13,7 +13,8 @@ from millrace.operators import decode, stats
 from millrace.operators.compare import compare_tables, comparison_summary
 from millrace.operators.rows import apply_policy
 from millrace.operators.series import explode_series, interval_by_length
-from millrace.plans.pipeline import Pipeline, check_only
+from millrace.operators.fields import Field, Slot, Step
+from millrace.plans.pipeline import Pipeline, check_only, register_step, registered_steps
 from millrace.schema import sentinel_fill
 from millrace.session import configure
 from millrace.sources import detect, envelopes, lines
@@ -146,6 +147,33 @@ NUMBER_TEXT = """CASE WHEN {0} = floor({0}) AND abs({0}) < 1000000 THEN CAST(CAS
     ELSE CAST({0} AS VARCHAR) END"""
 
 
+@query(
+    "registered_step",
+    "SELECT event_id AS sequence, reverse(event_type) AS backwards, 'ok' AS outcome FROM events",
+)
+def registered_step(spark, sf_dir):
+    """A step of the user's own inside a pipeline."""
+
+    def backwards(options: dict) -> Step:
+        def apply(scope) -> None:
+            value = F.reverse(scope.read(scope.lookup(options["source"]), "text"))
+            scope.store(options["target"], "backwards", Field({"text": Slot(value)}))
+
+        return Step("backwards", apply, reads=((options["source"],),), target=options["target"])
+
+    if "backwards" not in registered_steps():
+        register_step("backwards", backwards)
+    spec = {
+        "output": columns(backwards="string"),
+        "transformations": [
+            step("parse_json"),
+            step("backwards", source="event_type", target="backwards"),
+            step("extract_table", value="t"),
+        ],
+    }
+    return Pipeline(spec).parse(m.event_messages(spark, sf_dir)).select("sequence", "row.backwards", "outcome")
+
+
 @query(
     "number_text",
     f"""SELECT event_id AS sequence, {NUMBER_TEXT.format('value')} AS value_text,
@@ -204,6 +232,53 @@ FORMATS = {
 }
 
 
+@query(
+    "safe_parse_number_modes",
+    """SELECT event_id AS sequence, CASE WHEN bad THEN NULL ELSE value END AS skipped,
+         CASE WHEN bad THEN NULL ELSE value END AS failed, CASE WHEN bad THEN 'partial' ELSE 'ok' END AS outcome
+       FROM (SELECT *, event_type IN ('error', 'view') AS bad FROM events)""",
+)
+def safe_parse_number_modes(spark, sf_dir):
+    """A bad number under ``skip``, which leaves no error, and under ``fail``, which leaves one."""
+    events = m.table(spark, sf_dir, "events")
+    bad = F.col("event_type").isin("error", "view")
+    body = F.to_json(F.struct(F.when(bad, "n/a").otherwise(F.col("value").cast("string")).alias("reading")))
+    messages = m.envelope(events, F.lit("s"), F.col("event_id"), m.utc("ts"), body)
+    spec = {
+        "output": columns(skipped="double", failed="double"),
+        "transformations": [
+            step("parse_json"),
+            step("safe_parse_number", source="reading", target="skipped", on_error="skip"),
+            step("safe_parse_number", source="reading", target="failed", on_error="fail"),
+            step("extract_table", value="t"),
+        ],
+    }
+    return Pipeline(spec).parse(messages).select("sequence", "row.skipped", "row.failed", "outcome")
+
+
+@query(
+    "timestamp_nanoseconds",
+    """SELECT event_id, epoch_us(date_trunc('day', ts)) * 1000 + 3600000000000 * (event_id % 10)
+         + CAST(rpad(CAST(1000000 + event_id AS VARCHAR), 9, '0') AS BIGINT) AS utc_ns,
+         epoch_us(date_trunc('day', ts)) * 1000 + 3600000000000 * (event_id % 10)
+         + CAST(rpad(CAST(1000000 + event_id AS VARCHAR), 9, '0') AS BIGINT) AS plain_ns
+       FROM events""",
+)
+def timestamp_nanoseconds(spark, sf_dir):
+    """Seven to nine digits of the second, hours of one digit."""
+    events = m.table(spark, sf_dir, "events")
+    key = F.col("event_id")
+    day, clock = F.date_format(m.utc("ts"), "yyyy-MM-dd"), F.concat((key % 10).cast("string"), F.lit(":00:00."))
+    fraction = (1_000_000 + key).cast("string")
+    utc = F.concat(day, F.lit("T"), clock, fraction, F.lit("Z"))
+    plain = F.concat(day, F.lit(" "), clock, fraction)
+    return events.select(
+        "event_id",
+        timestamps.to_ts_ns(utc, "rfc3339nano").alias("utc_ns"),
+        timestamps.to_ts_ns(plain, "2006-01-02 15:04:05").alias("plain_ns"),
+    )
+
+
 @query(
     "timestamp_formats",
     f"""SELECT event_id AS sequence, epoch_us(date_trunc('second', ts)) * 1000 AS as_rfc3339,
@@ -394,6 +469,45 @@ def outcome_counters_fail(spark, sf_dir):
     return policy_counters(spark, sf_dir, "fail")
 
 
+@query(
+    "empty_series_counters",
+    """SELECT count(*) AS fetched, count(*) AS processed, CAST(0 AS BIGINT) AS parse_failures, CAST(0 AS BIGINT) AS dropped,
+         count(*) FILTER (WHERE label = 0) AS zero_rows,
+         CAST(sum(CASE WHEN label = 0 THEN 0 ELSE len(embedding) END) AS BIGINT) AS rows_written,
+         count(*) AS acks, CAST(0 AS BIGINT) AS nacks FROM embeddings""",
+)
+def empty_series_counters(spark, sf_dir):
+    """Messages with an empty series are acknowledged and write no row."""
+    messages = series_messages(spark, sf_dir, F.col("label") == 0)
+    return stats.outcome_counters(series_pipeline({"value": "1ms"}).parse(messages))
+
+
+@query(
+    "observed_counters",
+    POLICY_SQL.format(group="'all'", name="scope", **DROP),
+)
+def observed_counters(spark, sf_dir):
+    """Counters that arrive with the progress of a stream, summed over its batches."""
+    folder = m.work_folder(spark)
+    inbox = os.path.join(folder, "inbox")
+    m.flawed_event_messages(spark, sf_dir).repartition(3, "sequence").write.parquet(inbox)
+    messages = envelopes.read_messages(spark, inbox, streaming=True, files_per_trigger=1)
+    parsed = ingest.observe_batches(flawed_pipeline().parse(messages), "observed")
+    seen: list[dict] = []
+    observer = ingest.BatchObserver(seen.append, "observed")
+    spark.streams.addListener(observer)
+    try:
+        writer = parsed.writeStream.format("noop").option("checkpointLocation", os.path.join(folder, "checkpoint"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(observer)
+    rows = [("all", *[int(b[c]) for c in stats.COUNTERS]) for b in seen if b.get("fetched")]
+    shape = "scope string, " + ", ".join(f"{c} bigint" for c in stats.COUNTERS)
+    sums = [F.sum(c).alias(c) for c in stats.COUNTERS]
+    return spark.createDataFrame(rows, shape).groupBy("scope").agg(*sums)
+
+
 @query(
     "rollup_counters",
     POLICY_SQL.format(group="event_type", name="worker", **FAIL).replace("GROUP BY 1", "GROUP BY ROLLUP (event_type)"),
@@ -448,6 +562,31 @@ def sentinel_values(spark, sf_dir):
                          F.isnan("amount").alias("is_null"))
 
 
+@query(
+    "sentinel_kinds",
+    """SELECT event_id AS sequence, event_type AS kind,
+         CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS word,
+         CASE WHEN event_type = 'view' THEN '' ELSE event_type END AS tag,
+         CASE WHEN event_type = 'view' THEN -9223372036854775808 ELSE user_id END AS number,
+         CASE WHEN event_type = 'view' THEN -9223372036854775808 ELSE event_id * 1000000000 END AS moment,
+         event_type = 'view' AS no_value, CASE WHEN event_type = 'view' THEN 0 ELSE octet_length(encode(event_type)) END AS n_bytes
+       FROM events""",
+)
+def sentinel_kinds(spark, sf_dir):
+    """The sentinel of every column type."""
+    rows = m.table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("sequence"), F.col("event_type").alias("kind"),
+        *[F.when(F.col("event_type") != "view", value).alias(name) for name, value in {
+            "word": F.col("event_type"), "tag": F.col("event_type"), "number": F.col("user_id"),
+            "moment": F.col("event_id") * 1_000_000_000, "ratio": F.col("value"), "raw": F.col("event_type").cast("binary"),
+        }.items()],
+    )
+    kinds = columns(word="string", tag="symbol", number="int64", moment="timestamp", ratio="double", raw="blob")
+    filled = sentinel_fill(rows, kinds["columns"])
+    return filled.select("sequence", "kind", "word", "tag", "number", "moment", F.isnan("ratio").alias("no_value"),
+                         F.octet_length("raw").cast("bigint").alias("n_bytes"))
+
+
 # Sample series
 
 
@@ -492,11 +631,14 @@ def series_pipeline(interval: dict) -> Pipeline:
     })
 
 
-def series_messages(spark, sf_dir):
+def series_messages(spark, sf_dir, empty=None):
     vectors = m.table(spark, sf_dir, "embeddings")
     key, label = F.col("vec_id"), F.col("label")
+    parts = F.col("embedding").cast("array<double>")
+    if empty is not None:
+        parts = F.when(empty, F.array().cast("array<double>")).otherwise(parts)
     body = F.to_json(F.struct(
-        F.col("embedding").cast("array<double>").alias("parts"),
+        parts.alias("parts"),
         F.concat(F.lit("v"), key.cast("string")).alias("vector"),
         label.cast("string").alias("label"),
         (label + 0.5).alias("every"),
@@ -616,6 +758,36 @@ def map_entry(spark, sf_dir):
     return Pipeline(spec).parse(messages).select("sequence", "row.*", "outcome")
 
 
+@query(
+    "map_entry_rules",
+    """SELECT event_id AS sequence, CASE WHEN event_type = 'click' THEN 7 END AS entry_key,
+         CASE WHEN event_type = 'click' THEN value END AS entry_value,
+         CASE WHEN event_type = 'click' THEN 'ok' ELSE 'unusable' END AS outcome
+       FROM events""",
+)
+def map_entry_rules(spark, sf_dir):
+    """Keys outside the list and second entries make a message unusable."""
+    events = m.table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    one = F.create_map(F.when(kind == "view", "8").otherwise("7"), F.col("value"))
+    two = F.map_concat(one, F.create_map(F.lit("9"), F.lit(0.0)))
+    entries = F.when(kind.isin("click", "view"), one).otherwise(two)
+    body = F.to_json(F.struct(entries.alias("entries")))
+    spec = {
+        "output": columns(entry_key="int64", entry_value="double"),
+        "transformations": [
+            step("parse_json"),
+            step("extract_map_entry", source="entries", key_target="entry_key", value_target="entry_value",
+                 on_multiple="fail", allowed_keys=["7", "9"]),
+            step("extract_table", value="t"),
+        ],
+    }
+    messages = m.envelope(events, F.lit("s"), F.col("event_id"), m.utc("ts"), body)
+    good = F.col("outcome") == "ok"  # an unusable message has no row
+    cells = [F.when(good, F.col(f"row.{c}")).alias(c) for c in ("entry_key", "entry_value")]
+    return Pipeline(spec).parse(messages).select("sequence", *cells, "outcome")
+
+
 @query(
     "protobuf_decode",
     f"""SELECT event_id AS sequence, 'pb.' || event_type AS table_name, {NS.format('ts')} AS ts_ns, event_id AS id,
@@ -661,12 +833,12 @@ def subject_filter(spark, sf_dir):
 
 
 @query(
-    "jsonlineitemsplit",
+    "jsonlines_split",
     """SELECT CASE WHEN event_type = 'error' THEN 'reject' ELSE 'message' END AS side, count(*) AS n,
          CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE event_id END) AS BIGINT) AS ids
        FROM events WHERE event_type <> 'signup' GROUP BY 1""",
 )
-def jsonlineitemsplit(spark, sf_dir):
+def jsonlines_split(spark, sf_dir):
     folder = m.work_folder(spark)
     flawed = m.flawed_event_messages(spark, sf_dir)
     flawed.select(F.col("payload").cast("string").alias("value")).write.mode("overwrite").text(folder)
@@ -678,12 +850,12 @@ def jsonlineitemsplit(spark, sf_dir):
 
 
 @query(
-    "base64_lineitemsplit",
+    "base64_lines_split",
     """SELECT CASE WHEN event_type = 'view' THEN 'reject' ELSE 'message' END AS side, count(*) AS n,
          CAST(sum(CASE WHEN event_type = 'view' THEN 0 ELSE octet_length(encode(props)) END) AS BIGINT) AS n_bytes
        FROM events GROUP BY 1""",
 )
-def base64_lineitemsplit(spark, sf_dir):
+def base64_lines_split(spark, sf_dir):
     folder = m.work_folder(spark)
     events = m.table(spark, sf_dir, "events")
     line = F.base64(F.col("props").cast("binary"))  # short enough for one line
@@ -851,6 +1023,28 @@ def write_csv(spark, sf_dir):
     )
 
 
+@query(
+    "write_csv_cells",
+    f"""SELECT event_type AS table_name, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS place,
+          {NS.format('ts')} AS ts_ns, event_id AS sequence, user_id, value FROM events""",
+)
+def write_csv_cells(spark, sf_dir):
+    """Every cell of the CSV files, with its place in the order of files and lines."""
+    folder = m.work_folder(spark)
+    rows = m.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("table_name"), timestamps.timestamp_to_ns(m.utc("ts")).alias("ts_ns"),
+        F.col("event_id").alias("sequence"), "user_id", "value",
+    )
+    sinks.write_csv(rows, folder)
+    layout = "ts_ns bigint, sequence bigint, user_id bigint, value double, table_name string"
+    back = spark.read.schema(layout).csv(folder, header=True)
+    # A file's first line says where the file belongs; lines keep their order inside it.
+    line = F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    lines_read = back.select("*", line.alias("at"))
+    order = Window.partitionBy("table_name").orderBy("at.file", "at.line")
+    return lines_read.withColumn("place", F.row_number().over(order).cast("bigint")).drop("at")
+
+
 @query(
     "quarantine_reread",
     FLAWED + """ SELECT event_id AS sequence, 'events.' || event_type || '.' || user_id AS subject,
