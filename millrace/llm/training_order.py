@@ -23,10 +23,6 @@ from pyspark.sql import DataFrame, functions as F
 from .shared import by_text, new_folder, stored
 
 ROUNDS = 6
-# Words remembered in a task; beyond it the memory starts anew.
-REMEMBERED = 200_000
-# White space next to a blank.
-WIDE = re.compile(r" \s|\s ")
 
 
 def mixed(values: np.ndarray, key: int) -> np.ndarray:
@@ -56,27 +52,18 @@ def slots_of(index: np.ndarray, count: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-class WordCoder:
-    """Token ids of a text by a rank file whose pattern lets a blank begin a word."""
+class TextCoder:
+    """Token ids of a text by a rank file."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-        self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
+        coding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.encode = coding.encode_ordinary
 
     def __call__(self, text: str) -> bytes:
-        """Two little-endian bytes for each id. Words between single blanks are coded once;
-        a text with other blanks is coded as a whole."""
-        if not text or text[0] == " " or text[-1] == " " or WIDE.search(text):
-            return np.array(self.encode(text), "<u2").tobytes()
-        first, *words = text.split(" ")
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in {w for w in words if w not in known}:
-            known[word] = np.array(self.encode(" " + word), "<u2").tobytes()
-        return np.array(self.encode(first), "<u2").tobytes() + b"".join(map(known.__getitem__, words))
+        """Two little-endian bytes for each id."""
+        return np.array(self.encode(text), "<u2").tobytes()
 
 
 def located(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -104,14 +91,14 @@ def counted_runs(rows: DataFrame, path: str, pattern: str, length: int) -> list[
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, runs, last = WordCoder(path, pattern), [], None
+        encode, runs, last = TextCoder(path, pattern).encode, [], None
         for batch in batches:
             files, places = batch.column(1).to_pylist(), batch.column(2).to_numpy()
             starts = set(run_starts(files, places, last))
             for i, text in enumerate(batch.column(0).to_pylist()):
                 if i in starts:
                     runs.append([files[i], int(places[i]), 0])
-                runs[-1][2] += -(-len(coder(text or "")) // (2 * length))
+                runs[-1][2] += -(-len(encode(text or "")) // length)
             if files:
                 last = (files[-1], int(places[-1]))
         yield pa.RecordBatch.from_arrays(
@@ -140,7 +127,7 @@ def numbered_sequences(
     shared = rows.sparkSession.sparkContext.broadcast(first)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, stride, last, index = WordCoder(path, pattern), 2 * length, None, 0
+        coder, stride, last, index = TextCoder(path, pattern), 2 * length, None, 0
         for batch in batches:
             docs, pieces, sizes, data, indices = [], [], [], [], []
             files, places = batch.column(2).to_pylist(), batch.column(3).to_numpy()
