@@ -760,7 +760,7 @@ def map_entry(spark, sf_dir):
 
 @query(
     "map_entry_rules",
-    """SELECT event_id AS sequence, CASE WHEN event_type = 'click' THEN 7 END AS entry_key,
+    """SELECT event_id AS sequence, CASE WHEN event_type = 'click' THEN CAST(7 AS BIGINT) END AS entry_key,
          CASE WHEN event_type = 'click' THEN value END AS entry_value,
          CASE WHEN event_type = 'click' THEN 'ok' ELSE 'unusable' END AS outcome
        FROM events""",
