@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_templates
+from . import compression, jaccard_join, language, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_sql, url_templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,6 +97,9 @@ def op8_path_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+ORACLES["op8_path_templates"] = url_sql.oracle(URL_RULES)
+
+
 MIX_SEED = 7
 
 

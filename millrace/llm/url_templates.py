@@ -22,6 +22,7 @@ Rule = tuple[str, str, bool]  # host, path, blocked
 DEPTH = 4
 REST = "**"
 ANY = "*"
+END = "//"
 # A node's children are one wildcard from this many on, if their entropy reaches this share
 # of the largest possible one.
 MANY = 12
@@ -81,24 +82,26 @@ def generalised(paths: DataFrame, level: int) -> DataFrame:
         F.count("*").alias("children"), F.sum(F.col("n") * F.log("n")).alias("nlogn"),
     )
     following = edges.groupBy(*node, "next").agg(F.sum("n").alias("pool_n"))
-    one = edges.select(*branch, F.col("next").alias("follow"), F.col("n").alias("edge_n"))
-    two = following.select(*node, F.col("next").alias("follow"), "pool_n")
+    # The end of a path is a continuation too, unlike any segment.
+    follow = F.coalesce("next", F.lit(END)).alias("follow")
+    one = edges.select(*branch, follow, F.col("n").alias("edge_n"))
+    two = following.select(*node, follow, "pool_n")
     shared = (
-        one.withColumn("follow", F.coalesce("follow", F.lit("")))
-        .join(two.withColumn("follow", F.coalesce("follow", F.lit(""))), [*node, "follow"])
+        one.join(two, [*node, "follow"])
         .join(branches.select(*branch, F.col("n").alias("branch_n")), branch)
         .join(nodes.select(*node, "all_n"), node)
         .groupBy(*branch)
         .agg(F.sum(F.least(F.col("edge_n") / F.col("branch_n"), F.col("pool_n") / F.col("all_n"))).alias("overlap"))
     )
     entropy = F.log("all_n") - F.col("nlogn") / F.col("all_n")
-    variable = (F.col("children") >= MANY) & (entropy >= SPREAD * F.log("children"))
+    # Rounded, so that the order of a sum decides nothing.
+    variable = (F.col("children") >= MANY) & (F.round(entropy - SPREAD * F.log("children"), 9) >= 0)
     others = F.col("all_labelled") - F.col("labelled")
     pooled = F.try_divide("all_blocked", "all_labelled")
     apart = F.try_divide("blocked", "labelled") - F.try_divide(F.col("all_blocked") - F.col("blocked"), others)
     error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1), "labelled") + F.try_divide(F.lit(1), others)))
-    differs = (F.col("labelled") > 0) & (others > 0) & (F.abs(apart) > Z * error)
-    merged = (F.col("children") > 1) & (F.col("overlap") >= ALIKE) & ~F.coalesce(differs, F.lit(False))
+    differs = (F.col("labelled") > 0) & (others > 0) & (F.round(F.abs(apart) - Z * error, 9) > 0)
+    merged = (F.col("children") > 1) & (F.round("overlap", 9) >= ALIKE) & ~F.coalesce(differs, F.lit(False))
     names = (
         branches.join(nodes, node).join(shared, branch)
         .select(*branch, F.when(variable | merged, F.lit(ANY)).otherwise(F.col("seg")).alias("name"))

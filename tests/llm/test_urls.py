@@ -1,10 +1,12 @@
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm.queries import QUERIES, URL_RULES
+from millrace.llm.url_sql import oracle
 from millrace.llm.url_templates import host_and_path, judge_urls
 
 SF = "/root/testdata/sf0.001"
@@ -81,6 +83,24 @@ def test_empty_table(pages):
     assert judge_urls(pages([]), URL_RULES).collect() == []
 
 
+@pytest.mark.parametrize("table", ["given", "odd"])
+def test_equals_sql(spark, pages, tmp_path, table):
+    if table == "given":
+        source = spark.read.parquet(f"{SF}/pages.parquet")
+    else:
+        rng = random.Random(4)
+        bits = ["a", "b", "en", "fr", "de", "7", "77.html", "deadbeef012345", "", "x" * 50]
+        urls = [f"http://{rng.choice(['s.com', 't.org', 'u.net'])}/" + "/".join(rng.choices(bits, k=rng.randrange(7))) for _ in range(1500)]
+        source = pages(urls + ODD)
+    source.select("page_id", "url").write.parquet(str(tmp_path / "pages"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages/*.parquet'")
+    names = "page_id, host, path, rule, verdict, template, purity"
+    want = db.execute(f"SELECT {names} FROM ({oracle(URL_RULES)})").fetchall()
+    got = judge_urls(source, URL_RULES).select(*names.split(", ")).collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len({r.template for r in got}) > 3
+
+
 def test_functions(spark):
     host, path = host_and_path(F.lit("HTTP://Ab.c/D?e"))
     assert tuple(spark.range(1).select(host, path).first()) == ("ab.c", "/D")
