@@ -216,8 +216,14 @@ class Pipeline:
             rows = rows.withColumn(self.series.target, F.when(~F.isnan(value), value))
         return rows.select("table_name", "ts_ns", *carried, *[f"`{n}`" for n in names])
 
-    def transform(self, messages: DataFrame, **columns: str) -> DataFrame:
-        """Messages to output rows under the pipeline's policy."""
+    def transform(self, messages: DataFrame, where: Column | None = None, **columns: str) -> DataFrame:
+        """Messages to output rows under the pipeline's policy.
+
+        ``where`` is a condition on envelopes. It applies before anything is decoded, so a
+        scan of stored messages reads only what it needs.
+        """
+        if where is not None:
+            messages = messages.filter(where)
         return self.rows(apply_policy(self.parse(messages, **columns), self.action).kept)
 
 

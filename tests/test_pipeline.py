@@ -413,3 +413,12 @@ def test_outcome_filter_does_not_repeat_the_decoding(messages):
     wave = Pipeline(spec([JSON, AT, TABLE, explode(target="v", ordinal="i")]))
     plan = wave.transform(messages(["{}"]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_envelope_conditions_reach_the_scan(spark, messages, tmp_path):
+    messages(['{"v": 1}', '{"v": 2}']).write.parquet(str(tmp_path / "in"))
+    stored = spark.read.parquet(str(tmp_path / "in"))
+    pipeline = Pipeline(spec([JSON, field("v", "i", "int64"), TABLE]))
+    rows = pipeline.transform(stored, where=F.col("sequence") == 1)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(sequence,1)" in plan and [r.sequence for r in rows.collect()] == [1]
