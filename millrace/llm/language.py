@@ -27,8 +27,10 @@ SLICE = 1 << 20
 SAMPLE = 4000
 CENTROIDS = 4
 ROUNDS = 8
-# A text is rejected below this share of the smallest cosine of training texts not longer.
+# A text is rejected below this share of the smallest cosine of training texts not longer,
+# and below this cosine in any case.
 REJECT = 0.5
+LEAST = 0.05
 NONE = "und"
 
 
@@ -181,7 +183,7 @@ def fitted(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int) -> Model
         floor[number] = np.minimum.accumulate(floor[number])
         floor[number][np.isinf(floor[number])] = 0.0
     return Model(languages, idf, np.concatenate(centroids) if centroids else np.zeros((0, WIDTH), np.float32),
-                 np.array(owner, int), floor * REJECT)
+                 np.array(owner, int), np.maximum(floor * REJECT, LEAST))
 
 
 def predict_languages(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
