@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     an id to itself and repeated links change nothing; no links give no rows.
     """
     edges = stored(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links"
+        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links", small=True
     )
     before = None
     while True:
@@ -32,6 +32,6 @@ def components(links: DataFrame) -> DataFrame:
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.greatest("v", "m").alias("u"), F.col("m").alias("v"))
         small = small.where("u <> v").unionByName(down.select("u", F.col("m").alias("v"))).distinct()
-        edges = stored(small, "links")
+        edges = stored(small, "links", small=True)
     ids = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return ids.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

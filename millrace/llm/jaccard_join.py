@@ -165,7 +165,7 @@ def counts_of(texts: DataFrame, text: str, words: int, frequent) -> DataFrame:
 
 def frequent_of(counts: DataFrame) -> np.ndarray:
     """The tokens counted more than RARE times, the most frequent ones if they are too many."""
-    often = stored(counts.where(F.col("n") > RARE), "frequent")
+    often = stored(counts.where(F.col("n") > RARE), "frequent", small=True)
     steps = often.groupBy(F.floor(F.log2("n") * 8).alias("step")).count().orderBy(F.desc("step")).collect()
     total, least = 0, None
     for step, count in steps:
@@ -320,16 +320,16 @@ def jaccard_components(
     stars = sized(stars, limit).groupBy("a", "b").agg(F.count("*").alias("lists"))
     stars = sketched(stars.select("a", "b", "lists"), info, limit).join(stars, ["a", "b"])
     best = stored(
-        stars.groupBy("b").agg(F.max(F.struct("lists", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"), "stars"
+        stars.groupBy("b").agg(F.max(F.struct("lists", "a")).alias("x")).select(F.col("x.a").alias("a"), "b"), "stars", small=True
     )
     links = linked(best, classes, texts, doc_id, text, words, limit)
-    parts = stored(components(links), "components")
+    parts = stored(components(links), "components", small=True)
 
     # Then what lists of several components still leave open.
     labelled = posts.join(parts.withColumnRenamed("id", "c"), "c", "left")
     labelled = labelled.select("sign", "c", "n", "rare", F.coalesce("component", "c").alias("k"))
     mixed = labelled.groupBy("sign").agg(F.min("k").alias("low"), F.max("k").alias("high")).where("low <> high")
-    open_posts = stored(labelled.join(mixed.select("sign"), "sign"), "open")
+    open_posts = stored(labelled.join(mixed.select("sign"), "sign"), "open", small=True)
     left, right = ("a", "na", "ra", "ka"), ("b", "nb", "rb", "kb")
     one = open_posts.select("sign", *[F.col(x).alias(y) for x, y in zip(("c", "n", "rare", "k"), left)])
     two = open_posts.select("sign", *[F.col(x).alias(y) for x, y in zip(("c", "n", "rare", "k"), right)])
@@ -339,7 +339,7 @@ def jaccard_components(
     enough = apart >= (F.col("na") + F.col("nb")) * limit.numerator
     pairs = sized(pairs, limit).where((F.col("sign").bitwiseAND(1) == 1) | enough).select("a", "b").distinct()
     tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(sketched(pairs.join(tried, ["a", "b"], "left_anti"), info, limit), "rest")
+    rest = stored(sketched(pairs.join(tried, ["a", "b"], "left_anti"), info, limit), "rest", small=True)
     more = linked(rest, classes, texts, doc_id, text, words, limit)
     parts = components(links.unionByName(more))
 
@@ -356,6 +356,6 @@ def jaccard_components(
 def linked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, doc_id: str, text: str, words: int, limit) -> DataFrame:
     """The verified ones of candidate pairs of classes."""
     ends = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
-    wanted = stored(classes.select("c", "id").join(ends, "c"), "wanted")
+    wanted = stored(classes.select("c", "id").join(ends, "c"), "wanted", small=True)
     sets = stored(class_sets(texts, wanted, doc_id, text, words), "sets")
-    return stored(verified(pairs, sets, limit), "verified")
+    return stored(verified(pairs, sets, limit), "verified", small=True)

@@ -46,22 +46,18 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, *cluster: str) -> DataFrame:
+def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
     """The rows, written to the shared folder and read back: later work starts from files
-    that outlive any executor."""
+    that outlive any executor.
+
+    ``small`` marks results that are much smaller than what they are made of. They are
+    dealt anew by size first, so that many tasks do not each write a tiny file.
+    """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if small else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def forget(df: DataFrame) -> None:
-    """Delete the files of a stored table that nothing reads any more."""
-    context = df.sparkSession.sparkContext
-    for name in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = context._jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def by_text(
     df: DataFrame, schema: str, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *columns: Column
 ) -> DataFrame:
