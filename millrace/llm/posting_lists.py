@@ -139,8 +139,9 @@ def matrix(blobs: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1) if blobs else np.zeros((0, 0))
 
 
-def entries(df: DataFrame, vec_id: str, vector: str, keep: int) -> DataFrame:
-    """Distinct usable vectors ``(v binary, ids)``: doubles, and their ``keep`` smallest ids."""
+def entries(df: DataFrame, vec_id: str, vector: str, keep: int) -> tuple[DataFrame, DataFrame]:
+    """Distinct usable vectors ``(v binary, ids)``, as doubles with their ``keep`` smallest
+    ids, and all usable rows ``(id, v)``."""
     parts = F.col(vector).cast("array<double>")
     usable = F.size(parts) > 0
     usable &= ~F.exists(parts, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -197,6 +198,8 @@ def neighbours(
     shared, size = spark.sparkContext.broadcast(model[0]), model[1]
     asked = rows.where(F.length("v") == size).select(F.col("id").alias(vec_id), "v").where(queries)
     asked = asked.select(F.col(vec_id).alias("query_id"), "v").distinct()
+    # One search for each distinct vector, named by its smallest query.
+    searches = stored(asked.groupBy("v").agg(F.min("query_id").alias("search")), "searches")
 
     def placed(pick):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,8 +216,8 @@ def neighbours(
         placed(lists_of), "v binary, ids array<bigint>, lists array<int>"
     )
     postings = stored(indexed.select("v", "ids", F.explode("lists").alias("list")), "postings")
-    wanted = asked.select("v").distinct().mapInArrow(placed(lists_for), "v binary, lists array<int>")
-    wanted = stored(wanted.select("v", F.explode("lists").alias("list")), "wanted")
+    wanted = searches.select("v", "search").mapInArrow(placed(lists_for), "v binary, search bigint, lists array<int>")
+    wanted = stored(wanted.select("v", "search", F.explode("lists").alias("list")), "wanted")
     # Blocks of a list and of its queries: one task holds one block of each. One number
     # for each list, of which there are at most ``settings.lists``.
     blocks = [
@@ -230,18 +233,18 @@ def neighbours(
         "list", (dealt % F.col("pb")).alias("p"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("q"), "v", "ids"
     )
     right = wanted.join(F.broadcast(table), "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("pb") - 1)).alias("p"), (dealt % F.col("qb")).alias("q"), "v"
+        "list", F.explode(F.sequence(F.lit(0), F.col("pb") - 1)).alias("p"), (dealt % F.col("qb")).alias("q"), "v", "search"
     )
     keys = ["list", "p", "q"]
     scored = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
-        lambda a, b: scanned(a, b, k + 1), "v binary, id bigint, score double"
+        lambda a, b: scanned(a, b, k + 1), "search bigint, id bigint, score double"
     )
     best = scored.distinct()
-    place = Window.partitionBy("v").orderBy(F.desc("score"), "id")
+    place = Window.partitionBy("search").orderBy(F.desc("score"), "id")
     best = best.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k + 1)
-    found = stored(best.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("place", "id", "score"))).alias("best")), "best")
+    found = stored(best.groupBy("search").agg(F.sort_array(F.collect_list(F.struct("place", "id", "score"))).alias("best")), "best")
     others = F.filter("best", lambda x: x["id"] != F.col("query_id"))
-    answers = asked.join(found, "v").select("query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "x"))
+    answers = asked.join(searches, "v").join(found, "search").select("query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "x"))
     return answers.select(
         "query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score")
     )
@@ -255,20 +258,20 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def scanned(postings: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
     """The ``k`` best ids of a block for each query."""
-    out: list[tuple[bytes, int, float]] = []
+    out: list[tuple[int, int, float]] = []
     if len(postings) and len(queries):
         points, ids = matrix(postings["v"].tolist()), postings["ids"].tolist()
         normal = unit(points)
         for start in range(0, len(queries), 512):
-            blobs = queries["v"].tolist()[start : start + 512]
-            asked = matrix(blobs)
+            part = queries.iloc[start : start + 512]
+            asked = matrix(part["v"].tolist())
             rough = unit(asked) @ normal.T
-            for i, blob in enumerate(blobs):
+            for i, search in enumerate(part["search"].tolist()):
                 row = rough[i]
                 near = np.arange(len(row))
                 if len(row) > k:
                     near = np.nonzero(row >= np.partition(row, -k)[-k] - 1e-5)[0]
                 exact = cosines(points[near], np.broadcast_to(asked[i], (len(near), asked.shape[1])))
                 ranked = sorted((-s, int(x)) for s, j in zip(exact.tolist(), near) for x in ids[j])[:k]
-                out += [(blob, x, -s) for s, x in ranked]
-    return pd.DataFrame(out, columns=["v", "id", "score"])
+                out += [(search, x, -s) for s, x in ranked]
+    return pd.DataFrame(out, columns=["search", "id", "score"])
