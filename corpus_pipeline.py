@@ -23,10 +23,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id. A row that repeats
+    """One document of each group of linked ones: that with the smallest id. Documents are
+    linked from a Jaccard similarity of 0.8 of their five-word shingles on. A row that repeats
     another's id and text goes; documents without an id stay."""
     docs = docs.select(*COLUMNS)
-    found = jaccard_join.jaccard_components(docs, words=3, threshold="0.9")
+    found = jaccard_join.jaccard_components(docs, words=5, threshold="0.8")
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     # The join has dealt the rows by id already, so the window shuffles nothing.
     copy = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
