@@ -1,7 +1,7 @@
 """Secret scans: fixed rules, and character Markov models for what the rules miss.
 
 Two bigram models over the characters of credentials are trained from the table itself:
-one on the values that the rules found, one on all other text. A run of such characters
+one on the values that the rules found, one on all other text. A stretch of such characters
 is a secret if its log-likelihood ratio per character is high enough. Training counts
 bigrams of every document, so only two small tables of counts reach the driver.
 """
@@ -28,8 +28,13 @@ ASSIGN_HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 LEAST_VALUE = 12
-# Runs the models judge.
+# Runs the models judge, the least length of a secret, and what separates parts of a run.
 RUNS = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SHORTEST = 20
+SEPARATORS = "/_=-"
+# A secret has digits and letters or is one word; a number, date or the like is none.
+MIXED = re.compile(r"(?=.*[0-9]).*[A-Za-z]").match
+LETTERS = re.compile(rf"(?<![A-Za-z0-9+])[A-Za-z]{{{SHORTEST},}}(?![A-Za-z0-9+])")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 # Place 0 stands for every other character.
 PLACES = np.zeros(256, np.int64)
@@ -70,18 +75,52 @@ class Model:
     least: float = 3.0
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
-        """Further runs that look random and lie outside the base spans."""
-        found = []
+        """Further stretches that look random and lie outside the base spans."""
+        found, ends = [], sorted((start, end) for start, _, end in base)
         for m in RUNS.finditer(text):
-            run = m[0]
-            if run.isalpha() or run.isdigit() or not any(map(str.isdigit, run)) or not any(map(str.isalpha, run)):
+            at = m.start()
+            for start, end in [*ends, (m.end(), m.end())]:
+                if end > at and start < m.end() or start == m.end():
+                    found += [(at + a, 3, at + b) for a, b in self.stretches(text[at : min(start, m.end())])]
+                    at = max(at, end)
+        return found
+
+    def stretches(self, part: str) -> list[tuple[int, int]]:
+        """Where a part of a run is random: all of it, or else its best stretches of at
+        least ``SHORTEST`` characters, each widened to the separators around it."""
+        if len(part) < SHORTEST:
+            return []
+        at = PLACES[np.frombuffer(part.encode(), np.uint8)]
+        sums = np.r_[0.0, np.cumsum(self.ratio[at[:-1] * SIZE + at[1:]] - self.least)]
+        if sums[-1] >= 0 and (part.isalpha() or MIXED(part)):
+            return [(0, len(part))]
+        found, rest = [], [(0, len(part))]
+        while rest:
+            low, high = rest.pop()
+            if high - low < SHORTEST:
                 continue
-            if any(start < m.end() and m.start() < end for start, _, end in base):
+            # ``sums[b - 1] - sums[a]`` is the score of characters a to b.
+            own = sums[low:high]
+            least = np.minimum.accumulate(own[: len(own) - SHORTEST + 1])
+            gain = own[SHORTEST - 1 :] - least
+            last = int(np.argmax(gain))
+            if gain[last] < 0:
                 continue
-            at = PLACES[np.frombuffer(run.encode(), np.uint8)]
-            if self.ratio[at[:-1] * SIZE + at[1:]].mean() >= self.least:
-                found.append((m.start(), 3, m.end()))
-        return found
+            start, end = low + int(np.argmin(own[: last + 1])), low + last + SHORTEST
+            while start > low and part[start - 1] not in SEPARATORS:
+                start -= 1
+            while end < high and part[end] not in SEPARATORS:
+                end += 1
+            if MIXED(part[start:end]):
+                found.append((start, end))
+            else:
+                # Joined words may be new to the model; letters alone count if nothing joins them.
+                for piece in LETTERS.finditer(part, start, end):
+                    a, b = piece.span()
+                    if sums[b - 1] >= sums[a]:
+                        found.append((a, b))
+            rest += [(low, start), (end, high)]
+        return sorted(found)
 
 
 def train(df: DataFrame, text: str = "text") -> Model:
