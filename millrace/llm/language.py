@@ -27,8 +27,10 @@ SLICE = 1 << 20
 SAMPLE = 4000
 CENTROIDS = 4
 ROUNDS = 8
-# A text is rejected below this share of the smallest cosine of training texts not longer,
-# and below this cosine in any case.
+# A text is rejected below REJECT of the cosine that all but LOW of the training texts of its
+# length class reach, and below LEAST in any case. Centroids of less than LOW of a language's
+# texts do not count for this.
+LOW = 0.05
 REJECT = 0.5
 LEAST = 0.05
 NONE = "und"
@@ -72,14 +74,15 @@ def length_class(counts: np.ndarray) -> int:
 
 @dataclass(frozen=True)
 class Model:
-    """Languages, inverse document frequencies, centroids with their languages, and the
-    least cosine by language and length class."""
+    """Languages, inverse document frequencies, centroids with their languages and whether
+    they stand for more than a few texts, and the least cosine by language and length class."""
 
     languages: list[str]
     idf: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray
     floor: np.ndarray
+    common: np.ndarray
 
     def vector(self, counts: np.ndarray) -> np.ndarray:
         return weighed(counts, self.idf)
@@ -94,7 +97,9 @@ class Model:
         best = int(np.argmax(cosines))
         score = float(min(max(cosines[best], 0.0), 1.0))
         own = self.owner[best]
-        return self.languages[own], score, score < self.floor[own, length_class(counts)]
+        # Being near to a few odd training texts is not enough.
+        near = cosines[self.common & (self.owner == own)].max()
+        return self.languages[own], score, bool(near < self.floor[own, length_class(counts)])
 
 
 def weighed(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -127,7 +132,8 @@ def train(df: DataFrame, usable: Column, doc_id: str, text: str, lang: str, seed
     ids = rows.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h"))
     languages = ids.select("lang").distinct().count()
     if not languages:
-        return Model([], np.ones(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), np.zeros(0, int), np.zeros((0, 64)))
+        return Model([], np.ones(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), np.zeros(0, int), np.zeros((0, 64)),
+                     np.zeros(0, bool))
     share = max(20, min(1000, SAMPLE // languages))
     order = Window.partitionBy("lang").orderBy("h", "id")
     ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
@@ -159,13 +165,31 @@ def train(df: DataFrame, usable: Column, doc_id: str, text: str, lang: str, seed
     return fitted([(r.lang, np.frombuffer(r.places, np.uint16), np.frombuffer(r["counts"], np.uint32)) for r in sample], seed)
 
 
+def low_cosines(classes: np.ndarray, cosines: np.ndarray) -> np.ndarray:
+    """The LOW quantile of each length class's own cosines, as a function that does not fall
+    with the length: classes that would fall are averaged by their texts. A class without
+    texts is like the next shorter one; shorter than any known: no limit."""
+    known, sizes = np.unique(classes, return_counts=True)
+    levels: list[tuple[float, int, int]] = []
+    for k, n in zip(known.tolist(), sizes.tolist()):
+        level, first = float(np.quantile(cosines[classes == k], LOW)), k
+        while levels and levels[-1][0] > level:
+            before, count, first = levels.pop()
+            level, n = (before * count + level * n) / (count + n), count + n
+        levels.append((level, n, first))
+    floor = np.zeros(64)
+    for level, _, first in levels:
+        floor[first:] = level
+    return floor
+
+
 def fitted(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int) -> Model:
     languages = sorted({language for language, _, _ in sample})
     seen = np.zeros(WIDTH)
     for _, at, _ in sample:
         seen[at] += 1
     idf = (np.log((1 + len(sample)) / (1 + seen)) + 1).astype(np.float32)
-    centroids, owner, floor = [], [], np.full((len(languages), 64), np.inf)
+    centroids, owner, common, floor = [], [], [], np.zeros((len(languages), 64))
     for number, language in enumerate(languages):
         vectors, classes = [], []
         for name, at, values in sample:
@@ -177,13 +201,13 @@ def fitted(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int) -> Model
         own = clustered(np.array(vectors), seed)
         centroids.append(own)
         owner += [number] * len(own)
-        best = (np.array(vectors) @ own.T).max(axis=1)
-        np.minimum.at(floor[number], classes, best)
-        # Longer texts are at least as close as shorter ones; shorter than any known: no limit.
-        floor[number] = np.minimum.accumulate(floor[number])
-        floor[number][np.isinf(floor[number])] = 0.0
+        cosines = np.array(vectors) @ own.T
+        many = np.bincount(cosines.argmax(axis=1), minlength=len(own)) >= LOW * len(vectors)
+        common += many.tolist()
+        best = cosines[:, many].max(axis=1)
+        floor[number] = low_cosines(np.array(classes), best)
     return Model(languages, idf, np.concatenate(centroids) if centroids else np.zeros((0, WIDTH), np.float32),
-                 np.array(owner, int), np.maximum(floor * REJECT, LEAST))
+                 np.array(owner, int), np.maximum(floor * REJECT, LEAST), np.array(common, bool))
 
 
 def predict_languages(df: DataFrame, model: Model, text: str = "text") -> DataFrame:

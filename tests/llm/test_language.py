@@ -1,5 +1,10 @@
+import random
+import string
 import zlib
 
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import language
@@ -30,6 +35,35 @@ def test_rows(documents):
     assert got[None].lang_pred == "bb" and got[900].rejected and not got[903].rejected and got[905].rejected
 
 
+def counted(rows):
+    """Training rows as ``fitted`` takes them."""
+    counts = [(lang, language.gram_counts(text)) for lang, text in rows]
+    return [(lang, np.nonzero(c)[0], c[np.nonzero(c)[0]]) for lang, c in counts]
+
+
+@pytest.mark.parametrize("unlearned", ["de", "es", "fr"])
+def test_long_texts_of_an_unlearned_language_and_junk_are_rejected(unlearned):
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    rows = [(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2, r["lang"], r["text"]) for r in rows if language.has_letter(r["text"])]
+    model = language.fitted(counted([(g, t) for held, g, t in rows if not held and g != unlearned]), 1)
+    unknown = [t for _, g, t in rows if g == unlearned and len(t) > 500]
+    known = [t for held, g, t in rows if held and g != unlearned]
+    rng = random.Random(1)
+    junk = ["".join(rng.choice(letters) for _ in range(n)) for letters in (string.ascii_lowercase + "  ", string.ascii_letters + "0+/")
+            for n in (300, 1000, 5000)]
+    assert all(model.predict(t)[2] for t in junk)
+    assert sum(model.predict(t)[2] for t in unknown) >= 0.9 * len(unknown) > 20
+    assert sum(model.predict(t)[2] for t in known) <= 0.01 * len(known)
+
+
+def test_least_cosines_follow_each_length_class():
+    # One odd short text lowers its own class alone; an odd long one is averaged away.
+    classes = np.array([3] + [8] * 50 + [12] * 50 + [15])
+    floor = language.low_cosines(classes, np.array([0.1] + [0.6] * 50 + [0.9] * 50 + [0.2]))
+    assert floor[2] == 0 and floor[3] == floor[7] == 0.1 and floor[8] == 0.6 and floor[12] == floor[63] > 0.88
+    assert (np.diff(floor) >= 0).all()
+
+
 def test_sample_is_bounded_and_split_by_language(documents, monkeypatch):
     monkeypatch.setattr(language, "SAMPLE", 40)
     rows = [(i, "kala maka", "aa", None) for i in range(900)] + [(i, "zyxo wyzo", "bb", None) for i in range(900, 905)]
