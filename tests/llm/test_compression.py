@@ -58,6 +58,26 @@ def test_verdicts(documents):
     assert judge_texts(documents(rows)).count() == len(rows)
 
 
+def test_tails_short_texts_and_many_strays_are_judged(documents):
+    rng = random.Random(5)
+    noise = lambda n: base64.b64encode(rng.randbytes(n)).decode()[:n]
+    clean = lambda n: prose(rng, n)[:n]
+    wide = " ".join(noise(12) for _ in range(2000))
+    rows = [(1, clean(6000)), (2, clean(4096) + wide[:4000]), (3, wide[:4096] + clean(3 * 4096) + wide[:4095]), (4, clean(1500)),
+            (5, clean(1400) + wide[:1400]), (6, clean(150)), (7, "buy now " * 19), (8, "x1 " * 45),
+            (9, clean(90 * 4096) + wide[: 3 * 4096] + clean(90 * 4096)), (10, clean(90 * 4096) + wide[:4096] + clean(90 * 4096))]
+    bands = Bands()
+    press = zstandard.ZstdCompressor(level=bands.level).compress
+    kept = {}
+    for i, text in rows:
+        data = text.encode()
+        kept[i] = bands.keeps(len(data), len(data) / len(press(data)), *bands.outside(data, press))
+    assert kept == {1: True, 2: False, 3: False, 4: True, 5: False, 6: True, 7: False, 8: False, 9: False, 10: True}
+    got = {r.doc_id: r for r in judge_texts(documents(rows)).collect()}
+    assert all(got[i].kept == (kept[i] and not got[i].base_failed) for i, _ in rows)
+    assert got[1].kept and got[4].kept and not got[3].base_failed and got[3].chunks == 4
+
+
 def test_limits_are_inclusive():
     bands = Bands()
     assert bands.keeps(500, 3.2, 0, 0) and not bands.keeps(500, 3.21, 0, 0)
