@@ -203,6 +203,8 @@ def fitted(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int) -> Model
         owner += [number] * len(own)
         cosines = np.array(vectors) @ own.T
         many = np.bincount(cosines.argmax(axis=1), minlength=len(own)) >= LOW * len(vectors)
+        # Of few texts in all, one is no oddity.
+        many |= len(vectors) < 100
         common += many.tolist()
         best = cosines[:, many].max(axis=1)
         floor[number] = low_cosines(np.array(classes), best)
