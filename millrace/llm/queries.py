@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_sql, url_templates
+from . import compression, jaccard_join, language, merkle, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_sql, url_templates
+from .shared import ascii_lower
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +144,17 @@ FROM ordered
 @query
 def op10_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return posting_lists.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op13_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = table(spark, sf_dir, "documents").select(*fields).withColumn("tampered", ascii_lower(F.col("text")))
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(hit, merkle.leaf_of(*fields[:-1], "tampered")).otherwise(merkle.leaf_of(*fields))
+    made = merkle.merkle_manifest(documents, fields, carry={"shown": shown})
+    made = made.withColumn("folded_root", merkle.folded(merkle.hex_of("shown"), "witness"))
+    return made.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_of("witness").alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
