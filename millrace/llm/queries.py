@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, merkle, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_sql, url_templates
+from . import compression, jaccard_join, language, merkle, merkle_sql, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_sql, url_templates
 from .shared import ascii_lower
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,3 +158,6 @@ def op13_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.proof_of("witness").alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+ORACLES["op13_merkle_witnesses"] = merkle_sql.ORACLE
