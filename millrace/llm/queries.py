@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, merkle, merkle_sql, mixing, posting_lists, secret_scan, training_order, trie_bpe, unigram_counts, url_sql, url_templates
+from . import compression, jaccard_join, language, merkle, merkle_sql, mixing, posting_lists, secret_scan, threshold_search, training_order, trie_bpe, unigram_counts, url_sql, url_templates
 from .shared import ascii_lower
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -161,3 +161,20 @@ def op13_merkle_witnesses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_merkle_witnesses"] = merkle_sql.ORACLE
+
+
+@query
+def op12_threshold_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return threshold_search.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op12_threshold_search"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings WHERE embedding IS NOT NULL
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.x, c.x)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""

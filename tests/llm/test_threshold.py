@@ -1,0 +1,109 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millrace.llm.threshold_search import LONG, SortedLists, exact, top_products
+
+SHAPE = "vec_id bigint, embedding array<double>, size string, pb int, score string, rank int"
+
+
+def floors(vector, scale=1024):
+    return [int(np.floor(scale * float(x))) for x in vector]
+
+
+def brute(rows, asked, k=10):
+    """Best product between two ids over all their vectors of one length, in whole numbers."""
+    usable = [(i, floors(v)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for query in sorted({i for i, _ in usable if asked(i)}):
+        best = {}
+        for i, x in usable:
+            for j, y in usable:
+                if i == query and j != query and len(x) == len(y):
+                    score = min(max(sum(a * b for a, b in zip(x, y)), LONG[0]), LONG[1])
+                    best[j] = max(best.get(j, score), score)
+        ranked = sorted((-s, j) for j, s in best.items())[:k]
+        out += [(query, place, j, -s) for place, (s, j) in enumerate(ranked, 1)]
+    return out
+
+
+def check(spark, rows, k=10, every=5):
+    df = spark.createDataFrame([(i, v, "x", 1, "y", 2) for i, v in rows], SHAPE)
+    found = top_products(df, F.col("vec_id") % every == 0, k)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, lambda i: i % every == 0, k)
+
+
+@pytest.mark.parametrize("kind", ["even", "skewed", "ties", "sparse"])
+def test_search_equals_brute_force(kind):
+    rng = np.random.default_rng(5)
+    values = rng.normal(0, 300, (700, 12))
+    values *= {"skewed": 10.0 ** -np.arange(12), "sparse": rng.random((700, 12)) < 0.2}.get(kind, 1)
+    values = np.floor(values if kind != "ties" else np.sign(values))
+    ids = rng.permutation(700) - 50
+    lists = SortedLists(values, ids)
+    for query, own in zip(values[:60], ids):
+        scores, found, depth = lists.search(query, own, 7)
+        full = values @ query
+        want = sorted((-s, i) for s, i in zip(full.tolist(), ids.tolist()) if i != own)[:7]
+        assert list(zip((-scores).tolist(), found.tolist())) == want
+        again = lists.search(query, own, 7, floor=-want[-1][0])
+        assert again[1].tolist() == found.tolist() and again[2] <= depth
+
+
+def test_search_stops_early():
+    """A few dimensions that decide: only the tops of their lists are read."""
+    rng = np.random.default_rng(6)
+    values = np.floor(rng.normal(0, 1000, (4000, 8)) * 4.0 ** -np.arange(8))
+    lists = SortedLists(values, np.arange(4000))
+    depths = [lists.search(q, i, 10)[2] for i, q in enumerate(values[:200])]
+    assert np.mean(depths) < 1200
+
+
+def test_bound_at_the_kth_score_goes_on():
+    """An unseen vector may equal the k-th score and have a smaller id."""
+    values = np.zeros((100, 2))
+    values[:, 0] = 5
+    ids = np.arange(100)[::-1].copy()
+    scores, found, _ = SortedLists(values, ids).search(np.array([1.0, 0.0]), -1, 3)
+    assert found.tolist() == [0, 1, 2] and scores.tolist() == [5, 5, 5]
+
+
+def test_exact_types():
+    small, large, huge = np.full((1, 4), 1e3), np.full((1, 4), 1e8), np.full((1, 4), 1e300)
+    assert exact(small, small)[0].dtype == np.float64
+    assert exact(large, large)[0].dtype == np.int64
+    assert exact(huge, small)[0].dtype == object
+
+
+def test_given_vectors(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
+    check(spark, [(r.vec_id, [float(x) for x in r.embedding]) for r in table], every=10)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.5]), (5, [0.0, 0.0]), (1, [1.0, nan]), (2, [inf, 1.0]), (3, None), (4, [None, 1.0]), (None, [1.0, 1.0])]
+    rows += [(6, [1.0]), (10, [2.0]), (15, []), (16, []), (17, [-0.0001, 0.0]), (20, [1e300, 1.0]), (21, [1e17, -1e17])]
+    rows += [(30, [0.3, 0.3]), (30, [-0.3, 0.9]), (31, [0.2, 0.1]), (31, [0.2, 0.1]), (31, [0.9, 0.9]), (0, [1.0, 0.5])]
+    check(spark, rows)
+
+
+def test_one_vector_shared_by_many(spark):
+    check(spark, [(i, [0.5, 0.5]) for i in range(60)] + [(0, [0.25 * i, 1.0]) for i in range(40)], k=3, every=20)
+
+
+def test_several_blocks(spark):
+    rng = np.random.default_rng(7)
+    values = rng.normal(0, 0.2, (9000, 6)).round(3)
+    df = spark.createDataFrame([(i, v, "x", 1, "y", 2) for i, v in enumerate(values.tolist())], SHAPE)
+    found = [tuple(r) for r in top_products(df, F.col("vec_id") % 900 == 0, 4).collect()]
+    whole = np.floor(values * 1024)
+    for query in range(0, 9000, 900):
+        scores = whole @ whole[query]
+        want = sorted((-s, i) for i, s in enumerate(scores.tolist()) if i != query)[:4]
+        assert sorted(x[1:] for x in found if x[0] == query) == [(p, i, -s) for p, (s, i) in enumerate(want, 1)]
+
+
+def test_empty_table(spark):
+    assert top_products(spark.createDataFrame([], SHAPE), F.col("vec_id") % 100 == 0).collect() == []
