@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, jaccard_join, language, merkle, merkle_sql, mixing, posting_lists, secret_scan, threshold_search, training_order, trie_bpe, unigram_counts, url_sql, url_templates
+from . import compression, jaccard_join, language, merkle, merkle_sql, mixing, posting_lists, secret_scan, spelling, spelling_sql, threshold_search, training_order, trie_bpe, unigram_counts, url_sql, url_templates
 from .shared import ascii_lower
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,11 @@ WITH whole AS (
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 10
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_spelling_variants"] = spelling_sql.ORACLE
