@@ -1379,6 +1379,176 @@ def ingest_stream_fail(spark, sf_dir):
     return good.unionByName(bad).groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("sequence").alias("ids"))
 
 
+def hourly_pipeline() -> Pipeline:
+    """The latest value of a user in an hour."""
+    return Pipeline({
+        "output": columns(user="int64", value="double"),
+        "transformations": [
+            step("parse_json"),
+            field("user_id", "user", "int64"),
+            field("value", "value", "float64"),
+            step("extract_table", value="hour"),
+            step("extract_index", source="hour"),
+        ],
+    })
+
+
+def hourly_messages(spark, sf_dir):
+    hour = F.date_format(F.date_trunc("hour", m.utc("ts")), m.ISO).alias("hour")
+    return m.event_messages(spark, sf_dir, F.to_json(F.struct(hour, "user_id", "value")))
+
+
+def upsert_sink(spark, sf_dir) -> str:
+    """Three batches that update each other, in no order of sequence."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "sink")
+    hourly_messages(spark, sf_dir).repartition(3, F.xxhash64("sequence")).write.parquet(inbox)
+    messages = envelopes.read_messages(spark, inbox, streaming=True, files_per_trigger=1)
+    checkpoint = os.path.join(folder, "checkpoint")
+    ingest.ingest_stream(hourly_pipeline(), messages, sink, checkpoint, dedup_mode="upsert", upsert_keys=("user",)).awaitTermination()
+    return sink
+
+
+UPSERT_SQL = """SELECT 'hour' AS table_name, epoch_us(date_trunc('hour', ts)) * 1000 AS ts_ns, user_id AS "user",
+    max(event_id) AS sequence, arg_max(value, event_id) AS value FROM events GROUP BY 2, 3"""
+
+
+@query("ingest_stream_upsert", UPSERT_SQL)
+def ingest_stream_upsert(spark, sf_dir):
+    """The rows of a sink as its batches have left them, merged when read."""
+    return ingest.read_latest(spark, upsert_sink(spark, sf_dir), ["user"])
+
+
+@query("compacted_upsert", UPSERT_SQL)
+def compacted_upsert(spark, sf_dir):
+    """The same rows after compaction, as they are stored."""
+    sink = upsert_sink(spark, sf_dir)
+    sinks.compact_tables(spark, sink, ["user"])
+    return ingest.read_tables(spark, sink).drop("batch")
+
+
+def failing_sink(spark, sf_dir) -> str:
+    """Even events arrive while the sink is down, then odd ones, then what was sent back."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "sink")
+    calls = []
+
+    def write(rows, path):
+        calls.append(path)
+        if len(calls) == 1:
+            raise OSError("the sink is down")
+        return ingest.write_tables(rows, path)
+
+    def run():
+        messages = envelopes.read_messages(spark, inbox, streaming=True)
+        checkpoint = os.path.join(folder, "checkpoint")
+        ingest.ingest_stream(flawed_pipeline("fail"), messages, sink, checkpoint, write_rows=write).awaitTermination()
+
+    events = m.flawed_event_messages(spark, sf_dir)
+    for part in (0, 1):
+        events.filter(F.col("sequence") % 2 == part).write.mode("append").parquet(inbox)
+        run()
+    envelopes.read_messages(spark, os.path.join(sink, "quarantine", "batch=0")).write.mode("append").parquet(inbox)
+    run()
+    return sink
+
+
+@query(
+    "failed_batch_counters",
+    FLAWED + """, b AS (
+          SELECT 0 AS batch, outcome, event_id FROM o WHERE event_id % 2 = 0 UNION ALL
+          SELECT 1, outcome, event_id FROM o WHERE event_id % 2 = 1 UNION ALL
+          SELECT 2, outcome, event_id FROM o WHERE event_id % 2 = 0)
+        SELECT CAST(batch AS VARCHAR) AS batch, count(*) AS fetched, count(*) FILTER (WHERE outcome = 'ok') AS processed,
+          count(*) FILTER (WHERE outcome <> 'ok') AS parse_failures,
+          CASE batch WHEN 0 THEN 0 ELSE count(*) FILTER (WHERE outcome = 'ok') END AS rows_written,
+          CASE batch WHEN 0 THEN 0 ELSE count(*) FILTER (WHERE outcome = 'ok') END AS acks,
+          CASE batch WHEN 0 THEN count(*) ELSE count(*) FILTER (WHERE outcome <> 'ok') END AS nacks,
+          CAST(batch = 0 AS BIGINT) AS write_failures FROM b GROUP BY batch""",
+)
+def failed_batch_counters(spark, sf_dir):
+    """Counters after the write: a batch that could not be written is sent back as a whole."""
+    return ingest.read_commits(spark, failing_sink(spark, sf_dir)).drop("stages", "dropped", "zero_rows")
+
+
+@query(
+    "failed_batch_rows",
+    FLAWED + """ SELECT 'table' AS side, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM o WHERE outcome = 'ok'
+        UNION ALL SELECT 'quarantine ' || batch, count(*), CAST(sum(event_id) AS BIGINT) FROM (
+          SELECT 0 AS batch, event_id FROM o WHERE event_id % 2 = 0 UNION ALL
+          SELECT 1 + n, event_id FROM o, range(2) AS t(n) WHERE outcome <> 'ok' AND event_id % 2 = 1 - n) GROUP BY batch""",
+)
+def failed_batch_rows(spark, sf_dir):
+    """Every good message ends in a table once, though its batch failed before."""
+    sink = failing_sink(spark, sf_dir)
+    good = ingest.read_tables(spark, sink).select(F.lit("table").alias("side"), "sequence")
+    back = spark.read.schema("sequence bigint, batch string").parquet(os.path.join(sink, "quarantine"))
+    both = good.unionByName(back.select(F.concat(F.lit("quarantine "), "batch").alias("side"), "sequence"))
+    return both.groupBy("side").agg(F.count(F.lit(1)).alias("n"), F.sum("sequence").alias("ids"))
+
+
+@query(
+    "stream_stage_counts",
+    FLAWED + """ SELECT unnest(['parse', 'write', 'quarantine', 'commit']) AS stage,
+          unnest([count(*), count(*) FILTER (WHERE outcome = 'ok'), count(*) FILTER (WHERE outcome <> 'ok'),
+            count(*) FILTER (WHERE outcome = 'ok')]) AS n FROM o""",
+)
+def stream_stage_counts(spark, sf_dir):
+    """What the observers of every stage have counted, over three batches."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "sink")
+    m.flawed_event_messages(spark, sf_dir).repartition(3, F.xxhash64("sequence")).write.parquet(inbox)
+    messages = envelopes.read_messages(spark, inbox, streaming=True, files_per_trigger=1)
+    ingest.ingest_stream(flawed_pipeline("fail"), messages, sink, os.path.join(folder, "checkpoint")).awaitTermination()
+    return ingest.read_stages(spark, sink).groupBy("stage").agg(F.sum("count").alias("n"))
+
+
+@query(
+    "ingest_stream_unsequenced",
+    """SELECT 'events.' || event_type AS table_name, count(*) AS rows, count(DISTINCT event_id) AS events, round(sum(value), 2) AS total
+       FROM events GROUP BY 1""",
+)
+def ingest_stream_unsequenced(spark, sf_dir):
+    """Messages without a sequence, all at one time, in two batches and then all again."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "sink")
+    body = F.to_json(F.struct(F.lit("2024-05-01T00:00:00Z").alias("ts"), "event_id", "event_type", "value"))
+    events = m.event_messages(spark, sf_dir, body)
+    pipeline = Pipeline({
+        "output": columns(event="int64", value="double"),
+        "transformations": [
+            step("parse_json"), field("event_id", "event", "int64"), field("value", "value", "float64"),
+            field("event_type", "kind", "string"), compute("concat", "table", fields=['"events."', "kind"]),
+            step("extract_table", source="table"), step("extract_index", source="ts"),
+        ],
+    })
+    nameless = events.withColumn("sequence", F.lit(None).cast("bigint"))
+    for part in (nameless.filter("crc32(payload) % 2 = 0"), nameless.filter("crc32(payload) % 2 = 1"), nameless):
+        part.write.mode("append").parquet(inbox)
+        messages = envelopes.read_messages(spark, inbox, streaming=True)
+        ingest.ingest_stream(pipeline, messages, sink, os.path.join(folder, "checkpoint")).awaitTermination()
+    return ingest.read_tables(spark, sink).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("event").alias("events"), F.round(F.sum("value"), 2).alias("total")
+    )
+
+
+@query(
+    "routed_added_columns",
+    """SELECT 'events.' || event_type AS table_name, event_id AS sequence, value,
+         CASE WHEN event_id % 3 > 0 THEN user_id END AS user_id, CASE WHEN event_id % 3 > 1 THEN event_type END AS kind FROM events""",
+)
+def routed_added_columns(spark, sf_dir):
+    """Three writes to one sink, each with a column more."""
+    folder = m.work_folder(spark)
+    events = m.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("events."), "event_type").alias("table_name"), F.col("event_id").alias("sequence"), "value",
+        "user_id", F.col("event_type").alias("kind"),
+    )
+    for part, gone in ((0, ["user_id", "kind"]), (1, ["kind"]), (2, [])):
+        sinks.write_routed(events.filter(F.col("sequence") % 3 == part).drop(*gone), folder)
+    return sinks.read_routed(spark, folder)
+
+
 @query(
     "dedup_stream",
     "SELECT 'events.' || event_type AS table_name, count(*) AS rows FROM events GROUP BY 1",
