@@ -9,9 +9,13 @@ a set x of size n may lack at most ``(1-t) n`` of its fingerprints in any partne
 * partners that share no rare fingerprint agree on the frequent ones but for the few that
   are missing on either side. A run of k neighbouring frequent fingerprints is broken by a
   missing one of x in k places and by an extra one of y in k-1 places; with r rare
-  fingerprints spent already, the first ``floor((1-t) k n) - k r + 1`` runs of x cannot all
-  be broken. So the prefix is extended to that many runs, and each run is indexed as one
-  combination of k fingerprints. A set with too many rare fingerprints needs no run at all.
+  fingerprints spent already, the first ``floor(k ((1-t) n - r)) + 1`` runs of x cannot all
+  be broken if ``t >= (k-1)/k``. So the prefix is extended to that many runs, and each run
+  is indexed as one combination of k fingerprints. A set with too many rare fingerprints
+  needs no run at all. ``run_length`` chooses k by t;
+* sets so small that they have no such number of runs could all be broken. They index their
+  first ``floor((1-t) n) - r + 1`` frequent fingerprints singly as well, which finds each
+  other, and all their runs, which finds larger partners.
 
 Candidates are cut by size, then by a parity sketch whose differing bits never exceed the
 differing fingerprints, and verified on the whole sets.
@@ -24,6 +28,7 @@ different components.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 from hashlib import blake2b
@@ -43,30 +48,32 @@ RARE = 16
 FREQUENT_LIMIT = 1 << 20
 # Share of a document's fingerprints, the smallest ones, whose frequencies are counted.
 COUNTED = 0.25
-# Frequent fingerprints in a combination.
+# Frequent fingerprints in a combination, at most.
 RUN = 3
 # Bits of the filter that finds the texts of candidates; eight of them are a byte.
 FILTER_BITS = 1 << 25
-# Word hashes remembered in a task.
-REMEMBERED = 200_000
+# Bytes of the word hashes remembered in a task, and what an entry takes besides its word.
+REMEMBERED, ENTRY = 24 << 20, 140
 
 
 class Shingler:
     """Fingerprints of a text's distinct shingles, sorted."""
 
     def __init__(self, words: int):
-        self.words, self.known = words, {}
+        self.words, self.known, self.size = words, {}, 0
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().translate(ASCII_LOWER).split()
         if not words:
             return np.empty(0, np.int64)
         known = self.known
-        if len(known) > REMEMBERED:
+        if self.size > REMEMBERED:
             known.clear()
+            self.size = 0
         for word in words:
             if word not in known:
                 known[word] = xxhash.xxh3_64_intdigest(word)
+                self.size += len(word) + ENTRY
         hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         size = min(self.words, len(words))
         mixed = np.full(len(words) - size + 1, size, np.uint64)
@@ -100,21 +107,30 @@ def sketch_distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def run_length(threshold: Fraction) -> int:
+    """The longest combination, up to RUN, of which fewer break than large sets have."""
+    return RUN if threshold == 1 else max(1, min(RUN, math.ceil(1 / (1 - threshold)) - 1))
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: Fraction) -> tuple[int, np.ndarray]:
     """Number of rare fingerprints, and what the set is indexed by."""
-    n = len(tokens)
+    n, k = len(tokens), run_length(threshold)
     missing = int((1 - threshold) * n)
     common = among(tokens, frequent)
     rare, common = tokens[~common], tokens[common]
-    singles = rare[: missing + 1] | np.int64(1)
-    if len(rare) > missing or len(common) < RUN:
-        return len(rare), singles
-    runs = min(int((1 - threshold) * RUN * n) - RUN * len(rare) + 1, len(common) - RUN + 1)
-    mixed = np.zeros(runs, np.uint64)
-    for i in range(RUN):
-        mixed = (mixed ^ common[i : i + runs].view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed ^= mixed >> np.uint64(31)
-    return len(rare), np.concatenate([singles, mixed.view(np.int64) & np.int64(-2)])
+    parts = [rare[: missing + 1] | np.int64(1)]
+    if len(rare) <= missing:
+        runs = min(int(k * (1 - threshold) * n) - k * len(rare), len(common) - k) + 1
+        if k > 1 and runs > 0:
+            mixed = np.zeros(runs, np.uint64)
+            for i in range(k):
+                mixed = (mixed ^ common[i : i + runs].view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+                mixed ^= mixed >> np.uint64(31)
+            parts.append(mixed.view(np.int64) & np.int64(-2))
+        # Whether all runs could be broken, by the size alone, so that both partners know.
+        if k == 1 or n - k < int(k * (1 - threshold) * n):
+            parts.append(common[: missing - len(rare) + 1] | np.int64(1))
+    return len(rare), np.concatenate(parts)
 
 
 def head(tokens: np.ndarray) -> int:
@@ -298,9 +314,13 @@ def jaccard_components(
     a shingle is one shingle; one without words (or null) has none and is linked with
     nothing. ``component_id`` is the smallest reachable ``doc_id``. Rows with a null
     ``doc_id`` link with nothing and have a null component. Rows that repeat a ``doc_id``
-    each keep their row. An empty table gives no rows; other columns are ignored.
+    each keep their row. An empty table gives no rows; other columns are ignored. The
+    threshold is above 0 and at most 1; the lower it is, the more are indexed singly, and
+    below a half all are.
     """
     spark, limit = df.sparkSession, Fraction(str(threshold))
+    if not 0 < limit <= 1:
+        raise ValueError(f"a threshold is above 0 and at most 1, not {threshold}")
     texts = df.select(doc_id, text)
     frequent = spark.sparkContext.broadcast(frequent_tokens(texts, text, words))
     docs = stored(described(texts, doc_id, text, words, limit, frequent), "shingled")

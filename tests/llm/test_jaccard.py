@@ -12,20 +12,21 @@ from millrace.llm.jaccard_join import Shingler, jaccard_components, signatures,
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    return set(zip(words, words[1:], words[2:])) if len(words) > 2 else ({tuple(words)} if words else set())
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def brute(rows):
+def brute(rows, words=3, threshold="0.9"):
     """Component of every row by comparing all pairs."""
-    sets = [shingle_set(t) for _, t in rows]
+    limit = Fraction(threshold)
+    sets = [shingle_set(t, words) for _, t in rows]
     group = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
             if sets[i] and sets[j] and None not in (rows[i][0], rows[j][0]):
-                if 100 * both >= 90 * (len(sets[i]) + len(sets[j]) - both):
+                if both * limit.denominator >= limit.numerator * (len(sets[i]) + len(sets[j]) - both):
                     old, new = group[i], group[j]
                     group = [new if g == old else g for g in group]
     least = {}
@@ -74,21 +75,52 @@ def test_components_equal_brute_force(documents, monkeypatch, seed, rare, counte
     assert got == brute(rows)
 
 
-def test_similar_sets_share_a_signature():
-    rng = random.Random(9)
-    for _ in range(600):
-        n = rng.choice([9, 10, 11, 19, 30, 57, 200])
-        base = rng.sample(range(10**6), n)
-        drop, add = rng.randrange(0, n // 9 + 1), rng.randrange(0, n // 9 + 1)
-        other = rng.sample(base, n - drop) + rng.sample(range(10**6, 2 * 10**6), add)
-        both = len(set(base) & set(other))
-        if 10 * both < 9 * (len(base) + len(other) - both) or base == other:
-            continue
-        frequent = np.array(sorted(x for x in {*base, *other} if rng.random() < rng.choice([0.0, 0.5, 0.93, 1.0])), np.int64)
-        x, y = (np.unique(np.array(s, np.int64)) for s in (base, other))
-        (_, a), (_, b) = (signatures(s, frequent, Fraction(9, 10)) for s in (x, y))
-        assert set(a.tolist()) & set(b.tolist()), (n, drop, add)
-        assert sketch_distance(sketch_of(x), sketch_of(y)) <= len(set(base) ^ set(other))
+@pytest.mark.parametrize("threshold", ["0.3", "0.5", "0.6", "0.7", "0.75", "0.8", "0.85", "0.9", "0.95", "1"])
+def test_similar_sets_share_a_signature(threshold):
+    """All sizes from 1 on; no, some or all fingerprints frequent, extra ones anywhere."""
+    rng, limit, tried = random.Random(9), Fraction(threshold), 0
+    for n in [*range(1, 61), 120, 200]:
+        for share in (0.0, 0.5, 0.93, 1.0, 1.0):
+            for _ in range(20):
+                base = rng.sample(range(10**6), n)
+                most = int((1 - limit) * n)
+                drop = rng.randint(0, min(most, n - 1))
+                add = rng.randint(0, most + 1)
+                other = rng.sample(base, n - drop) + rng.sample(range(10**6), add)
+                x, y = (np.unique(np.array(s, np.int64)) for s in (base, other))
+                both, union = len(np.intersect1d(x, y)), len(np.union1d(x, y))
+                if both < limit * union or both == union:
+                    continue
+                tried += 1
+                frequent = np.array([t for t in np.union1d(x, y).tolist() if rng.random() < share], np.int64)
+                (_, a), (_, b) = (signatures(s, frequent, limit) for s in (x, y))
+                assert set(a.tolist()) & set(b.tolist()), (n, drop, add)
+                assert sketch_distance(sketch_of(x), sketch_of(y)) <= union - both
+    assert tried > 500 or threshold in ("0.95", "1")
+
+
+def test_small_frequent_sets_keep_their_links(documents):
+    """Groups of copies of eight and of nine words: sets of four and five, all frequent."""
+    rows = []
+    for g in range(12):
+        words = [f"g{g}w{i}" for i in range(9)]
+        rows += [(100 * g + i, " ".join(words[:8])) for i in range(20)] + [(100 * g + 20 + i, " ".join(words)) for i in range(20)]
+    got = sorted((tuple(r) for r in jaccard_components(documents(rows), words=5, threshold="0.8").collect()), key=str)
+    assert got == brute(rows, 5, "0.8") and len({c for _, _, c in got}) == 12
+
+
+@pytest.mark.parametrize("words,threshold", [(5, "0.8"), (2, "0.6"), (1, "0.5")])
+def test_other_measures_equal_brute_force(documents, monkeypatch, words, threshold):
+    monkeypatch.setattr(jaccard_join, "RARE", 2)
+    rows = [r for r in corpus(6) if not r[1] or len(r[1]) < 2000][:160]
+    got = sorted((tuple(r) for r in jaccard_components(documents(rows), words=words, threshold=threshold).collect()), key=str)
+    assert got == brute(rows, words, threshold)
+
+
+def test_thresholds_out_of_range(documents):
+    for wrong in ("0", "1.1", "-0.5"):
+        with pytest.raises(ValueError):
+            jaccard_components(documents([]), threshold=wrong)
 
 
 def test_long_text(documents):

@@ -1,8 +1,10 @@
 import inspect
+from hashlib import sha256
 
 import pytest
 
 from corpus_pipeline import COLUMNS, STAGES, run
+from millrace.llm.queries import ORACLES
 
 from .test_bpe import PATH, Tokenizer
 from .test_jaccard import brute
@@ -23,7 +25,7 @@ def test_stages(spark):
 def test_one_document_of_each_group_stays(spark, documents, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     rows += [(1000, rows[0][1]), (rows[1][0], rows[1][1]), (None, rows[2][1]), (1001, None), (1002, "")]
-    want = sorted({d for d, _, c in brute(rows) if d == c and d is not None})
+    want = sorted({d for d, _, c in brute(rows, 5, "0.8") if d == c and d is not None})
     out = STAGES[1][1](spark, documents(rows), SF)
     got = [r.doc_id for r in out.collect()]
     assert out.columns == COLUMNS and sorted(d for d in got if d is not None) == want and got.count(None) == 1
@@ -70,11 +72,23 @@ def test_empty_table(spark, documents, tmp_path):
     assert now.count() == 0
 
 
-def test_run(spark, docs):
-    out = run(spark, SF).collect()
-    texts = {r.doc_id: r.text for r in docs.collect()}
+def test_run(spark, docs, tmp_path):
+    """Every row of run(): stage by stage, with brute force, SQL and the library in the place
+    of the near copies, the mix and the encoding."""
+    import duckdb
+
+    known = STAGES[0][1](spark, docs, SF)
+    rows = [(r.doc_id, r.text) for r in known.collect()]
+    kept = [d for d, _, c in brute(rows, 5, "0.8") if d == c]
+    clean = STAGES[2][1](spark, known.where(known.doc_id.isin(kept)), SF)
+    clean.write.parquet(str(tmp_path / "clean"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/clean/*.parquet'")
+    taken = {d: n // size for d, size, _, _, n in db.execute(ORACLES["op7_mixing"]).fetchall() if size}
+    texts = {r.doc_id: r.text for r in clean.collect()}
     library = Tokenizer.from_file(PATH)
-    assert out and len({r.doc_id for r in out}) <= len(texts)
-    for row in out:
-        if "token" not in texts[row.doc_id] and not any(c.isdigit() for c in texts[row.doc_id]):
-            assert row.n_tokens == len(library.encode(texts[row.doc_id], add_special_tokens=False).ids)
+    want = []
+    for doc, times in taken.items():
+        ids = library.encode(texts[doc], add_special_tokens=False).ids
+        want += [(doc, len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest())] * times
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256) for r in run(spark, SF).collect()) == sorted(want) and want
