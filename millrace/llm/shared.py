@@ -61,9 +61,17 @@ def stored(df: DataFrame, name: str, small: bool = False) -> DataFrame:
 def by_text(
     df: DataFrame, schema: str, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *columns: Column
 ) -> DataFrame:
-    """Run an Arrow function over the given columns of a table."""
+    """Run an Arrow function over the given columns of a table. Workers serve many tasks, so
+    each gives back at its end what it no longer uses."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+
     bound_batches(df.sparkSession)
-    return df.select(*columns).mapInArrow(rows, schema)
+    return df.select(*columns).mapInArrow(run, schema)
 
 
 def ascii_lower(column: Column) -> Column:

@@ -12,7 +12,9 @@ merged symbol ranks after its parts:
   share its states.
 
 Distinct words go into a trie; one depth-first walk carries the last-token states down the
-path and reads off every word's tokens. The state of a shared prefix is computed once.
+path and reads off every word's tokens. The state of a shared prefix is computed once. The
+trie needs no nodes: words in order are its leaves in depth-first order, and the walk goes
+back to where a word leaves the one before it.
 """
 
 from __future__ import annotations
@@ -29,8 +31,13 @@ from tokenizers import Tokenizer
 
 from .shared import by_text
 
-# Words remembered in a task. Beyond it the memory starts anew, which costs time only.
-REMEMBERED = 300_000
+# Bytes of the words remembered in a task, and what an entry takes besides its texts. Beyond
+# it the memory starts anew; words of the memory before that are still looked up.
+REMEMBERED, ENTRY = 40 << 20, 350
+# Remembered steps and pairs of tokens.
+STEPS = 150_000
+# Characters of texts that are learnt together; a longer text is alone.
+LEARNT = 4 << 20
 
 # The printable stand-ins of byte-level vocabularies. Printable Latin-1
 # bytes stand for themselves, the other bytes for code points from 256 on.
@@ -69,14 +76,16 @@ class TrieEncoder:
         bare = {t.removesuffix(suffix) for t in self.tokens}
         self.begins = {t[:i] for t in bare for i in range(1, len(t) + 1)}
         self._steps: dict[str, str] = {}
-        self._inner: dict[str, list[str]] = {}
+        self._inner: dict[str, list[tuple[str, int]]] = {}
         self._edges: dict[tuple[str, bool], list[tuple[str, float]]] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
 
     def forget(self) -> None:
-        self._pairs.clear()
-        self._steps.clear()
-        self._inner.clear()
+        """Start the memory of steps and pairs anew if it has grown."""
+        if len(self._pairs) + len(self._steps) > STEPS:
+            self._pairs.clear()
+            self._steps.clear()
+            self._inner.clear()
 
     def edge(self, token: str, right: bool) -> list[tuple[str, float]]:
         """The symbols that stand at one end of a token while it is being merged, each with
@@ -124,46 +133,39 @@ class TrieEncoder:
             while known and known not in self.begins:
                 known = known[1:]
             self._steps[key] = known
-            self._inner[known] = [t for i in range(len(known)) if (t := known[i:]) in self.inner]
+            self._inner[known] = [(t, len(t)) for i in range(len(known)) if (t := known[i:]) in self.inner]
         return known
 
     def encode(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Every word (in byte characters, not empty) with its tokens."""
-        root: dict = {}
-        for word in words:
-            node = root
-            for char in word:
-                child = node.get(char)
-                if child is None:
-                    child = node[char] = {}
-                node = child
-            node[""] = word
-        states: list[str] = []
-        stack = [(0, "", iter(root.items()))]
+        before, states, path = "", [], [""]
         steps, inner, pairs = self._steps, self._inner, self._pairs
-        while stack:
-            depth, state, children = stack[-1]
-            for char, child in children:
-                del states[depth:]
-                if not char:
-                    yield child, self.read(child, state, states)
-                    continue
+        for word in sorted(words):
+            shared = 0
+            for a, b in zip(word, before):
+                if a != b:
+                    break
+                shared += 1
+            del states[shared:], path[shared + 1 :]
+            state = path[-1]
+            for depth in range(shared, len(word)):
+                char = word[depth]
                 longer = steps.get(state + char)
                 if longer is None:
                     longer = self.follow(state, char)
                 # The last token of this prefix: the one compatible with the state before it.
-                for token in inner[longer]:
-                    start = depth - len(token)
+                for token, size in inner[longer]:
+                    start = depth - size
                     if start < 0:
                         break
                     fits = pairs.get((states[start], token))
                     if fits or fits is None and self.compatible(states[start], token):
                         break
                 states.append(token)
-                stack.append((depth + 1, longer, iter(child.items())))
-                break
-            else:
-                stack.pop()
+                path.append(longer)
+                state = longer
+            yield word, self.read(word, state, states)
+            before = word
 
     def ending(self, word: str, state: str, states: list[str]) -> str:
         """The last token of a whole word, which carries the suffix."""
@@ -201,9 +203,12 @@ class TextCoder:
         self.pieces = re.compile(PIECES).findall
         library = Tokenizer.from_str(json.dumps(spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": []}))
         self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
-        self.names = {i: t for t, i in (self.vocab | self.special).items()}
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, str] = {}
+        self.decimals = {t: str(i) for t, i in self.vocab.items()}
+        self.names = {str(i): t for t, i in (self.vocab | self.special).items()}
+        # Ids of a word as decimals, and the text they decode to.
+        self.known: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
+        self.size = 0
 
     def words(self, chunk: str) -> list[str]:
         """Byte-character words of a chunk. Latin letters are composed already and cut here;
@@ -225,41 +230,54 @@ class TextCoder:
 
     def learn(self, texts: list[str]) -> None:
         """Encode the words of these texts that are not known yet, all in one trie."""
-        ids = self.ids
-        if len(ids) > REMEMBERED:
-            ids.clear()
+        if self.size > REMEMBERED:
+            self.known, self.older, self.size = {}, self.known, 0
             self.encoder.forget()
-        new = {c for text in texts for part in self.parts(text)[::2] for c in self.chunks(part) if c not in ids}
-        cut = {chunk: self.words(chunk) for chunk in new}
-        known = {
-            word: " ".join([str(self.vocab[t]) for t in tokens])
+        known, older, decimals = self.known, self.older, self.decimals
+        missing = {c for text in texts for part in self.parts(text)[::2] for c in self.chunks(part) if c not in known}
+        cut = {}
+        for chunk in missing:
+            entry = older.get(chunk)
+            if entry is None:
+                cut[chunk] = self.words(chunk)
+            else:
+                known[chunk] = entry
+        coded = {
+            word: " ".join([decimals[t] for t in tokens])
             for word, tokens in self.encoder.encode({w for words in cut.values() for w in words})
         }
         for chunk, words in cut.items():
-            ids[chunk] = known[words[0]] if len(words) == 1 else " ".join(map(known.__getitem__, words))
-        if len(self.decoded) > REMEMBERED:
-            self.decoded.clear()
+            ids = coded[words[0]] if len(words) == 1 else " ".join(map(coded.__getitem__, words))
+            known[chunk] = ids, self.decode(ids)
+        self.size += sum(ENTRY + 6 * len(chunk) for chunk in missing)
 
-    def encode(self, text: str) -> list[str]:
-        """The ids of each word of a text that was learnt, as decimals joined by spaces."""
+    def encode(self, text: str) -> list[tuple[str, str]]:
+        """For each word of a text that was learnt its ids, as decimals joined by spaces, and
+        what they decode to."""
         found = []
         for i, part in enumerate(self.parts(text)):
             if i % 2:
-                found.append(str(self.special[part]))
+                found.append((str(self.special[part]), part))
             else:
-                found.extend(map(self.ids.__getitem__, self.chunks(part)))
+                found.extend(map(self.known.__getitem__, self.chunks(part)))
         return found
 
     def decode(self, ids: str) -> str:
         """Token strings joined by spaces: the vocabulary names no decoder."""
-        return " ".join([self.names[int(i)] for i in ids.split(" ")])
-
-    def decode_words(self, words: list[str]) -> str:
-        """The same for the ids of many words, each distinct one decoded once."""
-        decoded = self.decoded
-        for ids in {w for w in words if w not in decoded}:
-            decoded[ids] = self.decode(ids)
-        return " ".join(map(decoded.__getitem__, words))
+        return " ".join(map(self.names.__getitem__, ids.split(" ")))
+
+    def coded(self, texts: list[str]) -> Iterator[tuple[str, str]]:
+        """Ids and decoded text of whole texts."""
+        group, size = [], 0
+        for i, text in enumerate(texts):
+            group.append(text)
+            size += len(text)
+            if size > LEARNT or i == len(texts) - 1:
+                self.learn(group)
+                for one in group:
+                    words = self.encode(one)
+                    yield " ".join([ids for ids, _ in words]), " ".join([decoded for _, decoded in words])
+                group, size = [], 0
 
 
 def encode_texts(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -275,11 +293,7 @@ def encode_texts(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "
         coder = TextCoder(path)
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            coder.learn(texts)
-            for text in texts:
-                words = coder.encode(text)
-                ids, decoded = " ".join(words), coder.decode_words(words)
+            for ids, decoded in coder.coded([text or "" for text in batch.column(1).to_pylist()]):
                 out[0].append(ids.count(" ") + 1 if ids else 0)
                 out[1].append(sha256(ids.encode()).hexdigest())
                 out[2].append(sha256(decoded.encode()).hexdigest())

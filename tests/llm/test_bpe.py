@@ -4,6 +4,7 @@ from hashlib import sha256
 import pytest
 from tokenizers import Tokenizer
 
+from millrace.llm import trie_bpe
 from millrace.llm.queries import vocabulary
 from millrace.llm.trie_bpe import TextCoder, encode_texts
 
@@ -25,12 +26,24 @@ def test_equals_the_library(library):
     alphabets = ["abcdefghij klm", "aaab", "éèüßñ aBC", "'sdtrevml ab", "0123abc!?., #$", "日本語abc😀́ \t\n", "İΣσ \x85\x1c"]
     texts = ODD + ["".join(rng.choice(a) for _ in range(rng.randint(1, 80))) for a in alphabets for _ in range(150)]
     coder = TextCoder(PATH)
-    coder.learn(texts)
-    for text in texts:
+    for text, (ids, decoded) in zip(texts, coder.coded(texts), strict=True):
         want = library.encode(text, add_special_tokens=False).ids
-        words = coder.encode(text)
-        assert " ".join(words) == " ".join(map(str, want)), text
-        assert coder.decode_words(words) == library.decode(want, skip_special_tokens=False)
+        assert ids == " ".join(map(str, want)), text
+        assert decoded == library.decode(want, skip_special_tokens=False)
+
+
+def test_memory_is_bounded(library, monkeypatch):
+    """Words are forgotten and learnt again, in small groups, with the same ids."""
+    monkeypatch.setattr(trie_bpe, "REMEMBERED", 20_000)
+    monkeypatch.setattr(trie_bpe, "STEPS", 100)
+    monkeypatch.setattr(trie_bpe, "LEARNT", 500)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abdenrst") for _ in range(rng.randint(1, 9))) for _ in range(40)) for _ in range(120)]
+    texts[50] = "ab" * 5000
+    coder = TextCoder(PATH)
+    for text, (ids, _) in zip(texts, coder.coded(texts)):
+        assert ids == " ".join(map(str, library.encode(text, add_special_tokens=False).ids))
+        assert len(coder.known) < 1000
 
 
 def test_rows(library, documents):
