@@ -18,7 +18,7 @@ from millrace.plans.pipeline import Pipeline, check_only, register_step, registe
 from millrace.schema import sentinel_fill
 from millrace.session import configure
 from millrace.sources import detect, envelopes, lines
-from millrace.streaming import ingest, rolling, sinks
+from millrace.streaming import ingest, live, rolling, sinks
 
 from . import messages as m
 
@@ -1288,6 +1288,59 @@ def window_report(spark, sf_dir):
     return rolling.window_report(window).withColumn("place", F.col("place").cast("bigint"))
 
 
+LIVE = """WITH o AS (SELECT event_id % 4 AS batch, event_type AS name, event_id, count(*) OVER () AS c FROM events),
+    b AS (SELECT batch, name, count(*) AS rows, row_number() OVER (PARTITION BY batch ORDER BY min(event_id), name) AS r FROM o GROUP BY 1, 2),
+    f AS (SELECT batch, CASE WHEN r <= 3 THEN name ELSE 'other' END AS name, sum(rows) AS rows FROM b GROUP BY 1, 2),
+    w AS (SELECT t.n AS batch, name AS table_name, sum(rows) AS rows FROM range(4) AS t(n) JOIN f ON f.batch BETWEEN t.n - 2 AND t.n GROUP BY 1, 2)"""
+
+
+@query(
+    "live_window_reports",
+    LIVE + """, p AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY rows DESC, table_name) AS place,
+          sum(rows) OVER (PARTITION BY batch) AS total, count(*) FILTER (WHERE table_name <> 'other') OVER (PARTITION BY batch) AS tables FROM w)
+        SELECT batch, 100 + 2 * batch AS window_bucket, place::INTEGER AS place, table_name, rows::BIGINT AS rows, rows::BIGINT AS msgs,
+          rows / total * 100 AS share_pct, tables AS tables_distinct, total::BIGINT AS total_rows FROM p WHERE place <= 2""",
+)
+def live_window_reports(spark, sf_dir):
+    """Four batches two minutes apart by the clock; a bucket keeps the three names that came first."""
+    folder = m.work_folder(spark)
+    inbox, sink, checkpoint = (os.path.join(folder, x) for x in ("inbox", "sink", "checkpoint"))
+    one = F.lit(1).cast("bigint")
+    tallies = m.table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("table_name"), one.alias("rows"), one.alias("msgs"), F.col("event_id").alias("sequence")
+    )
+    for part in range(4):
+        tallies.filter(F.col("sequence") % 4 == part).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(tallies.schema).parquet(inbox)
+        clock = lambda part=part: 60.0 * (100 + 2 * part) + 30
+        live.stream_window_reports(stream, sink, checkpoint, clock, n=2, max_distinct=3).awaitTermination()
+    return live.read_reports(spark, sink)
+
+
+HISTOGRAM_SQL = """WITH o AS (SELECT event_id % 3 AS batch, greatest(1800000000.0 - epoch_us(ts) / 1e6, 0) AS lag FROM events),
+    n AS (SELECT batch, count(*) AS size FROM o GROUP BY 1)
+    SELECT t.n AS snapshot_id, 'lag' AS kind, le, count(*) FILTER (WHERE lag <= le) AS cumulative
+    FROM range(3) AS t(n), (SELECT unnest(list_transform(range(20), lambda i: 0.001 * 2 ** i) || ['inf'::DOUBLE]) AS le), o
+    WHERE batch <= t.n GROUP BY ALL
+    UNION ALL SELECT t.n, 'batch_size', le, count(*) FILTER (WHERE size <= le)
+    FROM range(3) AS t(n), (SELECT unnest(list_transform(range(12), lambda i: 2.0 ** i) || ['inf'::DOUBLE]) AS le), n
+    WHERE batch <= t.n GROUP BY ALL"""
+
+
+@query("stream_histograms", HISTOGRAM_SQL)
+def stream_histograms(spark, sf_dir):
+    """Lag and batch size after each of three batches."""
+    folder = m.work_folder(spark)
+    inbox, sink, checkpoint = (os.path.join(folder, x) for x in ("inbox", "sink", "checkpoint"))
+    messages = m.event_messages(spark, sf_dir)
+    for part in range(3):
+        messages.filter(F.col("sequence") % 3 == part).write.mode("append").parquet(inbox)
+        stream = envelopes.read_messages(spark, inbox, streaming=True)
+        live.stream_histograms(stream, sink, checkpoint, lambda: 1_800_000_000.0).awaitTermination()
+    kinds = [live.read_histograms(spark, sink, k).withColumn("kind", F.lit(k)).drop("total") for k in ("lag", "batch_size")]
+    return kinds[0].unionByName(kinds[1])
+
+
 # Comparison
 
 
