@@ -56,6 +56,17 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+def merged(spans: list[Span]) -> list[tuple[int, int]]:
+    """What the spans cover, as stretches that do not touch, in order."""
+    found: list[tuple[int, int]] = []
+    for start, _, end in sorted(spans):
+        if found and start <= found[-1][1]:
+            found[-1] = found[-1][0], max(end, found[-1][1])
+        else:
+            found.append((start, end))
+    return found
+
+
 def value_of(text: str, span: Span) -> str:
     start, kind, end = span
     return ASSIGN.match(text, start, end)[2] if kind == 0 else text[start:end]
@@ -75,14 +86,20 @@ class Model:
     least: float = 3.0
 
     def spans(self, text: str, base: list[Span]) -> list[Span]:
-        """Further stretches that look random and lie outside the base spans."""
-        found, ends = [], sorted((start, end) for start, _, end in base)
+        """Further stretches that look random and lie outside the base spans. Runs and base
+        spans are walked together, once."""
+        found, covered, first = [], merged(base), 0
         for m in RUNS.finditer(text):
             at = m.start()
-            for start, end in [*ends, (m.end(), m.end())]:
-                if end > at and start < m.end() or start == m.end():
-                    found += [(at + a, 3, at + b) for a, b in self.stretches(text[at : min(start, m.end())])]
-                    at = max(at, end)
+            while first < len(covered) and covered[first][1] <= at:
+                first += 1
+            for place in range(first, len(covered)):
+                start, end = covered[place]
+                if start >= m.end():
+                    break
+                found += [(at + a, 3, at + b) for a, b in self.stretches(text[at:start])]
+                at, first = end, place
+            found += [(at + a, 3, at + b) for a, b in self.stretches(text[at : m.end()])]
         return found
 
     def stretches(self, part: str) -> list[tuple[int, int]]:
@@ -125,7 +142,9 @@ class Model:
 
 def train(df: DataFrame, text: str = "text") -> Model:
     """Both models from all texts. The random one is half uniform, so that secrets of other
-    alphabets than the labelled ones are likely too; without labelled values it is all uniform."""
+    alphabets than the labelled ones are likely too; without labelled values it is all uniform.
+    Null texts count nothing, repeated rows each count, and an empty table gives two uniform
+    models, by which nothing is a secret."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random, ordinary = np.zeros(SIZE * SIZE, np.int64), np.zeros(SIZE * SIZE, np.int64)
@@ -163,7 +182,9 @@ def scan_texts(df: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
     Returns ``doc_id, n_assign, n_access, n_hex, base_sha256, spans``. Positions are code
     points, ends exclusive. A null text is empty and has no spans. Repeated rows each get
-    their row, an empty table gives none, other columns are ignored.
+    their row, an empty table gives none, other columns are ignored. Beyond the rules, a
+    secret of fewer than SHORTEST characters is not found, nor one whose mean log-likelihood
+    ratio per character is below the model's ``least``.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +219,8 @@ def redacted(text: str, spans: list[Span], mark: str) -> str:
 
 
 def redact_texts(df: DataFrame, model: Model, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """The table with every secret in its texts replaced. Null texts stay null."""
+    """The table with every secret in its texts replaced. Null texts stay null, repeated
+    rows are each replaced, an empty table stays empty."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
