@@ -45,7 +45,7 @@ def targets(sizes: Sequence[int], weights: Sequence[int], repeats: int) -> list[
 
 
 class Flow:
-    """Min-cost flow by cheapest augmenting paths with potentials."""
+    """Min-cost flow: for each cost of a path, from the lowest on, as much as fits at once."""
 
     def __init__(self) -> None:
         self.ids: dict[Hashable, int] = {}
@@ -70,31 +70,71 @@ class Flow:
         return at
 
     def solve(self, start: Hashable, end: Hashable) -> None:
-        source, sink, n = self.node(start), self.node(end), len(self.out)
-        height = [0] * n
+        source, sink = self.node(start), self.node(end)
+        height = [0] * len(self.out)
         while True:
-            far, via = [float("inf")] * n, [-1] * n
-            far[source], queue = 0, [(0, source)]
-            while queue:
-                d, v = heapq.heappop(queue)
-                if d > far[v]:
-                    continue
-                for a in self.out[v]:
-                    step = d + self.cost[a] + height[v] - height[self.to[a]]
-                    if self.room[a] and step < far[self.to[a]]:
-                        far[self.to[a]], via[self.to[a]] = step, a
-                        heapq.heappush(queue, (step, self.to[a]))
-            if via[sink] < 0:
+            far = self.distances(source, height)
+            if far[sink] == float("inf"):
                 return
-            height = [h + (f if f < float("inf") else 0) for h, f in zip(height, far)]
-            path, v = [], sink
-            while v != source:
-                path.append(via[v])
-                v = self.to[via[v] ^ 1]
-            amount = min(self.room[a] for a in path)
-            for a in path:
-                self.room[a] -= amount
-                self.room[a ^ 1] += amount
+            # Arcs that lie on a cheapest path now cost nothing between the heights.
+            height = [h + min(f, far[sink]) for h, f in zip(height, far)]
+            while self.push(source, sink, height):
+                pass
+
+    def distances(self, source: int, height: list[int]) -> list[float]:
+        far: list[float] = [float("inf")] * len(self.out)
+        far[source], queue = 0, [(0, source)]
+        while queue:
+            d, v = heapq.heappop(queue)
+            if d > far[v]:
+                continue
+            for a in self.out[v]:
+                step = d + self.cost[a] + height[v] - height[self.to[a]]
+                if self.room[a] and step < far[self.to[a]]:
+                    far[self.to[a]] = step
+                    heapq.heappush(queue, (step, self.to[a]))
+        return far
+
+    def push(self, source: int, sink: int, height: list[int]) -> bool:
+        """A blocking flow over the shortest of the cheapest paths; whether there was any."""
+        level = [-1] * len(self.out)
+        level[source], front = 0, [source]
+        while front and level[sink] < 0:
+            reached = []
+            for v in front:
+                for a in self.out[v]:
+                    w = self.to[a]
+                    if level[w] < 0 and self.room[a] and self.cost[a] + height[v] == height[w]:
+                        level[w] = level[v] + 1
+                        reached.append(w)
+            front = reached
+        if level[sink] < 0:
+            return False
+        at, path, v = [0] * len(self.out), [], source
+        while True:
+            if v == sink:
+                amount = min(self.room[a] for a in path)
+                for a in path:
+                    self.room[a] -= amount
+                    self.room[a ^ 1] += amount
+                full = next(n for n, a in enumerate(path) if not self.room[a])
+                v = self.to[path[full] ^ 1]
+                del path[full:]
+                continue
+            while at[v] < len(self.out[v]):
+                a = self.out[v][at[v]]
+                w = self.to[a]
+                if self.room[a] and level[w] == level[v] + 1 and self.cost[a] + height[v] == height[w]:
+                    break
+                at[v] += 1
+            if at[v] < len(self.out[v]):
+                path.append(self.out[v][at[v]])
+                v = self.to[path[-1]]
+            elif path:
+                v = self.to[path.pop() ^ 1]
+                at[v] += 1
+            else:
+                return True
 
 
 def routed(patterns: dict[tuple, int], quotas: dict[Hashable, int]) -> dict[tuple, int]:
@@ -125,25 +165,28 @@ def mix(
     null is a source too. Weights repeat over the sources in order of code point, null
     last. Returns the input's columns and ``size, source_size, target, taken, times``: for
     a document of several sources ``source_size`` and ``target`` are their sums. A null
-    text has size 0 and is taken 0 times. Equal rows that the seeded order cannot tell
-    apart may swap their counts. Columns of those names are replaced. An empty table gives
-    no rows.
+    text has size 0 and is taken 0 times. Rows of one id (or without one) and one size tie in
+    the seeded order; where a quota ends among them, as many of them as fit are taken.
+    Columns of those names are replaced. An empty table gives no rows.
     """
     made = ("size", "source_size", "target", "taken", "times")
     keep = [c for c in df.columns if c not in made]
     members = F.array(F.col("source")) if sources is None else F.array_sort(F.array_distinct(sources))
+    size = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
+    # The input's columns stay in a struct of their own, so their names clash with none.
     counted = df.select(
-        *[F.col(f"`{c}`") for c in keep], members.alias("_members"),
-        F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long").alias("size"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), members.alias("_members"),
+        F.coalesce(F.col(doc_id).cast("string"), F.lit("")).alias("_id"), size.alias("size"),
     )
-    return taken(counted, keep, doc_id, weights, seed)
+    mixed = taken(counted, weights, seed)
+    return mixed.select(*[F.col("_row").getField(c).alias(c) for c in keep], *made)
 
 
-def taken(counted: DataFrame, keep: list[str], doc_id: str, weights: Sequence[int], seed: int) -> DataFrame:
+def taken(counted: DataFrame, weights: Sequence[int], seed: int) -> DataFrame:
     spark = counted.sparkSession
     # Order by a seeded hash of id and size, and its first digits for the sums.
-    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.col("size")))
-    counted = counted.select("*", mark.alias("_mark"))
+    mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_id"), F.col("size")))
+    counted = counted.select("_row", "_members", "size", mark.alias("_mark"))
     small = stored(counted.select("_members", "_mark", "size"), "sizes")
     held = small.groupBy("_members").agg(F.sum("size").alias("size")).limit(PATTERN_LIMIT + 1).collect()
     if len(held) > PATTERN_LIMIT:
@@ -178,21 +221,40 @@ def taken(counted: DataFrame, keep: list[str], doc_id: str, weights: Sequence[in
         heads = heads.withColumn("before", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
         heads = heads.where("before < rest and before + size >= rest")
         edge = stored(heads.select("_key", F.col("head").alias("edge"), "before", "rest"), "edge")
-    inside = small.join(F.broadcast(edge), "_key").where(F.col("_mark").startswith(F.col("edge")))
+    inside = small.join(F.broadcast(edge), "_key").where(F.col("_mark").startswith(F.col("edge")) & (F.col("size") > 0))
+    # Rows that tie are one entry, of which a number of copies may count.
+    entries = inside.groupBy("_key", "_mark").agg(
+        F.count("*").alias("copies"), F.first("size").alias("size"), F.first("before").alias("before"), F.first("rest").alias("rest")
+    )
     row = Window.partitionBy("_key").orderBy("_mark").rowsBetween(Window.unboundedPreceding, -1)
-    cut = inside.withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(row), F.lit(0)))
+    entries = entries.withColumn("before", F.col("before") + F.coalesce(F.sum(F.col("copies") * F.col("size")).over(row), F.lit(0)))
     # The row across the end counts if more than half of it lies before the end.
-    last = cut.where(F.col("sum") * 2 + F.col("size") <= F.col("rest") * 2).groupBy("_key").agg(F.max("_mark").alias("last"))
+    fit = F.least("copies", F.expr("greatest(2 * rest - 2 * before + size, 0L) div (2 * size)"))
+    last = entries.withColumn("fit", fit).where("fit > 0").groupBy("_key").agg(F.max(F.struct("_mark", "fit", "copies")).alias("last"))
     ends = stored(plan.join(edge.select("_key", "edge"), "_key", "left").join(last, "_key", "left").drop("_members"), "ends")
     rows = counted.withColumn("_key", key).join(F.broadcast(ends), "_key")
-    extra = (F.substring("_mark", 1, STEPS[-1]) < F.col("edge")) | F.coalesce(
-        F.col("_mark").startswith(F.col("edge")) & (F.col("_mark") <= F.col("last")), F.lit(False)
-    )
-    times = F.when(F.col("size") > 0, F.col("passes") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0)
-    rows = rows.withColumn("times", times)
-    return rows.select(
-        *[F.col(f"`{c}`") for c in keep], "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times"
+    extra = (F.substring("_mark", 1, STEPS[-1]) < F.col("edge")) | (
+        F.col("_mark").startswith(F.col("edge")) & (F.col("_mark") <= F.col("last._mark"))
     )
+    split = F.coalesce((F.col("_mark") == F.col("last._mark")) & (F.col("last.fit") < F.col("last.copies")), F.lit(False))
+    told = rows.where(~split).withColumn("_extra", F.coalesce(extra, F.lit(False)))
+    if ends.where("last.fit < last.copies").limit(1).count():
+        told = told.unionByName(first_copies(rows.where(split)))
+    times = F.when(F.col("size") > 0, F.col("passes") + F.col("_extra").cast("long")).otherwise(0)
+    return told.withColumn("times", times).withColumn("taken", F.col("size") * F.col("times"))
+
+
+def first_copies(tied: DataFrame) -> DataFrame:
+    """Whether a row is among the ``last.fit`` first of its pattern's tied ones, as they are
+    written: numbered within each written task, tasks by sums, so no task holds them all."""
+    tied = stored(tied.withColumn("_n", F.monotonically_increasing_id()), "ties").withColumn("_task", F.shiftright("_n", 33))
+    tasks = tied.groupBy("_key", "_task").agg(F.count("*").alias("_held"))
+    order = Window.partitionBy("_key").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select("_key", "_task", F.coalesce(F.sum("_held").over(order), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_key", "_task").orderBy("_n"))
+    placed = tied.withColumn("_place", place).join(tasks, ["_key", "_task"])
+    placed = placed.withColumn("_extra", F.col("_before") + F.col("_place") <= F.col("last.fit"))
+    return placed.drop("_n", "_task", "_place", "_before")
 
 
 def scaled(wanted: list[float], sizes: list[int], total: int) -> list[float]:

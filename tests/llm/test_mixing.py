@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 from fractions import Fraction
 
 import duckdb
@@ -87,6 +88,55 @@ def test_rows(documents):
     assert sorted(map(key, got)) == sorted(map(key, again))
 
 
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_ties_are_taken_in_part(documents, doc_id):
+    # a and b hold the same words, weights 1 and 3: a gives half of its rows, b one and a half.
+    rows = [(doc_id, "w w", None, s) for s in "ab" for _ in range(500)] + [(8, "x", None, "a"), (9, "x", None, "b")]
+    got = mix(documents(rows), weights=(1, 3)).collect()
+    assert len(got) == len(rows)
+    for source in "ab":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 2
+    assert {r.times for r in got if r.source == "a"} == {0, 1} and {r.times for r in got if r.source == "b"} == {1, 2}
+
+
+def test_ties_equal_the_row_by_row_rule(documents, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.randrange(4), "w " * rng.randrange(4), None, rng.choice("abc")) for _ in range(600)]
+    docs = documents(rows)
+    docs.write.parquet(str(tmp_path / "documents"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    names = "doc_id, size, source_size, target, taken"
+    want = db.execute(f"SELECT {names} FROM ({ORACLES['op7_mixing']})").fetchall()
+    assert sorted(map(tuple, mix(docs).select(*names.split(", ")).collect())) == sorted(want)
+
+
+def test_clashing_columns(documents):
+    docs = documents([(i, "w w", None, "ab"[i % 2]) for i in range(40)])
+    odd = docs.select("*", *[F.lit(1).alias(c) for c in ("_members", "_mark", "_key", "_row", "_id", "last", "edge", "a.b")])
+    got = mix(odd, weights=(1, 3)).collect()
+    assert len(got) == 40 and got[0]["a.b"] == got[0]["_row"] == got[0]["edge"] == 1
+    assert sorted(r.taken for r in got) == sorted(r.taken for r in mix(docs, weights=(1, 3)).collect())
+
+
+def test_flow_time_grows_with_the_patterns():
+    def seconds(n):
+        rng = random.Random(4)
+        patterns = {}
+        while len(patterns) < n:
+            patterns[tuple(sorted(rng.sample(range(60), 3)))] = rng.randrange(1, 1000)
+        total = sum(patterns.values())
+        quotas = {s: total * (s % 3 + 1) // 120 for s in range(60)}
+        start = time.perf_counter()
+        found = routed(patterns, quotas)
+        assert sum(found.values()) == sum(quotas.values())
+        return time.perf_counter() - start
+
+    once = seconds(800)
+    assert once < 2 and seconds(3200) < 12 * once + 0.5
+
+
 def test_overlapping_sources(documents):
     rows = [(i, "w w", None, "a") for i in range(60)]
     both = F.when(F.col("doc_id") % 3 == 0, F.array(F.lit("a"), F.lit("b"))).when(
