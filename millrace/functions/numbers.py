@@ -20,6 +20,12 @@ FALSE_WORDS = ("0", "f", "F", "false", "FALSE", "False")
 
 TWO_63 = 9223372036854775808.0
 
+# JSON strings, number tokens, and what a token beyond the double range must have: an
+# exponent of three digits, or very many digits. Quantifiers never backtrack.
+_JSON_STRING = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_JSON_NUMBER = r"-?[0-9]++(?:[.][0-9]*+)?+(?:[eE][+-]?+[0-9]++)?+"
+_JSON_LARGE = r"[0-9][.]?[eE][+]?[0-9]{3}|[0-9]{200}"
+
 
 def parse_int(text: Column) -> Column:
     """Base-10 text to BIGINT; NULL when malformed or out of range."""
@@ -79,6 +85,16 @@ def float_text(number: Column) -> Column:
     )
 
 
+def json_overflows(text: Column) -> Column:
+    """Whether a number token of a JSON text, outside its strings, is beyond the double range.
+
+    Only texts that show a long exponent or a long run of digits are looked at closely.
+    """
+    tokens = F.regexp_extract_all(F.regexp_replace(text, _JSON_STRING, '""'), F.lit(_JSON_NUMBER), F.lit(0))
+    beyond = F.exists(tokens, lambda token: F.abs(token.try_cast("double")) == float("inf"))
+    return F.when(text.rlike(_JSON_LARGE), beyond).otherwise(F.lit(False))
+
+
 def bytes_text(data: Column) -> Column:
     """Bytes printed as a bracketed list of decimal values."""
     values = F.transform(

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import InvalidPipelineError
 from ..functions import codecs, protobuf
-from ..functions.numbers import parse_int
+from ..functions.numbers import json_overflows, parse_int
 from .fields import (
     END_KEY, Field, Scope, Slot, Step, close_json, field_path, first_of, json_slot, option,
     plain_target, slot_of,
@@ -35,9 +35,14 @@ def decompress_step(options: dict) -> Step:
 def parse_json_step(options: dict) -> Step:
     def apply(scope: Scope) -> None:
         data = F.col(scope.data)
+        (beyond,) = scope.hold(beyond=json_overflows(data.cast("string")))
         complete = scope.add_json(data.cast("string"))
         empty = F.coalesce(F.octet_length(data), F.lit(0)) == 0
-        message = F.when(empty, "payload is empty").when(~complete, "payload is not a JSON object")
+        message = (
+            F.when(empty, "payload is empty")
+            .when(~complete, "payload is not a JSON object")
+            .when(beyond, "payload has a number beyond the double range")
+        )
         scope.fail("parse_json", message, structural=True)
 
     return Step("parse_json", apply, structural=True)
@@ -250,7 +255,8 @@ def json_value(text: Column) -> Column:
 
 
 def parse_json(df: DataFrame, column: str = "payload", target: str = "body") -> DataFrame:
-    """Add the VARIANT of a JSON object payload (NULL when it is none)."""
+    """Add the VARIANT of a JSON object payload (NULL when it is none or has a number beyond
+    the double range)."""
     text = F.col(column).cast("string")
     is_object = text.startswith("{") | text.rlike(r"^[ \t\r\n]*[{n]")
-    return df.withColumn(target, F.when(is_object, json_value(text)))
+    return df.withColumn(target, F.when(is_object & ~json_overflows(text), json_value(text)))

@@ -422,3 +422,15 @@ def test_envelope_conditions_reach_the_scan(spark, messages, tmp_path):
     rows = pipeline.transform(stored, where=F.col("sequence") == 1)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(sequence,1)" in plan and [r.sequence for r in rows.collect()] == [1]
+
+
+def test_numbers_beyond_the_double_range_make_a_message_unusable(run):
+    long = "9" * 400
+    bad = ['{"a": 1e400}', '{"b": [{"c": -1.5E+999}], "a": 1}', f'{{"a": {long}}}', f'{{"a": -{long}.5}}', '{"x": 0.1e310, "a": 1}',
+           '{"a": "q\\\\", "b": 1e309}', f'{{"a": {"9" * 250}e90}}', '{"a": 1e0400}']
+    good = ['{"a": 1e308}', '{"a": 1e-400}', '{"a": 0e400}', '{"a": "1e400"}', '{"a": "\\"1e400", "b": "x 1e999"}',
+            f'{{"a": "{long}"}}', f'{{"a": 0.{long}}}', '{"1e400": 1, "a": 2}', '{"a": "9\\\\\\" 1e500"}']
+    good.append('{"a": "' + '\\n1e999' * 200_000 + '"}')
+    rows = run(bad + good, [("parse_json", {})], {"a": "string"})
+    assert [r.outcome for r in rows[: len(bad)]] == ["unusable"] * len(bad)
+    assert "unusable" not in [r.outcome for r in rows[len(bad) :]]

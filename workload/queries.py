@@ -102,6 +102,24 @@ def ingest_event_rows(spark, sf_dir):
     return Pipeline(event_spec()).transform(m.event_messages(spark, sf_dir))
 
 
+@query(
+    "numbers_beyond_double",
+    """SELECT event_id AS sequence, CASE WHEN event_id % 20 > 8 THEN 'unusable' ELSE 'ok' END AS outcome,
+         CASE WHEN event_id % 20 <= 8 THEN user_id END AS who
+       FROM events""",
+)
+def numbers_beyond_double(spark, sf_dir):
+    # 1e308 is a double, 1e309 is none; in a text both are fine.
+    power = F.concat(F.lit("1e"), (F.col("event_id") % 20 + 300).cast("string"))
+    body = F.format_string('{"who": %d, "list": [{"v": %s}], "note": "1e999 \\\\\\" %s"}', F.col("user_id"), power, "event_type")
+    spec = {
+        "output": columns(who="int64"),
+        "transformations": [step("parse_json"), field("who", "who", "int64"), step("extract_table", value="t")],
+    }
+    parsed = Pipeline(spec).parse(m.event_messages(spark, sf_dir, body))
+    return parsed.select("sequence", "outcome", F.when(F.col("outcome") == "ok", F.col("row.who")).alias("who"))
+
+
 # Type conversions
 
 @query(
