@@ -8,7 +8,8 @@ and scored on the original vectors, in double precision.
 
 Equal vectors are one entry that carries its smallest ids, as many as any answer can need,
 so a vector that very many rows share neither fills a list nor repeats a search. Longer
-lists than others are dealt over several tasks by a hash.
+lists than others are dealt over several tasks by a hash. Vectors of different lengths are
+indexed apart; lengths that few vectors have are one list each, which is read whole.
 """
 
 from __future__ import annotations
@@ -28,20 +29,25 @@ from .shared import bound_batches, stored
 @dataclass(frozen=True)
 class Settings:
     """``sample`` vectors at most train the centroids, of which there are ``lists`` at most,
-    one for about ``per_list`` vectors; the sample bounds what the driver holds."""
+    one for about ``per_list`` vectors; the sample bounds what the driver holds. It is shared
+    by the ``lengths`` most common lengths; vectors of others are one list by length."""
 
     sample: int = 20_000
+    lengths: int = 16
     lists: int = 2048
     per_list: int = 128
     rounds: int = 8
     # Copies of a vector, and how much farther than the nearest a further list may be.
     copies: int = 4
     border: float = 1.12
-    # Lists a query reads: within the ratio, between these numbers.
+    # Lists a query reads: within the ratio, ``least`` in any case, and no more than ``most``
+    # or this share of all lists, whichever is larger.
     ratio: float = 1.4
     least: int = 16
     most: int = 96
-    # The centroid graph: neighbours of each node, width of the search.
+    share: float = 0.1
+    # The centroid graph: neighbours of each node, width of the search, which is wider by a
+    # third than what a query may read.
     links: int = 16
     width: int = 128
     # Entries or queries of a list in one task.
@@ -124,9 +130,10 @@ def lists_of(vector: np.ndarray, centroids: Centroids, settings: Settings) -> li
 
 def lists_for(vector: np.ndarray, centroids: Centroids, settings: Settings) -> list[int]:
     """The lists a query reads."""
-    found = centroids.search(vector, settings.width)
+    most = max(settings.most, int(np.ceil(settings.share * len(centroids.points))))
+    found = centroids.search(vector, max(settings.width, most * 4 // 3))
     limit = settings.ratio * found[0][0]
-    return [i for n, (d, i) in enumerate(found) if n < settings.least or n < settings.most and d <= limit]
+    return [i for n, (d, i) in enumerate(found) if n < settings.least or n < most and d <= limit]
 
 
 def unit(values: np.ndarray) -> np.ndarray:
@@ -158,24 +165,38 @@ def entries(df: DataFrame, vec_id: str, vector: str, keep: int) -> tuple[DataFra
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blobs, pa.binary())], ["id", "v"])
 
     bound_batches(df.sparkSession)
-    flat = stored(rows.mapInArrow(packed, "id bigint, v binary"), "vectors")
+    flat = one_each(stored(rows.mapInArrow(packed, "id bigint, v binary"), "vectors"))
     # A rank limit is applied before rows are shuffled, so a common vector costs little.
     place = F.dense_rank().over(Window.partitionBy("v").orderBy("id"))
     few = flat.withColumn("place", place).where(F.col("place") <= keep)
     return stored(few.groupBy("v").agg(F.array_sort(F.collect_set("id")).alias("ids")), "entries"), flat
 
 
-def trained(vectors: DataFrame, settings: Settings) -> tuple[Centroids, int] | None:
-    """Centroids from a bounded sample of the vectors' most common length, and that length."""
-    lengths = vectors.groupBy(F.length("v").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    if not lengths:
-        return None
-    size, count = lengths[0]
-    own = vectors.where(F.length("v") == size)
-    sample = own.orderBy(F.xxhash64("v"), "v").limit(settings.sample).select("v").toArrow().column(0).to_pylist()
-    points = unit(matrix(sample))
-    lists = max(1, min(settings.lists, count // settings.per_list, len(points) // 4 or 1))
-    return Centroids(balanced_means(points, lists, settings.rounds, settings.seed), settings.links, settings.seed), size
+def one_each(flat: DataFrame) -> DataFrame:
+    """Rows whose id has other vectors too, only those of the vector with the smallest hash.
+    Hashes alone are shuffled; ids of several vectors are mostly few or none."""
+    mark = F.xxhash64("v")
+    marks = flat.groupBy("id").agg(F.min(mark).alias("own"), F.max(mark).alias("top"))
+    several = stored(marks.where("own < top").select("id", "own"), "several", small=True)
+    if not several.limit(1).count():
+        return flat
+    own = flat.join(several, "id", "left").where(F.col("own").isNull() | (mark == F.col("own")))
+    return stored(own.select("id", "v"), "single")
+
+
+def trained(vectors: DataFrame, settings: Settings) -> dict[int, Centroids]:
+    """Centroids for each common length in bytes, from bounded samples of its vectors."""
+    lengths = vectors.groupBy(F.length("v").alias("size")).count().where(F.col("count") >= 2 * settings.per_list)
+    held = lengths.orderBy(F.desc("count"), "size").limit(settings.lengths).collect()
+    models = {}
+    for size, count in held:
+        own = vectors.where(F.length("v") == size)
+        sample = own.orderBy(F.xxhash64("v"), "v").limit(settings.sample // len(held)).select("v")
+        points = unit(matrix(sample.toArrow().column(0).to_pylist()))
+        lists = max(1, min(settings.lists, count // settings.per_list, len(points) // 4 or 1))
+        means = balanced_means(points, lists, settings.rounds, settings.seed)
+        models[size] = Centroids(means, settings.links, settings.seed)
+    return models
 
 
 def neighbours(
@@ -184,49 +205,48 @@ def neighbours(
     """The ``k`` nearest rows by cosine of every row whose id meets the condition ``queries``.
 
     Returns ``query_id, rank, vec_id, score``: nearest first, ties to the smaller id. Rows
-    with the query's own id are no candidates for it, and a repeated id counts once. Rows
-    whose id is null, or whose vector is null, empty, zero or holds null or non-finite
-    components take no part, nor do vectors of another length than the most common one.
-    With fewer candidates all of them are returned; no usable row gives no result. Other
-    columns are ignored.
+    with the query's own id are no candidates for it. A repeated id counts once; if it has
+    several vectors, the one with the smallest hash stands for it. Rows whose id is null, or
+    whose vector is null, empty, zero or holds null or non-finite components take no part.
+    Only vectors of the query's length are its candidates. With fewer candidates all of them
+    are returned; no usable row gives no result. Other columns are ignored.
     """
     spark = df.sparkSession
     distinct, rows = entries(df, vec_id, vector, k + 1)
-    model = trained(distinct, settings)
-    if model is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    shared, size = spark.sparkContext.broadcast(model[0]), model[1]
-    asked = rows.where(F.length("v") == size).select(F.col("id").alias(vec_id), "v").where(queries)
+    shared = spark.sparkContext.broadcast(trained(distinct, settings))
+    asked = rows.select(F.col("id").alias(vec_id), "v").where(queries)
     asked = asked.select(F.col(vec_id).alias("query_id"), "v").distinct()
     # One search for each distinct vector, named by its smallest query.
     searches = stored(asked.groupBy("v").agg(F.min("query_id").alias("search")), "searches")
 
     def placed(pick):
+        def lists(blob: bytes) -> list[int]:
+            """Numbers of lists, each with the length, so that no list holds two lengths."""
+            model = shared.value.get(len(blob))
+            found = pick(unit(matrix([blob]))[0], model, settings) if model else [0]
+            return [len(blob) << 16 | i for i in found]
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                points = unit(matrix(batch.column(0).to_pylist())) if batch.num_rows else []
-                lists = [pick(p, shared.value, settings) for p in points]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.columns, pa.array(lists, pa.list_(pa.int32()))], [*batch.schema.names, "lists"]
-                )
+                found = pa.array([lists(v) for v in batch.column(0).to_pylist()], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "lists"])
 
         return run
 
-    indexed = distinct.where(F.length("v") == size).mapInArrow(
-        placed(lists_of), "v binary, ids array<bigint>, lists array<int>"
-    )
+    indexed = distinct.mapInArrow(placed(lists_of), "v binary, ids array<bigint>, lists array<bigint>")
     postings = stored(indexed.select("v", "ids", F.explode("lists").alias("list")), "postings")
-    wanted = searches.select("v", "search").mapInArrow(placed(lists_for), "v binary, search bigint, lists array<int>")
+    wanted = searches.select("v", "search").mapInArrow(placed(lists_for), "v binary, search bigint, lists array<bigint>")
     wanted = stored(wanted.select("v", "search", F.explode("lists").alias("list")), "wanted")
     # Blocks of a list and of its queries: one task holds one block of each. One number
-    # for each list, of which there are at most ``settings.lists``.
+    # for each list, of which there are ``settings.lists`` for each of ``settings.lengths``
+    # lengths at most, and one for each further length.
     blocks = [
         {r["list"]: -(-r["count"] // settings.block) for r in part.groupBy("list").count().collect()}
         for part in (postings, wanted)
     ]
     table = spark.createDataFrame(
         [(i, blocks[0].get(i, 1), blocks[1].get(i, 1)) for i in sorted(blocks[0].keys() | blocks[1].keys())],
-        "list int, pb int, qb int",
+        "list bigint, pb int, qb int",
     )
     dealt = F.pmod(F.xxhash64("v"), F.lit(1 << 30)).cast("int")
     left = postings.join(F.broadcast(table), "list").select(

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm.posting_lists import Centroids, Settings, cosines, neighbours
+from millrace.llm.posting_lists import Centroids, Settings, cosines, entries, lists_for, neighbours, unit
 from millrace.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -72,6 +72,39 @@ def test_rows(vectors):
         assert np.allclose([x[2] for x in got[q]], [x[2] for x in want[q]], rtol=0, atol=1e-12)
 
 
+def test_repeated_ids_and_other_lengths(vectors):
+    rng = np.random.default_rng(2)
+    data = rng.normal(size=(1200, 3)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    # Ids 0 to 99 have a second vector, and some ids hold shorter ones.
+    second = [(i, rng.normal(size=3).astype(np.float32).tolist()) for i in range(100)]
+    short = [(2000 + i, rng.normal(size=2).astype(np.float32).tolist()) for i in range(900)] + [(3000, [1.0] * 7), (3050, [2.0] * 7)]
+    table = vectors(rows + second + second[:50] + short)
+    got = answers(neighbours(table, F.col("vec_id") % 50 == 0, 5, settings=Settings(per_list=40)))
+    assert got.keys() == {i for i, _ in rows + short if i % 50 == 0}
+    assert all([x[0] for x in found] == list(range(1, len(found) + 1)) for found in got.values())
+    assert all(len({v for _, v, _ in found} - {q}) == len(found) for q, found in got.items())
+    chosen = {r.id: np.frombuffer(r.v, np.float64) for r in entries(table, "vec_id", "embedding", 6)[1].collect()}
+    assert chosen.keys() == {i for i, _ in rows + short}
+    hits = wanted = 0
+    for size in (2, 3, 7):
+        ids = np.array([i for i, v in chosen.items() if len(v) == size])
+        want = brute(ids, np.array([chosen[i] for i in ids.tolist()]), [i for i in ids.tolist() if i % 50 == 0], 5)
+        assert all(len(got[q]) == len(want[q]) for q in want)
+        hits += sum(len({v for _, v, _ in got[q]} & {v for _, v, _ in want[q]}) for q in want)
+        wanted += sum(map(len, want.values()))
+    assert hits >= 0.95 * wanted
+
+
+def test_lists_read_follow_their_number():
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(1500, 64)).astype(np.float32)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    centroids, query = Centroids(points, 16, 1), unit(rng.normal(size=(1, 64)))[0]
+    assert len(lists_for(query, centroids, Settings())) == 150
+    assert len(lists_for(query, Centroids(points[:500], 16, 1), Settings())) == 96
+
+
 def test_few_and_no_candidates(vectors):
     assert answers(neighbours(vectors([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])]), F.col("vec_id") == 0, 5)).keys() == {0}
     assert neighbours(vectors([(0, [1.0, 0.0])]), F.lit(True), 5).collect() == []
