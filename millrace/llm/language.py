@@ -15,52 +15,59 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .shared import by_text
+from .shared import by_text, stored
 
 # Places of 1-, 2- and 3-grams.
 SIZES = (1024, 4096, 8192)
 WIDTH = sum(SIZES)
-# Characters counted at a time; any text takes this much memory at most.
+# Characters counted at a time, so that a text's code points are never all in memory; two
+# letters are carried over, so the counts are those of the whole text.
 SLICE = 1 << 20
-# Training texts in all; they are shared out evenly among the languages. This bounds what
-# the driver holds, at about 8 kB a text.
+# Training texts in all; they are shared out evenly among the languages, one at least for
+# each. This bounds what the driver holds, at about 8 kB a text.
 SAMPLE = 4000
 CENTROIDS = 4
 ROUNDS = 8
 # A text is rejected below REJECT of the cosine that all but LOW of the training texts of its
-# length class reach, and below LEAST in any case. Centroids of less than LOW of a language's
-# texts do not count for this.
+# length class reach, and below LEAST in any case. Centroids that stand for less than LOW of
+# a language's texts, by a one-sided binomial test at level RARE, do not count for this.
 LOW = 0.05
+RARE = 0.05
 REJECT = 0.5
 LEAST = 0.05
 NONE = "und"
 
 
-def letters_only(text: str) -> np.ndarray:
-    """Lower-case code points with one blank for every run of anything but letters."""
-    low = " " + text.lower() + " "
-    codes = np.frombuffer(low.encode("utf-32-le", "replace"), np.uint32)
+def letters_only(text: str, carried: np.ndarray) -> np.ndarray:
+    """Lower-case code points that follow ``carried`` ones, with one blank for every run of
+    anything but letters. The final sigma is lower-cased like any other, so that a letter
+    does not depend on its neighbours."""
+    codes = np.frombuffer(text.replace("Σ", "σ").lower().encode("utf-32-le", "replace"), np.uint32)
     distinct = np.unique(codes)
     plain = distinct[[not chr(c).isalpha() for c in distinct.tolist()]]
-    codes = np.where(np.isin(codes, plain), np.uint32(32), codes)
+    codes = np.r_[carried, np.where(np.isin(codes, plain), np.uint32(32), codes)]
     blank = codes == 32
     return codes[~(blank & np.r_[False, blank[:-1]])]
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """How often each place occurs in the whole text."""
+    """How often each place occurs in the whole text, with a blank before and after it."""
     total = np.zeros(WIDTH, np.int64)
-    for start in range(0, max(len(text), 1), SLICE):
-        codes = letters_only(text[start : start + SLICE]).astype(np.uint64)
-        offset = 0
+    padded, carried = f" {text} ", np.zeros(0, np.uint32)
+    for start in range(0, len(padded), SLICE):
+        kept = letters_only(padded[start : start + SLICE], carried)
+        codes, offset = kept.astype(np.uint64), 0
         for order, size in enumerate(SIZES, 1):
-            if len(codes) >= order:
-                mixed = np.zeros(len(codes) - order + 1, np.uint64)
+            # Only grams that end after what was carried over are new.
+            first = max(len(carried) - order + 1, 0)
+            if len(codes) >= first + order:
+                mixed = np.zeros(len(codes) - first - order + 1, np.uint64)
                 for i in range(order):
-                    mixed = (mixed + codes[i : len(codes) - order + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+                    mixed = (mixed + codes[first + i : len(codes) - order + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
                 place = (mixed >> np.uint64(40)) % np.uint64(size)
                 total[offset : offset + size] += np.bincount(place.astype(np.int64), minlength=size)
             offset += size
+        carried = kept[-(len(SIZES) - 1) :]
     return total
 
 
@@ -125,21 +132,31 @@ def clustered(vectors: np.ndarray, seed: int) -> np.ndarray:
 def train(df: DataFrame, usable: Column, doc_id: str, text: str, lang: str, seed: int = 1) -> Model:
     """A model from a bounded sample of the usable rows that have a language.
 
-    At most SAMPLE texts, the same number for every language, those whose id has the
-    smallest hash.
+    At most SAMPLE texts, the same number for every language (one at least, so more than
+    SAMPLE languages are as many texts), of the ids with the smallest hashes. An id that is
+    repeated in a language gives one text, the smallest; rows without an id or a text train
+    nothing. Without any training row every text is ``und``.
     """
-    rows = df.where(usable & F.col(lang).isNotNull() & (F.col(lang) != NONE))
+    rows = df.where(usable & F.col(lang).isNotNull() & (F.col(lang) != NONE) & F.col(doc_id).isNotNull())
     ids = rows.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.xxhash64(doc_id).alias("h"))
-    languages = ids.select("lang").distinct().count()
+    ids = stored(ids.distinct(), "ids")
+    held = ids.groupBy("lang").count()
+    languages = held.count()
     if not languages:
         return Model([], np.ones(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), np.zeros(0, int), np.zeros((0, 64)),
                      np.zeros(0, bool))
-    share = max(20, min(1000, SAMPLE // languages))
+    share = max(1, min(1000, SAMPLE // languages))
+    # Of a hash's whole range, the part that holds about twice the share and surely the share
+    # itself; what is ranked then does not grow with the table.
+    part = held.select("lang", (F.lit(2.0 * share + 200) / F.col("count")).alias("part"))
+    low = F.col("h").cast("double") < F.col("part") * 2.0**64 - 2.0**63
     order = Window.partitionBy("lang").orderBy("h", "id")
+    ids = ids.join(part, "lang").where((F.col("part") >= 1) | low)
     ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
     # At most ``share`` rows of each language: bounded by construction.
     texts = rows.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    chosen = texts.join(F.broadcast(ids), ["id", "lang"]).select("lang", "h", "text")
+    chosen = texts.join(F.broadcast(ids.select("id", "lang", "h")), ["id", "lang"])
+    chosen = chosen.groupBy("id", "lang", "h").agg(F.min("text").alias("text")).select("lang", "h", "text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,6 +200,13 @@ def low_cosines(classes: np.ndarray, cosines: np.ndarray) -> np.ndarray:
     return floor
 
 
+def at_most(count: int, total: int, share: float) -> float:
+    """Probability that ``total`` draws of probability ``share`` hit ``count`` times or fewer."""
+    hits = np.arange(1, count + 1)
+    logs = np.r_[0.0, np.cumsum(np.log((total - hits + 1) / hits * share / (1 - share)))] + total * np.log(1 - share)
+    return float(np.exp(logs).sum())
+
+
 def fitted(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int) -> Model:
     languages = sorted({language for language, _, _ in sample})
     seen = np.zeros(WIDTH)
@@ -202,9 +226,8 @@ def fitted(sample: list[tuple[str, np.ndarray, np.ndarray]], seed: int) -> Model
         centroids.append(own)
         owner += [number] * len(own)
         cosines = np.array(vectors) @ own.T
-        many = np.bincount(cosines.argmax(axis=1), minlength=len(own)) >= LOW * len(vectors)
-        # Of few texts in all, one is no oddity.
-        many |= len(vectors) < 100
+        sizes = np.bincount(cosines.argmax(axis=1), minlength=len(own))
+        many = np.array([at_most(int(n), len(vectors), LOW) > RARE for n in sizes])
         common += many.tolist()
         best = cosines[:, many].max(axis=1)
         floor[number] = low_cosines(np.array(classes), best)

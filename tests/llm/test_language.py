@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import string
 import zlib
 
@@ -73,9 +75,68 @@ def test_sample_is_bounded_and_split_by_language(documents, monkeypatch):
 
 def test_slices_count_like_the_whole(monkeypatch):
     text = "abc déf " * 50
-    whole = language.gram_counts(text)
-    monkeypatch.setattr(language, "SLICE", 8)
-    assert abs(int(language.gram_counts(text).sum()) - int(whole.sum())) <= 6 * 50
+    texts = [text, "", "a", "ab  1 c", "  ", "12 3", "ΑΣ ΑΣΑ " * 9, "x" * 40, "é, " * 17 + "z", "İstanbul " * 5, "日本語 한국어"]
+    whole = [language.gram_counts(t) for t in texts]
+    for size in (1, 2, 3, 7, 8, 64):
+        monkeypatch.setattr(language, "SLICE", size)
+        assert all((language.gram_counts(t) == w).all() for t, w in zip(texts, whole)), size
+
+
+def plain_counts(text):
+    """Grams of the whole text, one by one."""
+    letters = " " + "".join(c if c.isalpha() else " " for c in text.replace("Σ", "σ").lower()) + " "
+    codes = [ord(c) for c in re.sub(" +", " ", letters)]
+    found, offset = {}, 0
+    for order, size in enumerate(language.SIZES, 1):
+        for start in range(len(codes) - order + 1):
+            mixed = 0
+            for code in codes[start : start + order]:
+                mixed = (mixed + code) * 0x9E3779B97F4A7C15 % 2**64
+            place = offset + (mixed >> 40) % size
+            found[place] = found.get(place, 0) + 1
+        offset += size
+    return found
+
+
+def test_predictions_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.train(docs, ~language.held_out("doc_id"), "doc_id", "text", "lang")
+    got = language.predict_languages(docs, model).collect()
+    assert len(got) == 200
+    for r in got:
+        if not language.has_letter(r.text):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        counts = plain_counts(r.text)
+        weights = {p: math.log1p(n) * float(model.idf[p]) for p, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        cosines = [sum(w * float(c[p]) for p, w in weights.items()) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        own = model.owner[best]
+        near = max(c for c, o, many in zip(cosines, model.owner, model.common) if many and o == own)
+        floor = model.floor[own, sum(n for p, n in counts.items() if p < language.SIZES[0]).bit_length()]
+        assert r.lang_pred == model.languages[own] and abs(r.score - cosines[best]) < 1e-5
+        assert r.rejected == (near < floor) or abs(near - floor) < 1e-5
+
+
+def test_sample_of_repeated_ids_and_many_languages(documents, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 600)
+    seen = []
+    monkeypatch.setattr(language, "fitted", lambda sample, seed: seen.append(sample))
+    letters = "abcdefghijklmnopqrst"
+    rows = [(i, f"{letters[g % 20] * 3} {letters[g // 20] * 4} x", f"l{g}", None) for i, g in enumerate(range(300)) for i in (i, i, 1000 + g, 5000 + g)]
+    rows += [(7, f"abc {'z' * (i % 50)}", "l7", None) for i in range(300)] + [(8, None, "l8", None), (None, "abc", "l9", None)]
+    language.train(documents(rows), F.lit(True), "doc_id", "text", "lang")
+    language.train(documents(rows[::-1]), F.lit(True), "doc_id", "text", "lang")
+    (one, two), kinds = seen, lambda sample: [(g, at.tolist(), n.tolist()) for g, at, n in sample]
+    assert len(one) == 600 and {sum(g == f"l{k}" for g, *_ in one) for k in range(300)} == {2} and kinds(one) == kinds(two)
+
+
+def test_few_texts_of_a_language_do_not_count():
+    # Exact tail of the binomial distribution.
+    exact = sum(math.comb(200, i) * 0.05**i * 0.95 ** (200 - i) for i in range(5))
+    assert abs(language.at_most(4, 200, 0.05) - exact) < 1e-12 and language.at_most(200, 200, 0.05) > 0.999
+    assert language.at_most(1, 40, 0.05) > language.RARE > language.at_most(20, 1000, 0.05)
 
 
 def test_without_training_rows(documents):
