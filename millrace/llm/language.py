@@ -151,7 +151,8 @@ def train(df: DataFrame, usable: Column, doc_id: str, text: str, lang: str, seed
     part = held.select("lang", (F.lit(2.0 * share + 200) / F.col("count")).alias("part"))
     low = F.col("h").cast("double") < F.col("part") * 2.0**64 - 2.0**63
     order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = ids.join(part, "lang").where((F.col("part") >= 1) | low)
+    # A row for each language, of which the model holds centroids anyway. Cut before the shuffle.
+    ids = ids.join(F.broadcast(part), "lang").where((F.col("part") >= 1) | low)
     ids = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
     # At most ``share`` rows of each language: bounded by construction.
     texts = rows.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
