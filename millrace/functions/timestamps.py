@@ -1,13 +1,15 @@
 """Timestamps as BIGINT nanoseconds since the epoch.
 
-Spark timestamps stop at microseconds, so they are only used to turn a calendar
-date into whole seconds; the fraction is read from the text and added as an integer.
+Spark timestamps stop at microseconds and offsets of 18 hours, so they only read ISO
+texts, whose fraction is added as an integer. Other layouts are read by one pattern into
+their parts, which become days, seconds and nanoseconds by integer arithmetic.
 Values outside the BIGINT nanosecond range (years 1678-2262) give NULL.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -34,12 +36,18 @@ LAYOUT_ELEMENTS = {
     "Mon": ("[A-Za-z]{3}", None),
     "MST": ("[A-Z]{3,4}", None),
     "2006": ("[0-9]{4}", "year"),
+    "Z07:00:00": ("Z|[+-][0-9]{2}:[0-9]{2}:[0-9]{2}", "zone"),
+    "Z070000": ("Z|[+-][0-9]{6}", "zone"),
     "Z07:00": ("Z|[+-][0-9]{2}:[0-9]{2}", "zone"),
     "Z0700": ("Z|[+-][0-9]{4}", "zone"),
     "Z07": ("Z|[+-][0-9]{2}", "zone"),
+    "-07:00:00": ("[+-][0-9]{2}:[0-9]{2}:[0-9]{2}", "zone"),
+    "-070000": ("[+-][0-9]{6}", "zone"),
     "-07:00": ("[+-][0-9]{2}:[0-9]{2}", "zone"),
     "-0700": ("[+-][0-9]{4}", "zone"),
     "-07": ("[+-][0-9]{2}", "zone"),
+    "002": ("[0-9]{3}", "year_day"),
+    "__2": ("[ ]{0,2}[0-9]{1,3}", "year_day"),
     "01": ("[0-9]{2}", "month"),
     "02": ("[0-9]{2}", "day"),
     "03": ("[0-9]{2}", "hour12"),
@@ -119,48 +127,114 @@ def compile_layout(layout: str) -> Layout:
     return Layout("^" + "".join(pieces) + "$", groups)
 
 
+# Separates the parts of a text; a text that holds it is none of any layout.
+_BREAK = "\x01"
+
+
+def _whole(number: Column, unit: int) -> Column:
+    """Integer quotient of a number that is not negative."""
+    return F.call_function("div", number, F.lit(unit))
+
+
+def _days(year: Column, month: Column, day: Column) -> Column:
+    """Days since 1970-01-01 of a date after year 0; years are taken to start in March."""
+    early = (month <= 2).cast("int")
+    since, place = year - early, month + early * 12 - 3
+    leaps = _whole(since, 4) - _whole(since, 100) + _whole(since, 400)
+    return since * 365 + leaps + _whole(place * 153 + 2, 5) + day - 719469
+
+
+def _is_leap(year: Column) -> Column:
+    return (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
+
+
 def _calendar_ns(text: Column, layout: Layout) -> Column:
-    """Read the parts with the layout's pattern, rebuild an ISO text and cast it."""
+    """Nanoseconds of a text in any layout; NULL if it does not match or a part is out of range."""
+    order = sorted(layout.groups, key=layout.groups.__getitem__)
+    marked = F.regexp_replace(text, layout.pattern, "".join(f"{_BREAK}${layout.groups[name]}" for name in order))
+    parts = F.split(marked, _BREAK)
+    # Each stage is bound to a name, so that the pattern runs once and each part is read once.
+    numbers = _bound(F.split(marked, _BREAK), lambda p: _numbers({name: p[n] for n, name in enumerate(order, 1)}))
+    value = _bound(numbers, _moment)
+    return F.when(marked.startswith(_BREAK) & ~text.contains(_BREAK), value)
+
+
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with a value that is evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _numbers(parts: dict[str, Column]) -> Column:
+    """The parts as numbers: year, month, day, day of year, seconds of the day less the
+    offset, nanoseconds. A part out of range is NULL, one that the layout lacks its default."""
 
-    def part(name: str, default: str) -> Column:
-        number = layout.groups.get(name)
-        return F.lit(default) if number is None else F.regexp_extract(text, layout.pattern, number)
+    def number(name: str, low: int, high: int, default: int) -> Column:
+        if name not in parts:
+            return F.lit(default)
+        return _bound(F.trim(parts[name]).try_cast("int"), lambda n: F.when(n.between(low, high), n))
 
-    if "short_year" in layout.groups:
-        short = part("short_year", "")
-        year = F.concat(F.when(short >= "69", "19").otherwise("20"), short)
+    if "short_year" in parts:
+        year = _bound(number("short_year", 0, 99, 0), lambda n: n + F.when(n >= 69, 1900).otherwise(2000))
     else:
-        year = part("year", "0000")
-    if "month_name" in layout.groups:
-        name = F.lower(F.substring(part("month_name", ""), 1, 3))
-        month = F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("string")
+        year = number("year", 1677, 2262, 0)
+    if "month_name" in parts:
+        # Places 1, 4, 7 and so on of the joined names.
+        name = F.lower(F.substring(parts["month_name"], 1, 3))
+        month = _bound(F.instr(F.lit("".join(MONTHS)), name), lambda at: F.when(at % 3 == 1, _whole(at + 2, 3).cast("int")))
     else:
-        month = part("month", "01")
-    if "hour12" in layout.groups:
-        clock = part("hour12", "").try_cast("int")
-        half = F.lower(part("half", ""))
-        hour = (
-            F.when((half == "pm") & (clock < 12), clock + 12)
-            .when((half == "am") & (clock == 12), F.lit(0))
-            .otherwise(clock)
-            .cast("string")
+        month = number("month", 1, 12, 1)
+    if "hour12" in parts:
+        half = F.lower(parts.get("half", F.lit("")))
+        hour = _bound(
+            number("hour12", 0, 12, 0),
+            lambda n: F.when((half == "pm") & (n < 12), n + 12).when((half == "am") & (n == 12), 0).otherwise(n),
         )
-        hour = F.when(clock.between(0, 12), hour)
     else:
-        hour = part("hour", "00")
-    zone = part("zone", "Z")
-    zone = (
-        F.when(F.length(zone) == 5, F.concat(F.substring(zone, 1, 3), F.lit(":"), F.substring(zone, 4, 2)))
-        .when(F.length(zone) == 3, F.concat(zone, F.lit(":00")))
-        .otherwise(zone)
-    )
-    fraction = F.coalesce(F.nullif(part("fraction", ""), F.lit("")), F.lit("0"))
-    iso = F.concat(
-        year, F.lit("-"), month, F.lit("-"), F.trim(part("day", "01")), F.lit(" "), hour,
-        F.lit(":"), part("minute", "00"), F.lit(":"), part("second", "00"),
-        F.lit("."), fraction, zone,
+        hour = number("hour", 0, 23, 0)
+    clock = hour * 3600 + number("minute", 0, 59, 0) * 60 + number("second", 0, 59, 0)
+    if "zone" in parts:
+        offset, inside = _offset_seconds(F.replace(parts["zone"], F.lit(":"), F.lit("")))
+        clock -= F.when(parts["zone"] == "Z", 0).otherwise(F.when(inside, offset))
+    nanos = F.rpad(F.substring(parts["fraction"], 1, 9), 9, "0").cast("bigint") if "fraction" in parts else F.lit(0).cast("bigint")
+    # What the layout lacks is told apart from what a text has: a day beside a day of year must agree.
+    year_day = number("year_day", 1, 366, 0)
+    with_month = F.lit("month_name" in parts or "month" in parts)
+    return F.struct(
+        year.alias("year"), month.alias("month"), number("day", 1, 31, 1).alias("day"), year_day.alias("year_day"),
+        with_month.alias("with_month"), F.lit("day" in parts).alias("with_day"), clock.cast("bigint").alias("clock"), nanos.alias("nanos"),
     )
-    return _exact_ns(iso.try_cast("timestamp"), fraction, "^[0-9]{6}([0-9]{1,3})")
+
+
+def _moment(n: Column) -> Column:
+    """Nanoseconds of the parts; NULL if there is no such day."""
+    year, month, day, year_day = n["year"], n["month"], n["day"], n["year_day"]
+    leap = _is_leap(year).cast("int")
+    longest = F.when(month == 2, leap + 28).otherwise(30 + (month + (month >= 8).cast("int")) % 2)
+    plain = F.when(month.between(1, 12) & (day <= longest), _days(year, month, day))
+
+    def agreeing(days: Column) -> Column:
+        date = F.date_from_unix_date(days)
+        agrees = (~n["with_month"] | (F.month(date) == month)) & (~n["with_day"] | (F.day(date) == day))
+        return F.when(agrees & (year_day <= leap + 365), days)
+
+    days = F.when(year_day == 0, plain).otherwise(_bound(_days(year, F.lit(1), year_day), agreeing))
+    billion = F.lit(1_000_000_000).cast("bigint")
+
+    def joined(seconds: Column) -> Column:
+        # Before 1970 the second is left towards zero first, so that the first value still fits.
+        early = (seconds < 0).cast("bigint")
+        return F.try_add(F.try_multiply(seconds + early, billion), n["nanos"] - early * billion)
+
+    return F.when(year > 0, _bound(days.cast("bigint") * 86400 + n["clock"], joined))
+
+
+def _offset_seconds(zone: Column) -> tuple[Column, Column]:
+    """Seconds of an offset ``+hh``, ``+hhmm`` or ``+hhmmss`` and whether it is in range."""
+    # Filled up first, as a cast that fails is slow.
+    filled = F.rpad(zone, 7, "0")
+    hours, minutes, seconds = (F.substring(filled, at, 2).try_cast("int") for at in (2, 4, 6))
+    size = hours * 3600 + minutes * 60 + seconds
+    return F.when(zone.startswith("-"), -size).otherwise(size), (hours <= 24) & (minutes <= 60) & (seconds <= 60)
 
 
 def _exact_ns(moment: Column, text: Column, digits: str) -> Column:
@@ -172,8 +246,19 @@ def _exact_ns(moment: Column, text: Column, digits: str) -> Column:
 
 def _iso_ns(text: Column, suffix: str) -> Column:
     """Layouts already written the way Spark casts need no rebuilding."""
-    moment = F.concat(F.replace(text, F.lit(","), F.lit(".")), F.lit(suffix)).try_cast("timestamp")
-    return _exact_ns(moment, text, "[.,][0-9]{6}([0-9]{1,3})")
+
+    def cast(part: Column, end: str) -> Column:
+        moment = F.concat(F.replace(part, F.lit(","), F.lit(".")), F.lit(end)).try_cast("timestamp")
+        return _exact_ns(moment, part, "[.,][0-9]{6}([0-9]{1,3})")
+
+    if suffix:
+        return cast(text, suffix)
+    # Offsets that Spark does not read are taken off as seconds.
+    far = text.rlike("[+-](1[89]|2[0-4]):[0-9]{2}$|[+-][0-9]{2}:60$")
+    offset, inside = _offset_seconds(F.replace(F.right(text, F.lit(6)), F.lit(":"), F.lit("")))
+    shift = F.lit(-1_000_000_000).cast("bigint") * offset
+    moved = F.try_add(cast(F.left(text, F.length(text) - 6), "Z"), shift)
+    return F.when(far, F.when(inside, moved)).otherwise(cast(text, ""))
 
 
 _ISO = re.compile(r"2006-01-02[T ]15:04:05(?:[.,](?:0+|9+))?(Z07:00|-07:00|Z)?$")
@@ -189,10 +274,8 @@ def ts_from_text(text: Column, fmt: str) -> Column:
     layout = compile_layout(fmt)
     iso = _ISO.match(NAMED_LAYOUTS.get(fmt, fmt))
     if iso:
-        value = _iso_ns(text, "" if iso.group(1) else "Z")
-    else:
-        value = _calendar_ns(text, layout)
-    return F.when(text.rlike(layout.pattern), value)
+        return F.when(text.rlike(layout.pattern), _iso_ns(text, "" if iso.group(1) else "Z"))
+    return _calendar_ns(text, layout)
 
 
 def ts_from_int(number: Column, fmt: str) -> Column:

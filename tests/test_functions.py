@@ -1,3 +1,4 @@
+import datetime
 import hashlib
 import math
 import struct
@@ -298,3 +299,52 @@ def test_offsets_fail_instead_of_wrapping(spark, monkeypatch):
     with pytest.raises(OverflowError):
         codecs.binary_array([b"x" * 101, None])
     assert codecs.binary_array([b"x" * 100, None]).null_count == 1
+
+
+def test_calendar_days_equal_the_calendar(spark):
+    first, last = (datetime.date(y, m, d) for y, m, d in ((1678, 1, 1), (2261, 12, 31)))
+    days = spark.range((first - datetime.date(1970, 1, 1)).days, (last - datetime.date(1970, 1, 1)).days + 1)
+    date = F.date_from_unix_date(F.col("id").cast("int"))
+    rows = days.select("id", F.date_format(date, "MM/dd/yyyy").alias("plain"), F.date_format(date, "yyyy.DDD 23:59").alias("ordinal"))
+    plain = timestamps.ts_from_text(F.col("plain"), "01/02/2006") - F.col("id") * 86_400_000_000_000
+    ordinal = timestamps.ts_from_text(F.col("ordinal"), "2006.002 15:04") - F.col("id") * 86_400_000_000_000
+    found = rows.groupBy(plain.alias("a"), ordinal.alias("b")).count().collect()
+    assert [tuple(r) for r in found] == [(0, 86_340_000_000_000, days.count())]
+
+
+@pytest.mark.parametrize(
+    ("value", "fmt", "offset"),
+    [
+        ("2024-01-01T12:00:00+19:00", "rfc3339", -19 * 3600), ("2024-01-01T12:00:00-24:00", "rfc3339", 24 * 3600),
+        ("2024-01-01T12:00:00.000+23:60", "rfc3339", -24 * 3600),
+        ("2024-01-01 12:00:00+01:02:03", "2006-01-02 15:04:05Z07:00:00", -3723),
+        ("2024-01-01 12:00:00-200000", "2006-01-02 15:04:05-070000", 72000), ("2024-01-01 12:00:00Z", "2006-01-02 15:04:05Z070000", 0),
+        ("2024 001 12:00", "2006 002 15:04", 0), ("2024   1 12:00", "2006 __2 15:04", 0), ("2024 366 12:00", "2006 002 15:04", 365 * 86400),
+        ("2024-03-01 061 12:00", "2006-01-02 002 15:04", 60 * 86400), ("Mar 2024 061 12:00", "Jan 2006 002 15:04", 60 * 86400),
+    ],
+)
+def test_wide_offsets_and_days_of_the_year(one, value, fmt, offset):
+    # 2024-01-01T12:00:00Z
+    assert one(timestamps.to_ts_ns(F.lit(value), fmt)) == (1704110400 + offset) * 1_000_000_000
+
+
+@pytest.mark.parametrize(
+    ("value", "fmt"),
+    [
+        ("2024-01-01T12:00:00+25:00", "rfc3339"), ("2023 366", "2006 002"), ("2024 000", "2006 002"), ("2024 367", "2006 002"),
+        ("2024-02-01 061", "2006-01-02 002"), ("2024-03-02 061", "2006-01-02 002"), ("02/29/2023", "01/02/2006"), ("00/01/2023", "01/02/2006"),
+        ("04/31/2023", "01/02/2006"), ("1 Jax 2024", "2 Jan 2006"), ("1 anf 2024", "2 Jan 2006"), ("01/01/2024 24:00", "01/02/2006 15:04"),
+        ("01/01/2024 13 PM", "01/02/2006 03 PM"), ("01/01/2263", "01/02/2006"), ("09/20/1677", "01/02/2006"),
+        ("01/01/\x012024", "01/02/2006"), ("\x0101\x0101\x012024", "01/02/2006"), ("", "01/02/2006"),
+        ("01/01/2024 +24:61", "01/02/2006 -07:00"),
+    ],
+)
+def test_days_and_offsets_out_of_range(one, value, fmt):
+    assert one(timestamps.to_ts_ns(F.lit(value), fmt)) is None
+
+
+def test_first_and_last_nanosecond(one):
+    for value, want in (("21 Sep 1677 00:12:43.145224192", -(1 << 63)), ("11 Apr 2262 23:47:16.854775807", (1 << 63) - 1)):
+        assert one(timestamps.to_ts_ns(F.lit(value), "2 Jan 2006 15:04:05")) == want
+    for value in ("21 Sep 1677 00:12:43.145224191", "11 Apr 2262 23:47:16.854775808"):
+        assert one(timestamps.to_ts_ns(F.lit(value), "2 Jan 2006 15:04:05")) is None
