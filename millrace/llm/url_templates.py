@@ -1,10 +1,12 @@
 """URL filter by path templates.
 
 Each host has a tree of path templates. Segments that are variable by their form (numbers,
-long hexadecimal or very long names) become classes. Then, level by level, the children of
-a node become one wildcard if they are many and evenly spread, and those that resemble
-their siblings are merged: the same continuations, and label rates that do not differ
-significantly. A template is rejected if the smoothed share of blocked pages among its
+long hexadecimal or very long names) become classes. Then, from the root to the deepest
+path, the children of a node become one wildcard if they are many and evenly spread, and
+those that resemble their siblings are merged: the same continuations, and label rates that
+do not differ significantly. A node with one child leaves nothing to decide, so a round goes
+down to the next node that branches: there are as many rounds as such nodes on one path, not
+as many as segments. A template is rejected if the smoothed share of blocked pages among its
 labelled ones is high. Only DataFrame functions are used.
 """
 
@@ -14,13 +16,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import ascii_lower, stored
+from .shared import ascii_lower, new_folder, stored
 
 Rule = tuple[str, str, bool]  # host, path, blocked
 
-# Segments of a path that a template tells apart; what follows is one class.
-DEPTH = 4
-REST = "**"
 ANY = "*"
 END = "//"
 # A node's children are one wildcard from this many on, if their entropy reaches this share
@@ -64,18 +63,44 @@ def shape(segment: Column) -> Column:
 
 
 def shapes(path: Column) -> Column:
-    """DEPTH segments of a path; null where it has ended, REST at the end of a longer one."""
-    parts = F.slice(F.split(path, "/"), 2, DEPTH + 1)
-    parts = F.transform(parts, lambda s, i: F.when(i == DEPTH, F.lit(REST)).otherwise(shape(s)))
-    return F.concat(parts, F.array_repeat(F.lit(None).cast("string"), F.lit(DEPTH + 1) - F.size(parts)))
+    """The segments of a path, each with its shape; none if the path is empty."""
+    return F.transform(F.slice(F.split(path, "/"), 2, 1 << 30), shape)
 
 
-def generalised(paths: DataFrame, level: int) -> DataFrame:
-    """Extend ``done`` of ``paths(host, key, segments, done, n, labelled, blocked)`` by one level."""
-    here = paths.withColumns({"seg": F.col("segments")[level], "next": F.col("segments")[level + 1]})
+def extended(done: Column, segments: Column) -> Column:
+    """A template followed by more segments."""
+    return F.concat_ws("/", F.concat(F.array(done), segments))
+
+
+def to_branches(paths: DataFrame) -> DataFrame:
+    """Move every path of ``paths(host, key, rest, done, n, labelled, blocked)`` down to the
+    first node below ``done`` that branches; all the way if there is none.
+
+    The largest path of a node stands for the one all others follow, or end on, until one
+    of them leaves it.
+    """
+    node = ["host", "done"]
+    longest = paths.groupBy(*node).agg(F.max("rest").alias("along"))
+    same = F.transform("rest", lambda s, i: s == F.coalesce(F.get("along", i), F.lit(END)))
+    leaves = F.array_position(same, F.lit(False)) - 1
+    branch = (
+        paths.join(longest, node).select(*node, leaves.alias("leaves")).where("leaves >= 0")
+        .groupBy(*node).agg(F.min("leaves").cast("int").alias("at"))
+    )
+    at = F.coalesce("at", F.size("rest"))
+    return paths.join(branch, node, "left").select(
+        "host", "key", extended(F.col("done"), F.slice("rest", F.lit(1), at)).alias("done"),
+        F.slice("rest", at + 1, F.size("rest")).alias("rest"), "n", "labelled", "blocked",
+    )
+
+
+def generalised(paths: DataFrame) -> DataFrame:
+    """Extend ``done`` of ``paths(host, key, rest, done, n, labelled, blocked)`` by one level;
+    every path has a rest."""
+    here = paths.withColumns({"seg": F.get("rest", F.lit(0)), "next": F.get("rest", F.lit(1))})
     sums = [F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
     node, branch = ["host", "done"], ["host", "done", "seg"]
-    edges = here.where("seg is not null").groupBy(*branch, "next").agg(*sums)
+    edges = here.groupBy(*branch, "next").agg(*sums)
     branches = edges.groupBy(*branch).agg(*sums)
     nodes = branches.groupBy(*node).agg(
         F.sum("n").alias("all_n"), F.sum("labelled").alias("all_labelled"), F.sum("blocked").alias("all_blocked"),
@@ -106,9 +131,10 @@ def generalised(paths: DataFrame, level: int) -> DataFrame:
         branches.join(nodes, node).join(shared, branch)
         .select(*branch, F.when(variable | merged, F.lit(ANY)).otherwise(F.col("seg")).alias("name"))
     )
-    named = here.join(names, branch, "left")
-    done = F.when(F.col("seg").isNull(), F.col("done")).otherwise(F.concat("done", F.lit("/"), "name"))
-    return named.select("host", "key", "segments", done.alias("done"), "n", "labelled", "blocked")
+    return here.join(names, branch).select(
+        "host", "key", extended(F.col("done"), F.array("name")).alias("done"),
+        F.slice("rest", 2, 1 << 30).alias("rest"), "n", "labelled", "blocked",
+    )
 
 
 def smoothed(blocked: str, labelled: str, prior: Column) -> Column:
@@ -116,11 +142,23 @@ def smoothed(blocked: str, labelled: str, prior: Column) -> Column:
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """``(host, key, template, purity)`` of every shaped path ``(host, key, segments, n,
-    labelled, blocked)``. A template's rate leans on its host's, that on the rate of all."""
-    tree = stored(paths.withColumn("done", F.lit("")), "paths")
-    for level in range(DEPTH):
-        tree = stored(generalised(tree, level), "tree")
+    """``(host, key, template, purity)`` of every shaped path ``(host, key, rest, n, labelled,
+    blocked)``. A template's rate leans on its host's, that on the rate of all.
+
+    Paths that have reached their end wait in a folder of their round; the others go on.
+    """
+    spark = paths.sparkSession
+    folder, ends, rounds = new_folder(spark, "templates"), F.size("rest") == 0, 0
+    going = stored(paths.withColumn("done", F.lit("")), "paths")
+    while True:
+        here = stored(to_branches(going), "tree", small=True)
+        ended = here.where(ends).select("host", "key", "done", "n", "labelled", "blocked")
+        ended.write.parquet(f"{folder}/round={rounds}")
+        here = here.where(~ends)
+        if here.isEmpty():
+            break
+        going, rounds = stored(generalised(here), "tree", small=True), rounds + 1
+    tree = spark.read.schema(ended.schema).parquet(folder)
     blocked, labelled = tree.agg(F.sum("blocked"), F.sum("labelled")).first()
     rate = F.lit((blocked or 0) / labelled if labelled else 0.0)
     sums = [F.sum(c).alias(c) for c in ("labelled", "blocked")]
@@ -138,16 +176,16 @@ def judge_urls(df: DataFrame, rules: Sequence[Rule], page_id: str = "page_id", u
 
     A page with a rule has the rule's verdict, and those verdicts label the templates. Any
     other page is blocked if its template's purity reaches PURITY, else allowed. A null url
-    has empty host and path. Repeated rows each count and each get their row; other columns
+    has empty host and path. Templates reach as deep as the paths do. Repeated rows each count and each get their row; other columns
     are ignored; an empty table gives no rows.
     """
     host, path = host_and_path(F.col(url))
     pages = df.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
     name, blocked = rule_of(F.col("host"), F.col("path"), rules)
     pages = pages.select("*", name.alias("rule"), blocked.alias("rule_blocks"), shapes(F.col("path")).alias("segments"))
-    pages = pages.withColumn("key", F.concat_ws("/", "segments"))
+    pages = pages.withColumn("key", extended(F.lit(""), F.col("segments")))
     paths = pages.groupBy("host", "key").agg(
-        F.first("segments").alias("segments"), F.count("*").alias("n"), F.count("rule").alias("labelled"),
+        F.first("segments").alias("rest"), F.count("*").alias("n"), F.count("rule").alias("labelled"),
         F.sum(F.coalesce(F.col("rule_blocks").cast("long"), F.lit(0))).alias("blocked"),
     )
     found = stored(templates(paths), "templates")

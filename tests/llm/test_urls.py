@@ -64,6 +64,23 @@ def test_templates(pages):
     assert {rows[u].template for u in urls[-80:]} == {"/post/*"}
 
 
+def test_deep_segments_decide(pages):
+    # Blocked and allowed branches part at the sixth segment, below a chain and a wildcard.
+    base = "http://a.com/one/two/three/four"
+    rules = [("a.com", f"/one/two/three/four/{i}/bad/", True) for i in range(40)]
+    rules += [("a.com", f"/one/two/three/four/{i}/good/", False) for i in range(40)]
+    urls = [f"{base}/{i}/{kind}/{w}" for i in range(40) for kind in ("bad", "good") for w in ("x", "y")]
+    urls += [f"{base}/777/bad/x", f"{base}/777/good/x", f"{base}/777/bad/x/" + "deep/" * 3000]
+    got = judge_urls(pages(urls), rules).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in got[-3:-1]] == [(None, "block"), (None, "allow")]
+    assert got[-3].template.startswith("/one/two/three/four/0/bad/") and got[-1].template.endswith("/deep/")
+
+
+def test_the_end_of_a_path_is_no_empty_segment(pages):
+    got = judge_urls(pages(["http://a.com", "http://a.com/", "http://a.com//", "http://a.com"]), []).orderBy("page_id").collect()
+    assert [r.template for r in got] == ["", "/", "//", ""]
+
+
 def test_unlabelled_pages_follow_their_template(pages):
     # The longer rule leaves the pages of one path open; most of its template is blocked.
     rules = [("a.com", "/x/1", True), ("a.com", "/y/", False)]
@@ -91,6 +108,7 @@ def test_equals_sql(spark, pages, tmp_path, table):
         rng = random.Random(4)
         bits = ["a", "b", "en", "fr", "de", "7", "77.html", "deadbeef012345", "", "x" * 50]
         urls = [f"http://{rng.choice(['s.com', 't.org', 'u.net'])}/" + "/".join(rng.choices(bits, k=rng.randrange(7))) for _ in range(1500)]
+        urls += ["http://v.com/" + "/".join(rng.choices("ab7", k=rng.randrange(12))) for _ in range(1500)]
         source = pages(urls + ODD)
     source.select("page_id", "url").write.parquet(str(tmp_path / "pages"))
     db = duckdb.connect()
