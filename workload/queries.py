@@ -18,7 +18,7 @@ from millrace.plans.pipeline import Pipeline, check_only, register_step, registe
 from millrace.schema import sentinel_fill
 from millrace.session import configure
 from millrace.sources import detect, envelopes, lines
-from millrace.streaming import ingest, live, rolling, sinks
+from millrace.streaming import ingest, live, rolling, sinks, unique
 
 from . import messages as m
 
@@ -1635,3 +1635,20 @@ def dedup_stream(spark, sf_dir):
     writer = writer.option("checkpointLocation", os.path.join(folder, "checkpoint"))
     writer.trigger(availableNow=True).start().awaitTermination()
     return stats.row_tallies(spark.read.parquet(out))
+
+
+@query(
+    "unique_stream",
+    "SELECT 'events.' || event_type AS table_name, count(*) AS rows FROM events GROUP BY 1",
+)
+def unique_stream(spark, sf_dir):
+    """Batches that bring rows again, early and late, into a sink that knows them all."""
+    folder = m.work_folder(spark)
+    inbox, sink = os.path.join(folder, "inbox"), os.path.join(folder, "out")
+    rows = resent(spark, sf_dir)
+    late = F.crc32(F.col("sequence").cast("string")) % 3 == 0
+    for part in (rows.filter(~late), rows, rows.filter(late)):
+        part.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox)
+        unique.unique_stream(stream, sink, os.path.join(folder, "checkpoint")).awaitTermination()
+    return stats.row_tallies(unique.read_unique(spark, sink))
